@@ -1,0 +1,231 @@
+"""Replay of budget admission over a job ledger.
+
+Within a project and month the jobs come one after another.  Each is refused if
+its estimate exceeds the limit per query, else if the bytes billed so far plus
+its estimate exceed the ceiling; an admitted job adds its *billed* bytes.
+Refused jobs add nothing, so this is no running sum: each verdict depends on
+the verdicts before it.
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from tidemark.functions.budget import Budget
+from tidemark.functions.dates import month_start
+from tidemark.operators.lookup import has_at_most, lookup_join
+from tidemark.session import materialise
+
+ADMITTED = "ADMITTED"
+TOO_LARGE = "TOO_LARGE"
+CIRCUIT_BREAKER = "CIRCUIT_BREAKER"
+
+GROUP = ["project_id", "month"]
+ORDER = ["start_time", "job_id"]
+# Jobs of one project and month that a single task replays.
+GROUP_ROWS = 2_000_000
+
+
+
+def replay_admission(ledger: DataFrame, budget: Budget, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """Verdict of each job and the month's total before it.
+
+    ``ledger`` has project_id, job_id, start_time, estimated_bytes and
+    bytes_billed (NULL counts as 0).  Result: those, ``month``, ``verdict`` and
+    ``month_total_before``.
+
+    Groups are independent: jobs are shuffled by group, sorted, and folded in
+    one pass that holds an Arrow batch at a time.  Groups of more than
+    ``group_rows`` jobs go through ``_replay_large`` instead.
+    """
+    jobs = ledger.select(
+        F.col("project_id"),
+        month_start(F.col("start_time")).alias("month"),
+        F.col("start_time").cast("timestamp").alias("start_time"),
+        F.col("job_id").cast("string").alias("job_id"),
+        F.coalesce("estimated_bytes", F.lit(0)).cast("bigint").alias("estimated_bytes"),
+        F.coalesce("bytes_billed", F.lit(0)).cast("bigint").alias("bytes_billed"),
+    )
+    large = jobs.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > group_rows)
+    if large.isEmpty():
+        return _fold(jobs, budget)
+    large = materialise(large.select(*GROUP), "large-groups")
+    small_part = _fold(lookup_join(jobs, large, GROUP, "left_anti"), budget)
+    large_part = _replay_large(lookup_join(jobs, large, GROUP, "left_semi"), budget, group_rows)
+    return small_part.unionByName(large_part)
+
+
+def _fold(jobs: DataFrame, budget: Budget) -> DataFrame:
+    """Sequential replay per group, from the group's ``opening_total`` if there is one."""
+    if "opening_total" not in jobs.columns:
+        jobs = jobs.withColumn("opening_total", F.lit(0).cast("bigint"))
+    ordered = jobs.repartition(*GROUP).sortWithinPartitions(*GROUP, *ORDER)
+    ceiling, largest = budget.ceiling_bytes, budget.max_bytes_per_query
+
+    def replay(batches):
+        group, total = None, 0
+        for batch in batches:
+            verdicts, totals = [], []
+            for project, month, estimate, billed, opening in zip(
+                batch["project_id"],
+                batch["month"],
+                batch["estimated_bytes"].tolist(),
+                batch["bytes_billed"].tolist(),
+                batch["opening_total"].tolist(),
+            ):
+                if (project, month) != group:
+                    group, total = (project, month), opening
+                totals.append(total)
+                if estimate > largest:
+                    verdicts.append(TOO_LARGE)
+                elif total + estimate > ceiling:
+                    verdicts.append(CIRCUIT_BREAKER)
+                else:
+                    verdicts.append(ADMITTED)
+                    total += billed
+            yield batch.assign(
+                verdict=pd.Series(verdicts, index=batch.index, dtype=object),
+                month_total_before=pd.Series(totals, index=batch.index, dtype="int64"),
+            )
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ordered.schema)
+    folded = ordered.mapInPandas(replay, f"{schema}, verdict string, month_total_before bigint")
+    return folded.drop("opening_total")
+
+
+def _replay_large(jobs: DataFrame, budget: Budget, group_rows: int) -> DataFrame:
+    """Exact replay of groups too large for one task.
+
+    The jobs are cut, in order, into blocks.  Each round settles, per group:
+
+    * the leading blocks that fit as a whole, from their sums alone;
+    * the next few blocks, at most ``group_rows`` jobs, by the sequential fold;
+    * every later job whose estimate exceeds what the ceiling then leaves: the
+      total never falls, so such a job can never be admitted.
+
+    A round settles at least one block, and near the ceiling almost all that is
+    left, so few rounds are needed.  The block table is written once; later
+    rounds filter it by a state of one row per group.
+    """
+    block_rows = max(group_rows // 4, 1)
+    n_blocks = max(-(-jobs.count() // block_rows), 1)
+    blocks = materialise(
+        jobs.repartitionByRange(n_blocks, *GROUP, *ORDER)
+        .withColumn("block", F.spark_partition_id())
+        .withColumn("row_no", F.monotonically_increasing_id()),
+        "blocks",
+    )
+    fits_query = F.col("estimated_bytes") <= F.lit(budget.max_bytes_per_query)
+    settled = [blocks.where(~fits_query).withColumn("verdict", F.lit(TOO_LARGE))]
+    candidates = blocks.where(fits_query)
+    state = materialise(
+        blocks.groupBy(*GROUP).agg(
+            F.lit(0).cast("bigint").alias("total"), F.lit(-1).alias("done")
+        ),
+        "state",
+    )
+    fits_now = F.col("estimated_bytes") <= F.lit(budget.ceiling_bytes) - F.col("total")
+    while True:
+        pending = lookup_join(candidates, state, GROUP).where((F.col("block") > F.col("done")) & fits_now)
+        plan = materialise(_round_plan(pending, budget.ceiling_bytes, group_rows), "plan")
+        if plan.isEmpty():
+            break
+        chosen = lookup_join(pending, plan.drop("n", "billed"), [*GROUP, "block"])
+        bulk = chosen.where("step = 'bulk'").withColumn("verdict", F.lit(ADMITTED))
+        folded = materialise(
+            _fold(
+                chosen.where("step = 'fold'").withColumn("opening_total", F.col("entry_total")), budget
+            ).drop("month_total_before"),
+            "folded",
+        )
+        settled += [bulk.select(*blocks.columns, "verdict"), folded.select(*blocks.columns, "verdict")]
+        spent = folded.where(F.col("verdict") == ADMITTED).groupBy(*GROUP).agg(
+            F.sum("bytes_billed").alias("spent")
+        )
+        reached = plan.groupBy(*GROUP).agg(
+            F.max("entry_total").alias("entry_total"), F.max("block").alias("reached")
+        )
+        advanced = (
+            state.join(reached, GROUP, "left")
+            .join(spent, GROUP, "left")
+            .select(
+                *GROUP,
+                (F.coalesce("entry_total", "total") + F.coalesce("spent", F.lit(0))).alias("total"),
+                F.coalesce("reached", "done").alias("done"),
+            )
+        )
+        advanced = materialise(advanced, "state")
+        settled.append(_hopeless(pending, advanced, fits_now, blocks.columns))
+        state = advanced
+    # What never became a candidate: larger than the whole ceiling.
+    settled.append(
+        candidates.where(F.col("estimated_bytes") > F.lit(budget.ceiling_bytes)).withColumn(
+            "verdict", F.lit(CIRCUIT_BREAKER)
+        )
+    )
+    return _with_totals(reduce(DataFrame.unionByName, settled))
+
+
+def _round_plan(pending: DataFrame, ceiling: int, group_rows: int) -> DataFrame:
+    """The blocks to settle now: ``step`` is bulk (all admitted) or fold."""
+    so_far = Window.partitionBy(*GROUP).orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy(*GROUP)
+    sums = pending.groupBy(*GROUP, "block").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("bytes_billed").alias("billed"),
+        F.max("estimated_bytes").alias("largest"),
+        F.first("total").alias("total"),
+    )
+    # Even the block's largest job would fit after all the others.
+    clear = F.col("total") + F.sum("billed").over(so_far) + F.col("largest") <= F.lit(ceiling)
+    marked = sums.withColumn("clear", clear).withColumn("bulk", F.min("clear").over(so_far))
+    counted = marked.withColumn(
+        "waiting", F.sum(F.when(F.col("bulk"), 0).otherwise(F.col("n"))).over(so_far)
+    ).withColumn(
+        "entry_total",
+        F.col("total") + F.coalesce(F.sum(F.when(F.col("bulk"), F.col("billed"))).over(whole), F.lit(0)),
+    )
+    fold = ~F.col("bulk") & ((F.col("waiting") <= group_rows) | (F.col("waiting") == F.col("n")))
+    step = F.when(F.col("bulk"), "bulk").when(fold, "fold")
+    return (
+        counted.withColumn("step", step)
+        .where("step IS NOT NULL")
+        .select(*GROUP, "block", "step", "entry_total", "n", "billed")
+    )
+
+
+def _hopeless(pending: DataFrame, advanced: DataFrame, fits_now: Column, columns: list[str]) -> DataFrame:
+    """Pending jobs behind the settled blocks that no longer fit."""
+    return (
+        lookup_join(pending.select(*columns), advanced, GROUP)
+        .where((F.col("block") > F.col("done")) & ~fits_now)
+        .select(*columns)
+        .withColumn("verdict", F.lit(CIRCUIT_BREAKER))
+    )
+
+
+def _with_totals(settled: DataFrame) -> DataFrame:
+    """Running admitted total before each job: within blocks, on top of the blocks before."""
+    spent = F.when(F.col("verdict") == ADMITTED, F.col("bytes_billed")).otherwise(0)
+    earlier_blocks = Window.partitionBy(*GROUP).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    in_block = (
+        Window.partitionBy(*GROUP, "block")
+        .orderBy(*ORDER, "row_no")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    settled = materialise(settled, "settled")
+    offsets = (
+        settled.groupBy(*GROUP, "block")
+        .agg(F.sum(spent).alias("spent"))
+        .select(*GROUP, "block", F.coalesce(F.sum("spent").over(earlier_blocks), F.lit(0)).alias("offset"))
+    )
+    before = F.col("offset") + F.coalesce(F.sum(spent).over(in_block), F.lit(0))
+    return (
+        lookup_join(settled, offsets, [*GROUP, "block"])
+        .withColumn("month_total_before", before)
+        .drop("block", "row_no", "offset")
+    )
