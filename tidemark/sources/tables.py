@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.latest import overlay
-from tidemark.session import materialise
+from tidemark.session import materialise, setting
 
 RAW_HOLIDAYS = (
     "holiday_id string, date date, name string, type string, source string, ingested_at timestamp"
@@ -95,7 +95,9 @@ def upsert(
     clustered = merged.repartitionByRange("year", *clustering, key).sortWithinPartitions(
         "year", *clustering, key
     )
-    clustered.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+    # A catalog table takes the overwrite mode from the session, not from writer options.
+    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        clustered.write.insertInto(table, overwrite=True)
     return spark.table(table).count()
 
 
