@@ -94,6 +94,14 @@ def test_payload_scan(spark, tmp_path):
         payloads.payload_items(bodies, strict=True).collect()
 
 
+def test_years_select_their_files(spark, tmp_path):
+    for year in (2024, 2025, 2026):
+        land(tmp_path / "y", f"{year}.json", [{"date": f"{year}-01-01", "name": "Ano", "type": "national"}])
+    bodies = payloads.read_bodies(spark, payloads.year_paths(str(tmp_path / "y"), [2026, 2024]))
+    found = payloads.payload_items(bodies).orderBy("path_no").collect()
+    assert [r["date"] for r in found] == ["2026-01-01", "2024-01-01"]
+
+
 def table_rows(spark, table):
     return sorted(tuple(r) for r in spark.table(table).select("date", "name", "type").collect())
 

@@ -26,8 +26,8 @@ CIRCUIT_BREAKER = "CIRCUIT_BREAKER"
 
 GROUP = ["project_id", "month"]
 ORDER = ["start_time", "job_id"]
-# Jobs of one project and month that a single task replays.
-GROUP_ROWS = 2_000_000
+# Jobs of one project and month that a single task replays (well under a minute).
+GROUP_ROWS = 20_000_000
 
 
 

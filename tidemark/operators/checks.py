@@ -8,8 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.lookup import lookup_join
-
 
 def unique(df: DataFrame, column: str) -> DataFrame:
     """Values that occur more than once, NULL aside: ``value, n_records``."""
@@ -37,7 +35,8 @@ def accepted_values(df: DataFrame, column: str, values: list[str]) -> DataFrame:
 def relationships(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Child values without a parent, NULL aside: ``value, n_records``.
 
-    The child is reduced to its distinct values before the join.
+    Both sides are reduced to distinct values first, combined before the
+    shuffle; the join then finds them partitioned by value already.
     """
     values = (
         child.where(F.col(column).isNotNull())
@@ -45,7 +44,7 @@ def relationships(child: DataFrame, column: str, parent: DataFrame, parent_colum
         .agg(F.count(F.lit(1)).alias("n_records"))
     )
     known = parent.select(F.col(parent_column).alias("value")).distinct()
-    return lookup_join(values, known, ["value"], "left_anti", salts=1)
+    return values.join(known, "value", "left_anti")
 
 
 @dataclass(frozen=True)

@@ -23,10 +23,12 @@ def lookup_join(
     how: str = "inner",
     broadcast_rows: int = BROADCAST_ROWS,
     salts: int = SALTS,
+    lookup_rows: int | None = None,
 ) -> DataFrame:
     """Join ``facts`` with ``lookup`` on equal columns, whatever the lookup's size.
 
-    The lookup's rows are counted first.  A small one is broadcast and the
+    The lookup's rows are counted first (unless given as ``lookup_rows``), so it
+    should be a written table or cheap to compute.  A small one is broadcast and the
     facts stay where they are.  A larger one is joined by shuffle: every lookup
     row is repeated once per salt and each fact row takes one salt, so the facts
     of a hot key spread over ``salts`` tasks; adaptive execution splits what is
@@ -37,7 +39,11 @@ def lookup_join(
     ``how`` is any join type that keeps the facts' side (inner, left, left_semi,
     left_anti).
     """
-    if has_at_most(lookup, broadcast_rows):
+    if lookup_rows is None:
+        small = has_at_most(lookup, broadcast_rows)
+    else:
+        small = lookup_rows <= broadcast_rows
+    if small:
         return facts.join(F.broadcast(lookup), on, how)
     if salts == 1:
         return facts.join(lookup, on, how)

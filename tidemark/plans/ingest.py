@@ -14,7 +14,7 @@ from tidemark.session import materialise
 from tidemark.sources.payloads import payload_items, read_bodies, rejected_bodies
 from tidemark.sources.tables import RAW_HOLIDAYS, ensure_table, upsert
 
-PLACE = ["path_no", "file", "line_no", "item_no"]
+PLACE = ["path_no", "file", "block", "line_no", "item_no"]
 
 
 @dataclass
@@ -27,7 +27,7 @@ class Ingested:
 
 def run_metrics(
     spark: SparkSession,
-    name: str,
+    pipeline: str,
     started: dt.datetime,
     ended: dt.datetime,
     status: str,
@@ -39,7 +39,7 @@ def run_metrics(
     """One row of run metrics; without an id the start time makes one."""
     start, end = F.lit(started).cast("timestamp"), F.lit(ended).cast("timestamp")
     return spark.range(1).select(
-        F.lit(name).alias("name"),
+        F.lit(pipeline).alias("pipeline"),
         (F.lit(execution_id) if execution_id else run_label(start)).alias("execution_id"),
         start.alias("start_time"),
         end.alias("end_time"),
@@ -75,7 +75,7 @@ def ingest_holidays(
     location: str | None = None,
     whole_files: bool = True,
     lenient_dates: bool = False,
-    name: str = "holidays",
+    pipeline: str = "holidays",
 ) -> Ingested:
     """Scan, validate, key and upsert the payloads of ``paths``; never raises on bad data.
 
@@ -91,7 +91,7 @@ def ingest_holidays(
 
     def finish(status: str, loaded: int, error: str | None = None, **results) -> Ingested:
         ended = dt.datetime.now(dt.timezone.utc) if now is None else now
-        row = run_metrics(spark, name, started, ended, status, received, loaded, error)
+        row = run_metrics(spark, pipeline, started, ended, status, received, loaded, error)
         return Ingested(row, **results)
 
     try:
@@ -105,14 +105,14 @@ def ingest_holidays(
             valid = strict_records(items, started, source, lenient_dates)
         else:
             valid, rejects = split_items(items, started, source, lenient_dates)
+            unread = rejected_bodies(bodies).withColumn("item_no", F.lit(None).cast("int"))
             rejects = rejects.select(*PLACE, "reject_reason").unionByName(
-                rejected_bodies(bodies).select(*PLACE[:3], F.lit(None).cast("int").alias("item_no"), "reject_reason")
+                unread.select(*PLACE, "reject_reason")
             )
-        records = materialise(valid, "records")
-        results = {"records": records, "rejects": rejects}
+        results = {"records": valid, "rejects": rejects}
         if dry_run:
-            return finish("SUCCESS", records.count(), sample=dry_run_sample(records, PLACE), **results)
+            return finish("SUCCESS", valid.count(), sample=dry_run_sample(valid, PLACE), **results)
         ensure_table(spark, table, RAW_HOLIDAYS, location)
-        return finish("SUCCESS", upsert(records, table, arrival=PLACE), **results)
+        return finish("SUCCESS", upsert(valid, table, arrival=PLACE), **results)
     except Exception as error:
         return finish("FAILED", 0, str(error))

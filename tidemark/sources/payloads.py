@@ -10,8 +10,16 @@ from pyspark.sql import functions as F
 FIELDS = ("date", "name", "type")
 
 
+def year_paths(folder: str, years: list[int]) -> list[str]:
+    """Where the landed response of each year lies: ``<folder>/<year>.json``."""
+    return [f"{folder.rstrip('/')}/{year}.json" for year in years]
+
+
 def read_bodies(spark: SparkSession, paths: list[str], whole_files: bool = True) -> DataFrame:
-    """Response bodies in the order of ``paths``: ``body, path_no, file, line_no``.
+    """Response bodies with their place: ``body, path_no, file, block, line_no``.
+
+    In this order the place is the order of arrival: the position in ``paths``,
+    then file name, block of the file and line.
 
     ``whole_files`` reads one body per file (one landed response each);
     otherwise every line holds a body, which lets Spark split large files.
@@ -24,6 +32,7 @@ def read_bodies(spark: SparkSession, paths: list[str], whole_files: bool = True)
             F.col("value").alias("body"),
             F.lit(path_no).alias("path_no"),
             F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
             (F.lit(0).cast("bigint") if whole_files else F.monotonically_increasing_id()).alias("line_no"),
         )
 

@@ -86,10 +86,10 @@ def upsert(
         ).withColumn("year", F.year(by_year_of)),
         "batch",
     )
-    if new.isEmpty():
-        return 0
     # At most one row per calendar year reaches the driver.
     years = [row["year"] for row in new.select("year").distinct().collect()]
+    if not years:
+        return 0
     existing = spark.table(table).where(F.col("year").isin(years)).select(*stored, "year")
     merged = materialise(overlay(existing, new, [key], order), "merged")
     clustered = merged.repartitionByRange("year", *clustering, key).sortWithinPartitions(

@@ -403,7 +403,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT 'user-' || user_id AS id, event_type AS message, ts AS created_at
             FROM events WHERE user_id = 8""",
         "run_metrics": _with(_BODIES)
-        + """SELECT 'holidays' AS name, '20260105_120000' AS execution_id,
+        + """SELECT 'holidays' AS pipeline, '20260105_120000' AS execution_id,
                     TIMESTAMP '2026-01-05 12:00:00' AS start_time,
                     TIMESTAMP '2026-01-05 12:00:02.345' AS end_time, 'SUCCESS' AS status,
                     count(*) AS records_received, count(*) AS records_loaded,

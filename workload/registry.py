@@ -54,27 +54,32 @@ def _holidays(spark: SparkSession, sf_dir: str, city: bool = False) -> DataFrame
 
 
 def _calendar(spark: SparkSession, sf_dir: str, city: bool = False, **options) -> DataFrame:
-    holidays = _holidays(spark, sf_dir, city)
-    return calendar.commercial_calendar(spark, holidays, b.FIRST_DAY, b.LAST_DAY, **options)
+    return _calendar_of(_holidays(spark, sf_dir, city), **options)
+
+
+def _calendar_of(holidays: DataFrame, **options) -> DataFrame:
+    return calendar.commercial_calendar(
+        holidays.sparkSession, holidays, b.FIRST_DAY, b.LAST_DAY, **options
+    )
 
 
 def _dim(spark: SparkSession, sf_dir: str, city: bool = False) -> DataFrame:
-    return materialise(calendar.dim_calendar(_calendar(spark, sf_dir, city)), "dim_calendar")
+    return _dim_of(_holidays(spark, sf_dir, city))
+
+
+def _dim_of(holidays: DataFrame) -> DataFrame:
+    return materialise(calendar.dim_calendar(_calendar_of(holidays)), "dim_calendar")
 
 
 def _sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.stg_sales(b.raw_sales(spark, sf_dir))
 
 
-def _sales_with_region_unread(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Staged sales for plans that never look at the region or the unit price's table."""
+def _facts(spark: SparkSession, sf_dir: str, holidays: DataFrame) -> DataFrame:
+    """The fact table for plans that never look at the region: its dimensions stay unread."""
     needed = ["sale_id", "sale_date", "product_id", "product_category", "quantity", "unit_price", "revenue"]
     raw = b.raw_sales(spark, sf_dir, needed).withColumn("region", F.lit(None).cast("string"))
-    return staging.stg_sales(raw)
-
-
-def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sales.fct_sales(_sales_with_region_unread(spark, sf_dir), _dim(spark, sf_dir))
+    return sales.fct_sales(staging.stg_sales(raw), _dim_of(holidays))
 
 
 # --- calendar -------------------------------------------------------------------
@@ -257,7 +262,7 @@ def csv_roundtrip(spark, sf_dir):
 
 @query
 def run_metrics(spark, sf_dir):
-    items = materialise(payloads.payload_items(_landed_bodies(spark, sf_dir)), "items")
+    items = payloads.payload_items(_landed_bodies(spark, sf_dir))
     counts = ingest.received_and_valid(items).first()
     return ingest.run_metrics(
         spark,
@@ -286,8 +291,11 @@ def holiday_ingest(spark, sf_dir):
     done = ingest.ingest_holidays(
         spark, [path], name, b.INGESTED_AT, "events", "quarantine", location=target, whole_files=False
     )
-    metrics = done.metrics.select("status", "records_received", "records_loaded")
-    return tables.source(spark, name, contracts.RECORD_COLUMNS).crossJoin(F.broadcast(metrics))
+    metrics = done.metrics.first()
+    return tables.source(spark, name, contracts.RECORD_COLUMNS).select(
+        "*",
+        *(F.lit(metrics[c]).alias(c) for c in ("status", "records_received", "records_loaded")),
+    )
 
 
 # --- sales and opportunities ----------------------------------------------------
@@ -321,27 +329,26 @@ def sales_outside_calendar(spark, sf_dir):
 
 @query
 def baseline_sales(spark, sf_dir):
-    return opportunities.baseline_sales(_facts(spark, sf_dir))
+    return opportunities.baseline_sales(_facts(spark, sf_dir, _holidays(spark, sf_dir)))
 
 
 @query
 def pre_holiday_sales(spark, sf_dir):
-    facts = opportunities.with_next_holiday(_facts(spark, sf_dir), _holidays(spark, sf_dir))
+    holidays = _holidays(spark, sf_dir)
+    facts = opportunities.with_next_holiday(_facts(spark, sf_dir, holidays), holidays)
     return opportunities.pre_holiday_sales(facts)
 
 
 @query
 def mart_opportunities(spark, sf_dir):
     holidays = _holidays(spark, sf_dir)
-    days = calendar.commercial_calendar(spark, holidays, b.FIRST_DAY, b.LAST_DAY)
-    dim = materialise(calendar.dim_calendar(days), "dim_calendar")
-    facts = sales.fct_sales(_sales_with_region_unread(spark, sf_dir), dim)
-    return opportunities.mart_opportunities(facts, holidays)
+    return opportunities.mart_opportunities(_facts(spark, sf_dir, holidays), holidays)
 
 
 @query
 def mart_opportunities_as_written(spark, sf_dir):
-    return opportunities.mart_opportunities_as_written(_facts(spark, sf_dir))
+    facts = _facts(spark, sf_dir, _holidays(spark, sf_dir))
+    return opportunities.mart_opportunities_as_written(facts)
 
 
 # --- data tests -----------------------------------------------------------------
@@ -388,10 +395,10 @@ def dq_relationships(spark, sf_dir):
 
 @query
 def data_quality_report(spark, sf_dir):
-    raw = b.raw_holidays(spark, sf_dir, city=True)
-    return quality.data_quality_report(
-        build_models(raw, b.raw_sales(spark, sf_dir), b.FIRST_DAY, b.LAST_DAY)
-    )
+    # Raw sales are a table: written once, the tests read single columns of it.
+    raw_sales = materialise(b.raw_sales(spark, sf_dir), "raw_sales")
+    raw_holidays = b.raw_holidays(spark, sf_dir, city=True)
+    return quality.data_quality_report(build_models(raw_holidays, raw_sales, b.FIRST_DAY, b.LAST_DAY))
 
 
 # --- usage ledger ---------------------------------------------------------------
