@@ -11,7 +11,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,7 +29,7 @@ CIRCUIT_BREAKER = "CIRCUIT_BREAKER"
 GROUP = ["project_id", "month"]
 ORDER = ["start_time", "job_id"]
 # Jobs of one project and month that a single task replays (well under a minute).
-GROUP_ROWS = 20_000_000
+GROUP_ROWS = 5_000_000
 
 
 
@@ -66,34 +68,44 @@ def _fold(jobs: DataFrame, budget: Budget) -> DataFrame:
     ordered = jobs.repartition(*GROUP).sortWithinPartitions(*GROUP, *ORDER)
     ceiling, largest = budget.ceiling_bytes, budget.max_bytes_per_query
 
+    # Both functions travel to the workers by value: those need not have the library.
+    def group_starts(batch):
+        begins = np.zeros(batch.num_rows, dtype=bool)
+        begins[:1] = True
+        for name in GROUP:
+            after, before = batch.column(name)[1:], batch.column(name)[:-1]
+            differs = pc.fill_null(pc.not_equal(after, before), False)
+            differs = pc.or_(differs, pc.xor(pc.is_null(after), pc.is_null(before)))
+            begins[1:] |= differs.to_numpy(zero_copy_only=False)
+        return np.flatnonzero(begins).tolist()
+
     def replay(batches):
         group, total = None, 0
         for batch in batches:
+            estimates = batch.column("estimated_bytes").to_pylist()
+            billed = batch.column("bytes_billed").to_pylist()
+            bounds = group_starts(batch) + [batch.num_rows]
             verdicts, totals = [], []
-            for project, month, estimate, billed, opening in zip(
-                batch["project_id"],
-                batch["month"],
-                batch["estimated_bytes"].tolist(),
-                batch["bytes_billed"].tolist(),
-                batch["opening_total"].tolist(),
-            ):
-                if (project, month) != group:
-                    group, total = (project, month), opening
-                totals.append(total)
-                if estimate > largest:
-                    verdicts.append(TOO_LARGE)
-                elif total + estimate > ceiling:
-                    verdicts.append(CIRCUIT_BREAKER)
-                else:
-                    verdicts.append(ADMITTED)
-                    total += billed
-            yield batch.assign(
-                verdict=pd.Series(verdicts, index=batch.index, dtype=object),
-                month_total_before=pd.Series(totals, index=batch.index, dtype="int64"),
+            for start, end in zip(bounds, bounds[1:]):
+                key = [batch.column(name)[start].as_py() for name in GROUP]
+                if key != group:
+                    group, total = key, batch.column("opening_total")[start].as_py()
+                for i in range(start, end):
+                    totals.append(total)
+                    if estimates[i] > largest:
+                        verdicts.append(TOO_LARGE)
+                    elif total + estimates[i] > ceiling:
+                        verdicts.append(CIRCUIT_BREAKER)
+                    else:
+                        verdicts.append(ADMITTED)
+                        total += billed[i]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(verdicts, pa.string()), pa.array(totals, pa.int64())],
+                [*batch.schema.names, "verdict", "month_total_before"],
             )
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ordered.schema)
-    folded = ordered.mapInPandas(replay, f"{schema}, verdict string, month_total_before bigint")
+    folded = ordered.mapInArrow(replay, f"{schema}, verdict string, month_total_before bigint")
     return folded.drop("opening_total")
 
 
