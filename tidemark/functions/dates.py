@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def instant(moment: dt.datetime | Column) -> Column:
+    """A timestamp column; a datetime without a zone is UTC, not the machine's local time."""
+    if isinstance(moment, dt.datetime):
+        moment = F.lit(moment if moment.tzinfo else moment.replace(tzinfo=dt.timezone.utc))
+    return moment.cast("timestamp")
+
+
 def iso_date(text: Column, lenient: bool = False) -> Column:
     """The date that ``text`` spells as ``YYYY-MM-DD``, else NULL.
 

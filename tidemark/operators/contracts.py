@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.dates import iso_date
+from tidemark.functions.dates import instant, iso_date
 from tidemark.functions.keys import holiday_key
 from tidemark.functions.text import blank, stripped
 
@@ -54,8 +54,8 @@ def to_records(
         day.alias("date"),
         name.alias("name"),
         kind.alias("type"),
-        _column(source).alias("source"),
-        _column(ingested_at).cast("timestamp").alias("ingested_at"),
+        (source if isinstance(source, Column) else F.lit(source)).alias("source"),
+        instant(ingested_at).alias("ingested_at"),
         *extra,
     )
 
@@ -83,7 +83,3 @@ def strict_records(
     complaint = F.concat(F.lit("holiday contract broken - "), F.col("reject_reason"))
     passed = checked.where(F.assert_true(F.col("reject_reason").isNull(), complaint).isNull())
     return to_records(passed, ingested_at, source, lenient_dates)
-
-
-def _column(value) -> Column:
-    return value if isinstance(value, Column) else F.lit(value)

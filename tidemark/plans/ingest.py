@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.dates import run_label, seconds_between
+from tidemark.functions.dates import instant, run_label, seconds_between
 from tidemark.operators.contracts import DEFAULT_SOURCE, check_items, split_items, strict_records
 from tidemark.session import materialise
 from tidemark.sources.payloads import payload_items, read_bodies, rejected_bodies
@@ -37,7 +37,7 @@ def run_metrics(
     execution_id: str | None = None,
 ) -> DataFrame:
     """One row of run metrics; without an id the start time makes one."""
-    start, end = F.lit(started).cast("timestamp"), F.lit(ended).cast("timestamp")
+    start, end = instant(started), instant(ended)
     return spark.range(1).select(
         F.lit(pipeline).alias("pipeline"),
         (F.lit(execution_id) if execution_id else run_label(start)).alias("execution_id"),

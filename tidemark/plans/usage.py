@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.budget import GIB, Budget, alert_level, cost_usd, in_unit
-from tidemark.functions.dates import month_label, month_start
+from tidemark.functions.dates import instant, month_label, month_start
 from tidemark.operators.admission import ADMITTED
 from tidemark.operators.retention import KEPT_RECORDS, keep_last
 
@@ -35,9 +37,9 @@ def monthly_usage(jobs: DataFrame, status: str | None = None) -> DataFrame:
     )
 
 
-def usage_of_month(jobs: DataFrame, now, status: str | None = None) -> DataFrame:
-    """``monthly_usage`` of jobs since the start of the UTC month of ``now``, in one sum per project."""
-    since = F.date_trunc("month", F.lit(now).cast("timestamp"))
+def usage_of_month(jobs: DataFrame, now: dt.datetime, status: str | None = None) -> DataFrame:
+    """``monthly_usage`` of the jobs since the month of ``now`` began, in one sum per project."""
+    since = F.date_trunc("month", instant(now))
     current = jobs.where(F.col("start_time") >= since).withColumn("start_time", since)
     return monthly_usage(current, status)
 

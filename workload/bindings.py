@@ -114,29 +114,29 @@ def event_holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dirty_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as payload items, some broken in each field."""
-    number = F.col("event_id")
+    """All events as payload items; weekday, event type and hour decide what is broken."""
+    weekday, hour, kind = F.dayofweek("ts"), F.hour("ts"), F.col("event_type")
     day = (
-        F.when(number % 11 == 0, F.date_format("ts", "dd/MM/yyyy"))
-        .when(number % 11 == 1, F.lit("2024-02-30"))
-        .when(number % 11 == 2, F.date_format("ts", "yyyyMMdd"))
-        .when(number % 11 != 3, F.date_format("ts", "yyyy-MM-dd"))
+        F.when(weekday == 1, F.date_format("ts", "dd/MM/yyyy"))
+        .when(weekday == 2, F.lit("2024-02-30"))
+        .when(weekday == 3, F.date_format("ts", "yyyyMMdd"))
+        .when(weekday != 4, F.date_format("ts", "yyyy-MM-dd"))
     )
     name = (
-        F.when(number % 7 == 0, F.lit(" \t\u00a0"))
-        .when(number % 7 == 1, F.concat(F.lit("\u2003"), F.col("event_type"), F.lit("\u00a0")))
-        .when(number % 7 != 2, F.col("event_type"))
+        F.when(kind == "error", F.lit(" \t\u00a0"))
+        .when(kind == "click", F.concat(F.lit("\u2003"), kind, F.lit("\u00a0")))
+        .when(kind != "signup", kind)
     )
-    kind = F.when(number % 13 == 0, "").when(number % 13 != 1, " National ")
+    holiday_type = F.when(hour == 3, "").when(hour != 5, " National ")
     return table(spark, sf_dir, "events").select(
-        number, day.alias("date"), name.alias("name"), kind.alias("type"), "ts"
+        "event_id", day.alias("date"), name.alias("name"), holiday_type.alias("type"), "ts"
     )
 
 
 def payload_bodies(spark: SparkSession, sf_dir: str, per_body: int = 100) -> DataFrame:
-    """Events as payload bodies of at most ``per_body`` items (event ids are unique).
+    """All events as payload bodies of at most ``per_body`` items (event ids are unique).
 
-    Every ninth body is an error object instead of a list.
+    A body that starts with an error event is an error object instead of a list.
     """
     body_no = F.expr(f"event_id div {per_body}")
     item = F.struct(
@@ -155,7 +155,7 @@ def payload_bodies(spark: SparkSession, sf_dir: str, per_body: int = 100) -> Dat
     )
     listed = F.to_json(F.col("items.item"))
     failed = F.to_json(F.struct(F.lit("rate limit").alias("message"), F.col("body_no")))
-    return bodies.select("body_no", F.when(F.col("body_no") % 9 == 4, failed).otherwise(listed).alias("value"))
+    return bodies.select("body_no", F.when(F.col("items")[0]["item"]["name"] == "error", failed).otherwise(listed).alias("value"))
 
 
 

@@ -183,13 +183,12 @@ walk AS (
 _EVENT_ITEMS = r"""
 items AS (
     SELECT event_id, ts,
-           CASE WHEN event_id % 11 = 0 THEN strftime(ts, '%d/%m/%Y') WHEN event_id % 11 = 1 THEN '2024-02-30'
-                WHEN event_id % 11 = 2 THEN strftime(ts, '%Y%m%d')
-                WHEN event_id % 11 <> 3 THEN strftime(ts, '%Y-%m-%d') END AS date,
-           CASE WHEN event_id % 7 = 0 THEN ' ' || chr(9) || ' '
-                WHEN event_id % 7 = 1 THEN chr(160) || event_type || chr(8195)
-                WHEN event_id % 7 <> 2 THEN event_type END AS name,
-           CASE WHEN event_id % 13 = 0 THEN '' WHEN event_id % 13 <> 1 THEN ' National ' END AS type
+           CASE dayofweek(ts) WHEN 0 THEN strftime(ts, '%d/%m/%Y') WHEN 1 THEN '2024-02-30'
+                WHEN 2 THEN strftime(ts, '%Y%m%d') WHEN 3 THEN NULL ELSE strftime(ts, '%Y-%m-%d') END AS date,
+           CASE event_type WHEN 'error' THEN ' ' || chr(9) || ' '
+                WHEN 'click' THEN chr(160) || event_type || chr(8195) WHEN 'signup' THEN NULL
+                ELSE event_type END AS name,
+           CASE hour(ts) WHEN 3 THEN '' WHEN 5 THEN NULL ELSE ' National ' END AS type
     FROM events),
 checked AS (
     SELECT *, CASE WHEN date IS NULL THEN 'date: missing'
@@ -246,7 +245,9 @@ merged AS (
     SELECT * FROM (SELECT * FROM existing UNION ALL SELECT *, 1 FROM raw WHERE o_orderstatus = 'O')
     QUALIFY row_number() OVER (PARTITION BY holiday_id ORDER BY generation DESC, ingested_at DESC) = 1)"""
 _BODIES = """
-bodies AS (SELECT *, (event_id // 100) % 9 = 4 AS failed FROM events)"""
+bodies AS (
+    SELECT *, first_value(event_type) OVER (PARTITION BY event_id // 100 ORDER BY event_id) = 'error' AS failed
+    FROM events)"""
 
 
 def _report() -> str:
