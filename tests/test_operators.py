@@ -28,7 +28,7 @@ def multiset(df):
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_salted_join_equals_broadcast_join(spark, how):
     # One key holds a third of the facts; some rows are exact copies; some keys are missing or NULL.
-    facts = spark.range(300).select(
+    facts = spark.range(0, 300, 1, 7).select(
         F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 10 != 1, F.col("id") % 11).alias("k"),
         (F.col("id") % 50).alias("v"),
     )
@@ -91,7 +91,7 @@ def test_overlay_prefers_the_batch_and_its_last_arrival(spark):
 
 
 def test_keep_last_is_exact_for_a_hot_group(spark):
-    df = spark.range(1000).select(
+    df = spark.range(0, 1000, 1, 9).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 7)).alias("g"), "id"
     )
     kept = keep_last(df, ["g"], [F.desc("id")], rows=5, salts=4).collect()

@@ -36,15 +36,17 @@ def relationships(child: DataFrame, column: str, parent: DataFrame, parent_colum
     """Child values without a parent, NULL aside: ``value, n_records``.
 
     Both sides are reduced to distinct values first, combined before the
-    shuffle; the join then finds them partitioned by value already.
+    shuffle; the join then finds them partitioned by value already.  An anti
+    join would be moved below the child's aggregation, where it meets every
+    row, so this is an outer join that keeps the unmatched.
     """
     values = (
         child.where(F.col(column).isNotNull())
         .groupBy(F.col(column).alias("value"))
         .agg(F.count(F.lit(1)).alias("n_records"))
     )
-    known = parent.select(F.col(parent_column).alias("value")).distinct()
-    return values.join(known, "value", "left_anti")
+    known = parent.select(F.col(parent_column).alias("value")).distinct().withColumn("_known", F.lit(True))
+    return values.join(known, "value", "left").where(F.col("_known").isNull()).drop("_known")
 
 
 @dataclass(frozen=True)

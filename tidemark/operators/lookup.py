@@ -30,11 +30,10 @@ def lookup_join(
     The lookup's rows are counted first (unless given as ``lookup_rows``), so it
     should be a written table or cheap to compute.  A small one is broadcast and the
     facts stay where they are.  A larger one is joined by shuffle: every lookup
-    row is repeated once per salt and each fact row takes one salt, so the facts
-    of a hot key spread over ``salts`` tasks; adaptive execution splits what is
-    still skewed, such as copies of a single row.  The salt is a hash of the
-    row, hence the same when a lost task runs again.  ``salts=1`` is for keys
-    that are many and even.
+    row is repeated once per salt and each task's facts take one salt, so the
+    facts of a hot key, copies included, spread over ``salts`` tasks.  The salt
+    depends on the number of the task alone, hence stays the same when a lost
+    task runs again.  ``salts=1`` is for keys that are many and even.
 
     ``how`` is any join type that keeps the facts' side (inner, left, left_semi,
     left_anti).
@@ -47,6 +46,6 @@ def lookup_join(
         return facts.join(F.broadcast(lookup), on, how)
     if salts == 1:
         return facts.join(lookup, on, how)
-    salt = F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int")
+    salt = F.pmod(F.spark_partition_id(), F.lit(salts))
     repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return facts.withColumn("_salt", salt).join(repeated, [*on, "_salt"], how).drop("_salt")

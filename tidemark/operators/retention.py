@@ -9,18 +9,18 @@ KEPT_RECORDS = 500
 
 
 def keep_last(
-    df: DataFrame, group: list[str], newest_first: list[Column], rows: int = KEPT_RECORDS, salts: int = 32
+    df: DataFrame, group: list[str], newest_first: list[Column], rows: int = KEPT_RECORDS, salts: int = 64
 ) -> DataFrame:
     """The ``rows`` newest rows of each group.
 
-    Ranked twice, first within salted parts of a group: the last step of a hot
-    group then sees at most ``salts * rows`` rows, however many tasks read it.
+    Every task passes on at most ``rows`` rows per group (``WindowGroupLimit``).
+    They are ranked twice, first for parts of the tasks: even with very many
+    tasks the last step of a group sees at most ``salts * rows`` rows.
     """
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int")
     part = Window.partitionBy(*group, "_salt").orderBy(*newest_first)
     whole = Window.partitionBy(*group).orderBy(*newest_first)
     return (
-        df.withColumn("_salt", salt)
+        df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
         .withColumn("_rank", F.row_number().over(part))
         .where(F.col("_rank") <= rows)
         .withColumn("_rank", F.row_number().over(whole))
