@@ -201,7 +201,7 @@ def test_fractional_quantities_round(spark):
 def test_ledger_import(spark, tmp_path):
     record = {"job_id": "j", "project_id": "p", "start_time": "2026-01-05T10:00:00+00:00", "bytes_billed": 5}
     good = land(tmp_path / "led", "good.json", json.dumps([record, record], indent=2))
-    corrupt = land(tmp_path / "led", "bad.json", '[{"job_id": "j"')
+    corrupt = land(tmp_path / "led", "bad.json", '[{"job_id": "j"}, {"job_id": "k"')
     read = ledger.read_json_ledger(spark, good)
     assert read.count() == 2 and read.first()["start_time"] == dt.datetime(2026, 1, 5, 10)
     assert ledger.read_json_ledger(spark, corrupt).count() == 0

@@ -163,6 +163,16 @@ def test_breaker_and_size_limit(spark):
     check_replay(spark, [("p", "a", start, 500, 500), ("p", "b", start, 0, 0)], Budget(1000, 50.0), 100)
 
 
+def test_replay_when_the_room_shrinks_slowly(spark):
+    # Jobs that nearly fill what is left, between jobs that take a little of it.
+    start = dt.datetime(2026, 1, 1)
+    jobs = []
+    for i in range(60):
+        jobs.append(("p", f"j{2 * i:04d}", start, 1, 1))
+        jobs.append(("p", f"j{2 * i + 1:04d}", start, 100 - i, 100 - i))
+    check_replay(spark, jobs, Budget(200, 50.0), 4)
+
+
 def test_jobs_without_a_project_are_one_group(spark):
     start = dt.datetime(2026, 1, 1)
     jobs = [(p, f"j{i}{p}", start, 30, 30) for i in range(5) for p in (None, "a", "b")]

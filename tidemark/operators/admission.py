@@ -9,18 +9,16 @@ the verdicts before it.
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.budget import Budget
 from tidemark.functions.dates import month_start
-from tidemark.operators.lookup import has_at_most, lookup_join
-from tidemark.session import materialise
+from tidemark.operators.lookup import lookup_join
+from tidemark.session import materialise, scratch_path
 
 ADMITTED = "ADMITTED"
 TOO_LARGE = "TOO_LARGE"
@@ -32,7 +30,6 @@ ORDER = ["start_time", "job_id"]
 GROUP_ROWS = 5_000_000
 
 
-
 def replay_admission(ledger: DataFrame, budget: Budget, group_rows: int = GROUP_ROWS) -> DataFrame:
     """Verdict of each job and the month's total before it.
 
@@ -120,9 +117,10 @@ def _replay_large(jobs: DataFrame, budget: Budget, group_rows: int) -> DataFrame
       total never falls, so such a job can never be admitted.
 
     A round settles at least one block, and near the ceiling almost all that is
-    left, so few rounds are needed.  The block table is written once; later
-    rounds filter it by a state of one row per group.
+    left, so few rounds are needed.  Settled and open jobs are written out in
+    every round: each round reads only what the one before left open.
     """
+    spark = jobs.sparkSession
     block_rows = max(group_rows // 4, 1)
     n_blocks = max(-(-jobs.count() // block_rows), 1)
     blocks = materialise(
@@ -131,55 +129,46 @@ def _replay_large(jobs: DataFrame, budget: Budget, group_rows: int) -> DataFrame
         .withColumn("row_no", F.monotonically_increasing_id()),
         "blocks",
     )
-    fits_query = F.col("estimated_bytes") <= F.lit(budget.max_bytes_per_query)
-    settled = [blocks.where(~fits_query).withColumn("verdict", F.lit(TOO_LARGE))]
-    candidates = blocks.where(fits_query)
+    ceiling = F.lit(budget.ceiling_bytes)
+    verdict = F.when(F.col("estimated_bytes") > F.lit(budget.max_bytes_per_query), TOO_LARGE).when(
+        F.col("estimated_bytes") > ceiling, CIRCUIT_BREAKER
+    )
+    judged = blocks.withColumn("verdict", verdict)
+    settled_path = scratch_path(spark, "settled")
+
+    def settle(part: DataFrame) -> None:
+        part.select(*judged.columns).write.mode("append").parquet(settled_path)
+
+    settle(judged.where("verdict IS NOT NULL"))
+    pending = materialise(judged.where("verdict IS NULL").drop("verdict"), "pending")
     state = materialise(
-        blocks.groupBy(*GROUP).agg(
-            F.lit(0).cast("bigint").alias("total"), F.lit(-1).alias("done")
-        ),
-        "state",
+        pending.select(*GROUP).distinct().withColumn("total", F.lit(0).cast("bigint")), "state"
     )
-    fits_now = F.col("estimated_bytes") <= F.lit(budget.ceiling_bytes) - F.col("total")
-    while True:
-        pending = lookup_join(candidates, state, GROUP).where((F.col("block") > F.col("done")) & fits_now)
-        plan = materialise(_round_plan(pending, budget.ceiling_bytes, group_rows), "plan")
-        if plan.isEmpty():
-            break
-        chosen = lookup_join(pending, plan.drop("n", "billed"), [*GROUP, "block"])
-        bulk = chosen.where("step = 'bulk'").withColumn("verdict", F.lit(ADMITTED))
-        folded = materialise(
-            _fold(
-                chosen.where("step = 'fold'").withColumn("opening_total", F.col("entry_total")), budget
-            ).drop("month_total_before"),
-            "folded",
-        )
-        settled += [bulk.select(*blocks.columns, "verdict"), folded.select(*blocks.columns, "verdict")]
-        spent = folded.where(F.col("verdict") == ADMITTED).groupBy(*GROUP).agg(
-            F.sum("bytes_billed").alias("spent")
-        )
-        reached = plan.groupBy(*GROUP).agg(
-            F.max("entry_total").alias("entry_total"), F.max("block").alias("reached")
+    while not state.isEmpty():
+        plan = materialise(
+            _round_plan(lookup_join(pending, state, GROUP), budget.ceiling_bytes, group_rows), "plan"
         )
-        advanced = (
-            state.join(reached, GROUP, "left")
-            .join(spent, GROUP, "left")
-            .select(
-                *GROUP,
-                (F.coalesce("entry_total", "total") + F.coalesce("spent", F.lit(0))).alias("total"),
-                F.coalesce("reached", "done").alias("done"),
-            )
+        chosen = lookup_join(pending, plan, [*GROUP, "block"])
+        settle(chosen.where("step = 'bulk'").withColumn("verdict", F.lit(ADMITTED)))
+        opened = chosen.where("step = 'fold'").withColumnRenamed("entry_total", "opening_total")
+        folded = materialise(_fold(opened, budget), "folded")
+        settle(folded)
+        spent = (
+            folded.where(F.col("verdict") == ADMITTED).groupBy(*GROUP).agg(F.sum("bytes_billed").alias("spent"))
         )
-        advanced = materialise(advanced, "state")
-        settled.append(_hopeless(pending, advanced, fits_now, blocks.columns))
-        state = advanced
-    # What never became a candidate: larger than the whole ceiling.
-    settled.append(
-        candidates.where(F.col("estimated_bytes") > F.lit(budget.ceiling_bytes)).withColumn(
-            "verdict", F.lit(CIRCUIT_BREAKER)
+        reached = plan.groupBy(*GROUP).agg(F.max("entry_total").alias("entry"), F.max("block").alias("reached"))
+        state = materialise(
+            reached.join(spent, GROUP, "left").select(
+                *GROUP, "reached", (F.col("entry") + F.coalesce("spent", F.lit(0))).alias("total")
+            ),
+            "state",
         )
-    )
-    return _with_totals(reduce(DataFrame.unionByName, settled))
+        later = lookup_join(pending, state, GROUP).where("block > reached")
+        fits = F.col("estimated_bytes") <= ceiling - F.col("total")
+        settle(later.where(~fits).withColumn("verdict", F.lit(CIRCUIT_BREAKER)))
+        pending = materialise(later.where(fits).select(*blocks.columns), "pending")
+        state = materialise(lookup_join(state, pending.select(*GROUP).distinct(), GROUP, "left_semi"), "state")
+    return _with_totals(spark.read.schema(judged.schema).parquet(settled_path))
 
 
 def _round_plan(pending: DataFrame, ceiling: int, group_rows: int) -> DataFrame:
@@ -194,29 +183,18 @@ def _round_plan(pending: DataFrame, ceiling: int, group_rows: int) -> DataFrame:
     )
     # Even the block's largest job would fit after all the others.
     clear = F.col("total") + F.sum("billed").over(so_far) + F.col("largest") <= F.lit(ceiling)
-    marked = sums.withColumn("clear", clear).withColumn("bulk", F.min("clear").over(so_far))
-    counted = marked.withColumn(
-        "waiting", F.sum(F.when(F.col("bulk"), 0).otherwise(F.col("n"))).over(so_far)
-    ).withColumn(
-        "entry_total",
-        F.col("total") + F.coalesce(F.sum(F.when(F.col("bulk"), F.col("billed"))).over(whole), F.lit(0)),
-    )
-    fold = ~F.col("bulk") & ((F.col("waiting") <= group_rows) | (F.col("waiting") == F.col("n")))
-    step = F.when(F.col("bulk"), "bulk").when(fold, "fold")
+    bulk_bytes = F.sum(F.when(F.col("bulk"), F.col("billed"))).over(whole)
+    waiting = F.sum(F.when(F.col("bulk"), 0).otherwise(F.col("n"))).over(so_far)
+    # The first waiting block is folded whatever its size.
+    fold = (F.col("waiting") <= group_rows) | (F.col("waiting") == F.col("n"))
     return (
-        counted.withColumn("step", step)
+        sums.withColumn("clear", clear)
+        .withColumn("bulk", F.min("clear").over(so_far))
+        .withColumn("waiting", waiting)
+        .withColumn("entry_total", F.col("total") + F.coalesce(bulk_bytes, F.lit(0)))
+        .withColumn("step", F.when(F.col("bulk"), "bulk").when(fold, "fold"))
         .where("step IS NOT NULL")
-        .select(*GROUP, "block", "step", "entry_total", "n", "billed")
-    )
-
-
-def _hopeless(pending: DataFrame, advanced: DataFrame, fits_now: Column, columns: list[str]) -> DataFrame:
-    """Pending jobs behind the settled blocks that no longer fit."""
-    return (
-        lookup_join(pending.select(*columns), advanced, GROUP)
-        .where((F.col("block") > F.col("done")) & ~fits_now)
-        .select(*columns)
-        .withColumn("verdict", F.lit(CIRCUIT_BREAKER))
+        .select(*GROUP, "block", "step", "entry_total")
     )
 
 
@@ -229,7 +207,6 @@ def _with_totals(settled: DataFrame) -> DataFrame:
         .orderBy(*ORDER, "row_no")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    settled = materialise(settled, "settled")
     offsets = (
         settled.groupBy(*GROUP, "block")
         .agg(F.sum(spent).alias("spent"))
