@@ -294,7 +294,9 @@ def holiday_ingest(spark, sf_dir):
     metrics = done.metrics.first()
     return tables.source(spark, name, contracts.RECORD_COLUMNS).select(
         "*",
-        *(F.lit(metrics[c]).alias(c) for c in ("status", "records_received", "records_loaded")),
+        F.lit(metrics["status"]).alias("status"),
+        F.lit(metrics["records_received"]).cast("bigint").alias("records_received"),
+        F.lit(metrics["records_loaded"]).cast("bigint").alias("records_loaded"),
     )
 
 
