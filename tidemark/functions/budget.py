@@ -22,6 +22,11 @@ BLOCKED_LEVEL = "BLOQUEIO_OPERACIONAL"
 ALERT_TIERS = ((40.0, "ALERTA_CRITICO"), (25.0, "ALERTA"), (10.0, "ACOMPANHAMENTO"))
 CALM_LEVEL = "NORMAL"
 
+# Verdicts on a query that asks to run.
+ADMITTED = "ADMITTED"
+TOO_LARGE = "TOO_LARGE"
+CIRCUIT_BREAKER = "CIRCUIT_BREAKER"
+
 
 @dataclass(frozen=True)
 class Budget:
@@ -55,6 +60,15 @@ def alert_level(used: Column, budget: Budget) -> Column:
     return level.otherwise(CALM_LEVEL)
 
 
+def admission(estimate: Column, used: Column, budget: Budget) -> Column:
+    """Verdict on one query, given the month's usage: first its own size, then the ceiling."""
+    return (
+        F.when(estimate > budget.max_bytes_per_query, TOO_LARGE)
+        .when(used + estimate > budget.ceiling_bytes, CIRCUIT_BREAKER)
+        .otherwise(ADMITTED)
+    )
+
+
 def cost_usd(billed: Column, budget: Budget) -> Column:
     return F.bround(billed / F.lit(float(TIB)) * budget.usd_per_tib, 4)
 

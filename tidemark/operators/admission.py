@@ -15,15 +15,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.budget import Budget
+from tidemark.functions.budget import ADMITTED, CIRCUIT_BREAKER, TOO_LARGE, Budget
 from tidemark.functions.dates import month_start
 from tidemark.operators.lookup import lookup_join
 from tidemark.session import materialise, scratch_path
 
-ADMITTED = "ADMITTED"
-TOO_LARGE = "TOO_LARGE"
-CIRCUIT_BREAKER = "CIRCUIT_BREAKER"
-
 GROUP = ["project_id", "month"]
 ORDER = ["start_time", "job_id"]
 # Jobs of one project and month that a single task replays (well under a minute).

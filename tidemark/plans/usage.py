@@ -7,10 +7,11 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.budget import GIB, Budget, alert_level, cost_usd, in_unit
+from tidemark.functions.budget import ADMITTED, GIB, Budget, admission, alert_level, cost_usd, in_unit
 from tidemark.functions.dates import instant, month_label, month_start
-from tidemark.operators.admission import ADMITTED
+from tidemark.operators.lookup import lookup_join
 from tidemark.operators.retention import KEPT_RECORDS, keep_last
+from tidemark.session import materialise
 
 
 def billed_jobs(jobs: DataFrame) -> DataFrame:
@@ -72,6 +73,20 @@ def usage_summary(usage: DataFrame, budget: Budget) -> DataFrame:
     )
 
 
+def request_verdicts(requests: DataFrame, usage: DataFrame, budget: Budget) -> DataFrame:
+    """Each request judged by itself against the usage of its project and month.
+
+    Unlike the replay, one request's verdict does not change the next one's.
+    ``requests`` has project_id, month and estimated_bytes.
+    """
+    used = F.coalesce("bytes_used_month", F.lit(0))
+    estimate = F.coalesce("estimated_bytes", F.lit(0))
+    judged = lookup_join(requests, materialise(usage, "usage"), ["project_id", "month"], "left")
+    return judged.withColumn("verdict", admission(estimate, used, budget)).withColumn(
+        "projected_bytes", used + estimate
+    )
+
+
 def admitted_job_costs(replayed: DataFrame, budget: Budget) -> DataFrame:
     """Cost of each admitted job and the alert level right after it."""
     after = F.col("month_total_before") + F.col("bytes_billed")

@@ -491,6 +491,13 @@ def oracle_sql() -> dict[str, str]:
         + """SELECT j.project_id, j.month, j.start_time, j.job_id, j.estimated_bytes, j.bytes_billed,
                     w.verdict, w.total_before AS month_total_before
              FROM walk w JOIN jobs j USING (project_id, month, place)""",
+        "request_verdicts": _with(_LEDGER, _USED)
+        + f"""SELECT project_id, month, job_id, estimated_bytes,
+                     CASE WHEN estimated_bytes > {_LARGEST} THEN 'TOO_LARGE'
+                          WHEN coalesce(bytes_used_month, 0) + estimated_bytes > {_CEILING}
+                          THEN 'CIRCUIT_BREAKER' ELSE 'ADMITTED' END AS verdict,
+                     coalesce(bytes_used_month, 0) + estimated_bytes AS projected_bytes
+              FROM ledger LEFT JOIN used USING (project_id, month) WHERE state = 'RUNNING'""",
         "admitted_job_costs": _with(_LEDGER, _REPLAY, recursive=True)
         + f"""SELECT j.project_id, j.month, j.job_id, j.bytes_billed,
                      round_even(j.bytes_billed / 1099511627776.0 * 6.25, 4) AS estimated_cost_usd,

@@ -439,6 +439,20 @@ def admission_replay(spark, sf_dir):
     return replay_admission(b.job_ledger(spark, sf_dir), b.BUDGET)
 
 
+@query
+def request_verdicts(spark, sf_dir):
+    """Running jobs as requests, judged against what the finished ones used."""
+    jobs = b.job_ledger(spark, sf_dir)
+    requests = jobs.where("state = 'RUNNING'").select(
+        "project_id",
+        date_functions.month_start(F.col("start_time")).alias("month"),
+        "job_id",
+        "estimated_bytes",
+    )
+    used = usage.monthly_usage(usage.billed_jobs(jobs))
+    return usage.request_verdicts(requests, used, b.BUDGET).drop("bytes_used_month")
+
+
 @query
 def admitted_job_costs(spark, sf_dir):
     replayed = replay_admission(b.job_ledger(spark, sf_dir), b.BUDGET)
