@@ -169,6 +169,17 @@ def test_ensure_upsert_and_required(spark, tmp_path):
     assert tables.read_by_key(spark, table, "holiday_id", "k", ["holiday_id"]).count() == 1
 
 
+def test_a_table_declared_over_existing_data_keeps_it(spark, tmp_path):
+    place = str(tmp_path / "kept")
+    first = ("k", dt.date(2026, 1, 1), "n", "t", "s", NOW)
+    tables.ensure_table(spark, "kept_a", location=place)
+    assert tables.upsert(spark.createDataFrame([first], tables.RAW_HOLIDAYS), "kept_a") == 1
+    # Another catalog's view of the same folder, as after a restart.
+    tables.ensure_table(spark, "kept_b", location=place)
+    second = ("l", dt.date(2026, 5, 1), "n", "t", "s", NOW)
+    assert tables.upsert(spark.createDataFrame([second], tables.RAW_HOLIDAYS), "kept_b") == 2
+
+
 def test_read_by_key_reaches_the_scan(spark, tmp_path):
     tables.ensure_table(spark, "messages", "id string, message string", str(tmp_path / "m"), by_year_of=None)
     tables.append(spark.createDataFrame([("a", "x"), ("b", "y")], "id string, message string"), "messages")

@@ -98,8 +98,6 @@ def ingest_holidays(
         bodies = read_bodies(spark, paths, whole_files)
         items = materialise(payload_items(bodies, strict=mode == "strict"), "items")
         received = items.count()
-        if received == 0:
-            return finish("SUCCESS", 0)
         rejects = None
         if mode == "strict":
             valid = strict_records(items, started, source, lenient_dates)
@@ -110,6 +108,8 @@ def ingest_holidays(
                 unread.select(*PLACE, "reject_reason")
             )
         results = {"records": valid, "rejects": rejects}
+        if received == 0:
+            return finish("SUCCESS", 0, **results)
         if dry_run:
             return finish("SUCCESS", valid.count(), sample=dry_run_sample(valid, PLACE), **results)
         ensure_table(spark, table, RAW_HOLIDAYS, location)

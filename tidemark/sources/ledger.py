@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import path_exists
+
 LEDGER_SCHEMA = (
     "execution_id string, step_name string, job_id string, project_id string, "
     "start_time timestamp, end_time timestamp, bytes_processed bigint, bytes_billed bigint, "
@@ -19,14 +20,10 @@ def read_json_ledger(spark: SparkSession, path: str, lines: bool = False) -> Dat
     A missing path is an empty ledger.  So is a file that is no valid JSON
     array of records; of a line-wise ledger the broken lines are dropped.
     """
-    try:
-        return spark.read.json(
-            path, schema=LEDGER_SCHEMA, multiLine=not lines, mode="DROPMALFORMED"
-        ).where(F.coalesce("job_id", "execution_id").isNotNull())
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], LEDGER_SCHEMA)
-        raise
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], LEDGER_SCHEMA)
+    records = spark.read.json(path, schema=LEDGER_SCHEMA, multiLine=not lines, mode="DROPMALFORMED")
+    return records.where(F.coalesce("job_id", "execution_id").isNotNull())
 
 
 def append_ledger(records: DataFrame, path: str) -> None:
@@ -36,9 +33,6 @@ def append_ledger(records: DataFrame, path: str) -> None:
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """The parquet ledger; empty while nothing has been appended."""
-    try:
-        return spark.read.schema(LEDGER_SCHEMA).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], LEDGER_SCHEMA)
-        raise
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], LEDGER_SCHEMA)
+    return spark.read.schema(LEDGER_SCHEMA).parquet(path)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.latest import overlay
-from tidemark.session import materialise, setting
+from tidemark.session import materialise, path_exists, setting
 
 RAW_HOLIDAYS = (
     "holiday_id string, date date, name string, type string, source string, ingested_at timestamp"
@@ -23,8 +23,10 @@ def ensure_table(
 ) -> None:
     """Create the database and the parquet table unless they exist.
 
-    ``by_year_of`` names the date column whose year partitions the table.
+    ``by_year_of`` names the date column whose year partitions the table.  A
+    table declared over a ``location`` that already holds data finds its years.
     """
+    known = spark.catalog.tableExists(table)
     if "." in table:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.rsplit('.', 1)[0]}")
     columns = f"{schema}, year int" if by_year_of else schema
@@ -34,6 +36,8 @@ def ensure_table(
     if location:
         statement += f" LOCATION '{location}'"
     spark.sql(statement)
+    if by_year_of and location and not known and path_exists(spark, location):
+        spark.catalog.recoverPartitions(table)
 
 
 def source(spark: SparkSession, table: str, columns: list[str] | None = None) -> DataFrame:
@@ -71,9 +75,9 @@ def upsert(
     A key must keep its year (the holiday key contains the date), so only the
     years that occur in the batch are read and rewritten.  The merged rows are
     written to a scratch table first: the overwrite then never reads what it
-    replaces, and a run that dies half-way can be repeated.  Range partitioning
-    spreads a large year over many files and clusters each one.  An empty batch
-    changes nothing and returns 0.
+    replaces, and a copy outlasts a driver that dies while files are exchanged.
+    Range partitioning spreads a large year over many files and clusters each
+    one.  An empty batch changes nothing and returns 0.
     """
     spark = batch.sparkSession
     arrival = arrival or ["ingested_at"]

@@ -155,7 +155,8 @@ def payload_bodies(spark: SparkSession, sf_dir: str, per_body: int = 100) -> Dat
     )
     listed = F.to_json(F.col("items.item"))
     failed = F.to_json(F.struct(F.lit("rate limit").alias("message"), F.col("body_no")))
-    return bodies.select("body_no", F.when(F.col("items")[0]["item"]["name"] == "error", failed).otherwise(listed).alias("value"))
+    starts_with_error = F.col("items")[0]["item"]["name"] == "error"
+    return bodies.select("body_no", F.when(starts_with_error, failed).otherwise(listed).alias("value"))
 
 
 
