@@ -22,7 +22,8 @@ def test_trim_takes_every_unicode_blank(spark):
 
 
 def test_strip_agrees_with_python_strip(spark):
-    texts = [SEPARATORS + " x ", "​x", "﻿x ", "　", "", "x"]
+    texts = ["x ", " x", "x\u00a0", "\u00e9 ", " \u00e9", "~", "~ ", "\x7f", "!\t!", "x\u2003\x1f", "", "x"]
+    texts += [SEPARATORS + " x ", "\u200bx", "\ufeffx ", "\u3000", "\u00a0\u2028"]
     rows = spark.createDataFrame([(t,) for t in texts], "t string").select(
         "t", stripped(F.col("t")).alias("s"), blank(F.col("t")).alias("b")
     )

@@ -90,6 +90,18 @@ def test_overlay_prefers_the_batch_and_its_last_arrival(spark):
     assert sorted(tuple(r) for r in merged.collect()) == [("a", "last"), ("b", "old"), ("c", "new")]
 
 
+@FEW
+@given(
+    existing=st.dictionaries(st.sampled_from("abcdef"), st.integers(0, 3), max_size=5),
+    batch=st.lists(st.tuples(st.sampled_from("abcdefgh"), st.integers(0, 9)), max_size=12),
+)
+def test_overlay_equals_a_dictionary_update(spark, existing, batch):
+    old = spark.createDataFrame(list(existing.items()), "id string, v int")
+    new = spark.createDataFrame([(k, v, i) for i, (k, v) in enumerate(batch)], "id string, v int, seq int")
+    merged = overlay(old, new, ["id"], ["seq"]).collect()
+    assert sorted(tuple(r) for r in merged) == sorted({**existing, **dict(batch)}.items())
+
+
 def test_keep_last_is_exact_for_a_hot_group(spark):
     df = spark.range(0, 1000, 1, 9).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 7)).alias("g"), "id"

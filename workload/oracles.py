@@ -51,10 +51,10 @@ _PARTS = """
        dayofweek(d.calendar_date) IN (0, 6) AS is_weekend"""
 _NEAR = """
 near AS (
-    SELECT c.calendar_date,
-           min(CASE WHEN h.holiday_date >= c.calendar_date THEN h.holiday_date END) AS next_holiday_date,
-           max(CASE WHEN h.holiday_date <= c.calendar_date THEN h.holiday_date END) AS prev_holiday_date
-    FROM spine c CROSS JOIN holidays h GROUP BY c.calendar_date)"""
+    SELECT calendar_date,
+           (SELECT min(holiday_date) FROM holidays WHERE holiday_date >= calendar_date) AS next_holiday_date,
+           (SELECT max(holiday_date) FROM holidays WHERE holiday_date <= calendar_date) AS prev_holiday_date
+    FROM spine)"""
 _CALENDAR = f"""
 calendar AS (
     SELECT d.calendar_date, {_PARTS},
@@ -398,8 +398,8 @@ def oracle_sql() -> dict[str, str]:
         + """SELECT holiday_id, strftime(date, '%Y-%m-%d') AS date, chr(160) || ' ' || name || chr(9) AS name,
                     ' National ' AS type, source, ingested_at FROM merged""",
         "upsert_roundtrip": _with(_RAW, _ARRIVED)
-        + """SELECT holiday_id, date, chr(160) || ' ' || name || chr(9) AS name, ' National ' AS type, source, ingested_at
-             FROM merged""",
+        + """SELECT holiday_id, date, chr(160) || ' ' || name || chr(9) AS name, ' National ' AS type, source,
+                    ingested_at FROM merged""",
         "append_readback": """
             SELECT 'user-' || user_id AS id, event_type AS message, ts AS created_at
             FROM events WHERE user_id = 8""",
