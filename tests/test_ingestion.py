@@ -77,18 +77,24 @@ def test_payload_scan(spark, tmp_path):
             {"date": 20260101, "name": None, "type": "x"},
             3,
             {"name": "só"},
+            '{"date": "2026-01-01", "name": "quoted", "type": "x"}',
+            None,
+            {"date": "2026-01-02", "name": "a", "type": "b"},
         ],
     )
     second = land(tmp_path / "p", "2025.json", '{"message": "no"}')
     bodies = payloads.read_bodies(spark, [first, first, second])
     found = payloads.payload_items(bodies).orderBy("path_no", "item_no").collect()
-    assert [(r["date"], r["name"], r["type"], r["reject_reason"]) for r in found[:4]] == [
+    assert [(r["date"], r["name"], r["type"], r["reject_reason"]) for r in found[:7]] == [
         ("2026-01-01", "Ano", "national", None),
         ("20260101", None, "x", "date: not text"),
         (None, None, None, "item: not an object"),
         (None, "só", None, None),
+        (None, None, None, "item: not an object"),
+        (None, None, None, "item: not an object"),
+        ("2026-01-02", "a", "b", None),
     ]
-    assert len(found) == 8
+    assert len(found) == 14
     assert payloads.rejected_bodies(bodies).select("file").first()[0].endswith("2025.json")
     with pytest.raises(Exception, match="not a list"):
         payloads.payload_items(bodies, strict=True).collect()

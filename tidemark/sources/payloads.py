@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FIELDS = ("date", "name", "type")
+# The shape of an item with just these fields, all text: nothing else to look at.
+PLAIN_ITEM = "OBJECT<date: STRING, name: STRING, type: STRING>"
 
 
 def year_paths(folder: str, years: list[int]) -> list[str]:
@@ -59,16 +61,19 @@ def payload_items(bodies: DataFrame, strict: bool = False) -> DataFrame:
         lists = bodies.where(is_list)
     place = [c for c in bodies.columns if c != "body"]
     items = lists.select(
-        *place, F.posexplode(F.from_json("body", "array<string>")).alias("item_no", "item")
-    ).withColumn("item", F.try_parse_json("item"))
-    wrong = F.when(~_kind(F.col("item")).startswith("OBJECT"), "item: not an object")
+        *place, F.posexplode(F.from_json("body", "array<variant>")).alias("item_no", "item")
+    )
+    shape = _kind(F.col("item"))
+    wrong = F.when(shape == PLAIN_ITEM, None).when(
+        shape.isNull() | ~shape.startswith("OBJECT"), "item: not an object"
+    )
     for name in FIELDS:
         kind = _kind(_field(name, "variant"))
         # VOID is an explicit null: the contract reports it as missing.
         wrong = wrong.when(kind.isNotNull() & ~kind.isin("STRING", "VOID"), f"{name}: not text")
     return items.select(
         *(_field(name, "string").alias(name) for name in FIELDS),
-        F.coalesce(wrong, F.when(F.col("item").isNull(), "item: not an object")).alias("reject_reason"),
+        wrong.alias("reject_reason"),
         *place,
         "item_no",
     )
