@@ -8,8 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FIELDS = ("date", "name", "type")
-# The shape of an item with just these fields, all text: nothing else to look at.
-PLAIN_ITEM = "OBJECT<date: STRING, name: STRING, type: STRING>"
 
 
 def year_paths(folder: str, years: list[int]) -> list[str]:
@@ -63,15 +61,16 @@ def payload_items(bodies: DataFrame, strict: bool = False) -> DataFrame:
     items = lists.select(
         *place, F.posexplode(F.from_json("body", "array<variant>")).alias("item_no", "item")
     )
-    shape = _kind(F.col("item"))
-    wrong = F.when(shape == PLAIN_ITEM, None).when(
-        shape.isNull() | ~shape.startswith("OBJECT"), "item: not an object"
-    )
-    for name in FIELDS:
-        kind = _kind(_field(name, "variant"))
+    kinds = {name: F.col(f"_{name}") for name in FIELDS}
+    typed = items.select("*", *(_kind(_field(name, "variant")).alias(f"_{name}") for name in FIELDS))
+    # Only an item without any of the fields needs a look at its own kind.
+    fieldless = F.coalesce(*kinds.values()).isNull()
+    is_object = F.coalesce(_kind(F.col("item")).startswith("OBJECT"), F.lit(False))
+    wrong = F.when(fieldless & ~is_object, "item: not an object")
+    for name, kind in kinds.items():
         # VOID is an explicit null: the contract reports it as missing.
-        wrong = wrong.when(kind.isNotNull() & ~kind.isin("STRING", "VOID"), f"{name}: not text")
-    return items.select(
+        wrong = wrong.when(~kind.isin("STRING", "VOID"), f"{name}: not text")
+    return typed.select(
         *(_field(name, "string").alias(name) for name in FIELDS),
         wrong.alias("reject_reason"),
         *place,
