@@ -25,10 +25,11 @@ def test_strip_agrees_with_python_strip(spark):
     texts = ["x ", " x", "x\u00a0", "\u00e9 ", " \u00e9", "~", "~ ", "\x7f", "!\t!", "x\u2003\x1f", "", "x"]
     texts += [SEPARATORS + " x ", "\u200bx", "\ufeffx ", "\u3000", "\u00a0\u2028"]
     rows = spark.createDataFrame([(t,) for t in texts], "t string").select(
-        "t", stripped(F.col("t")).alias("s"), blank(F.col("t")).alias("b")
+        "t", stripped(F.col("t")).alias("s"), trimmed(F.col("t")).alias("w"), blank(F.col("t")).alias("b")
     )
     for row in rows.collect():
         assert row["s"] == row["t"].strip()
+        assert row["w"] == row["t"].strip(WHITESPACE)
         assert row["b"] == (not row["t"].strip())
 
 
