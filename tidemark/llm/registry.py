@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_quality, main_text, mixing, quality_model, token_counts, warc
+from tidemark.llm import (
+    line_quality,
+    main_text,
+    mixing,
+    quality_model,
+    relative_lz,
+    suffix_dedup,
+    token_counts,
+    warc,
+    winnowing,
+)
 from tidemark.session import scratch_path, use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +27,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return use_utc(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_relative_lz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return relative_lz.remove_passages(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     streams, archives = scratch_path(spark, "warc-streams"), scratch_path(spark, "warc")
@@ -54,6 +68,22 @@ def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.extract_main_text(table(spark, sf_dir, "pages"))
 
 
+def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = winnowing.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_strings(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -64,11 +94,14 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     function.__name__: function
     for function in (
+        op1_relative_lz,
         op2_warc,
         op4_mixing,
         op5_line_quality,
         op6_quality_model,
         op7_main_text,
+        op8_winnowing,
+        op9_suffix_dedup,
         op10_token_counts,
     )
 }
