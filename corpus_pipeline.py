@@ -1,23 +1,88 @@
-"""A training corpus from raw documents: quality, near duplicates, repeats, benchmark leaks, mixing."""
+"""A training corpus from raw documents, in five stages.
+
+Each stage reads what the one before has written and returns the columns of
+``documents``; the last returns the mix.  Nulls, empty texts and repeated rows are
+handled as the operators say; a document without an id is never dropped as a near
+duplicate, as nothing else can name it.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import registry
-from tidemark.session import scratch_path
+from tidemark.llm import mixing, ngram_join, quality_model, registry, suffix_dedup, winnowing
+from tidemark.session import scratch_path, use_utc
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+_OTHERS = ("lang", "source", "n_chars")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    weights, _ = quality_model.train(docs, registry.table(spark, sf_dir, "labels"))
+    scored = quality_model.score_quality(docs, weights, keep_cols=("text", *_OTHERS))
+    return scored.where("predicted = 1").select(*COLUMNS)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest id.
+
+    Rows that repeat an id are one document; the least of their contents stays.
+    """
+    docs = docs.select(*COLUMNS)
+    groups = ngram_join.near_duplicates(docs)
+    kept = groups.where("doc_id = component_id").select("doc_id").distinct()
+    rest = F.struct(*COLUMNS[1:])
+    named = docs.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(rest).alias("rest"))
+    return named.select("doc_id", "rest.*").unionByName(docs.where("doc_id IS NULL"))
+
+
+def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the byte strings that a document of a smaller id has too; emptied ones go."""
+    cut = suffix_dedup.remove_strings(docs, keep_cols=_OTHERS, with_text=True)
+    emptied = (F.col("n_removed") > 0) & (F.trim("kept_text") == "")
+    touched = F.col("n_removed") > 0
+    return cut.where(~emptied).select(
+        "doc_id",
+        F.col("kept_text").alias("text"),
+        "lang",
+        "source",
+        F.when(touched, F.char_length("kept_text").cast("long")).otherwise(F.col("n_chars")).alias("n_chars"),
+    )
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of a benchmark item."""
+    benchmark = registry.table(spark, sf_dir, "benchmark")
+    judged = winnowing.decontaminate(docs.select(*COLUMNS), benchmark, keep_cols=("text", *_OTHERS))
+    return judged.where("n_hit = 0").select(*COLUMNS)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """How many words the mix takes of each document."""
+    return mixing.mix_documents(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("repeats", repeats),
+    ("decontamination", decontamination),
+    ("mixture", mixture),
+]
+
+# A trained classifier, components and exact repeats over all documents have no SQL form.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written and read again as the input of the next."""
-    docs = registry.table(spark, sf_dir, "documents")
+    docs = registry.table(use_utc(spark), sf_dir, "documents")
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)

@@ -161,14 +161,24 @@ def train(
     return fit(positive, unlabelled, prior).astype(np.float32), prior
 
 
-def score_quality(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Id, ``held_out``, ``score`` and ``predicted`` of every text."""
-    schema = T.StructType([docs.schema[id_col], T.StructField("held_out", T.BooleanType()), T.StructField("score", T.DoubleType())])
+def score_quality(
+    docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text", keep_cols: tuple[str, ...] = ()
+) -> DataFrame:
+    """Id, ``held_out``, ``score`` and ``predicted`` of every text; ``keep_cols`` are handed through."""
+    schema = T.StructType(
+        [
+            docs.schema[id_col],
+            T.StructField("held_out", T.BooleanType()),
+            T.StructField("score", T.DoubleType()),
+            *(docs.schema[name] for name in keep_cols),
+        ]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             z = np.array([features(text or "") @ weights for text in batch.column(2).to_pylist()], np.float64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(_sigmoid(z))], schema.names)
+            kept = batch.columns[3:]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(_sigmoid(z)), *kept], schema.names)
 
-    scored = docs.select(F.col(id_col), held_out(id_col).alias("held_out"), F.col(text_col)).mapInArrow(run, schema)
-    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    given = docs.select(F.col(id_col), held_out(id_col).alias("held_out"), F.col(text_col), *map(F.col, keep_cols))
+    return given.mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

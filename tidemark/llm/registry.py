@@ -11,6 +11,7 @@ from tidemark.llm import (
     line_quality,
     main_text,
     mixing,
+    ngram_join,
     quality_model,
     relative_lz,
     suffix_dedup,
@@ -50,6 +51,10 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
@@ -96,6 +101,7 @@ QUERIES: dict[str, Query] = {
     for function in (
         op1_relative_lz,
         op2_warc,
+        op3_ngram_join,
         op4_mixing,
         op5_line_quality,
         op6_quality_model,
