@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 from decimal import Decimal
 
 import pytest
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.budget import GIB, Budget, alert_level, cost_usd, in_unit
 from tidemark.functions.dates import iso_date, run_label, seconds_between
+from tidemark.functions.rounding import rounded
 from tidemark.functions.keys import holiday_key
 from tidemark.functions.money import growth_pct, mean_money
 from tidemark.functions.text import SEPARATORS, WHITESPACE, blank, stripped, trimmed
@@ -115,3 +117,19 @@ def test_run_label_and_duration(spark):
     end = F.lit("2026-01-05 13:45:02.346").cast("timestamp")
     assert value(spark, run_label(start)) == "20260105_134500"
     assert value(spark, seconds_between(start, end)) == 2.35
+
+
+def test_rounding_is_that_of_the_exact_double(spark):
+    r = random.Random(11)
+    values = [2.345, 1.005, 0.285, 5e-5, 0.125, 2.5, -2.5, -2.345, 0.0, 1e15 + 0.5, 123456789.12345, 1e300]
+    values += [r.uniform(-1e6, 1e6) for _ in range(500)] + [r.randrange(10**6) / 1000 for _ in range(500)]
+    values += [r.randrange(-(10**6), 10**6) / 2**k for k in range(1, 20) for _ in range(10)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for decimals in (0, 1, 2, 3, 4):
+        found = df.select("v", rounded(F.col("v"), decimals).alias("r")).collect()
+        assert [row.r for row in found] == [round(row.v, decimals) for row in found]
+
+
+def test_duration_at_a_binary_tie(spark):
+    start = dt.datetime(2026, 1, 5, 12)
+    assert value(spark, seconds_between(F.lit(start), F.lit(start + dt.timedelta(seconds=2, microseconds=345000)))) == 2.35

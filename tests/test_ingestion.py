@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -199,8 +200,8 @@ def test_sales_csv(spark, tmp_path):
     head = "sale_id,sale_date,product_id,product_category,quantity,unit_price,revenue,region\n"
     good = land(tmp_path / "csv", "a.csv", head + "S1,2024-02-05, P1 ,Bebidas,45,12.50,562.50,Sul \n")
     row = stg_sales(read_sales_csv(spark, good)).first()
-    assert (row["sale_date"], row["product_id"], row["quantity"], str(row["revenue"]), row["region"]) == (
-        dt.date(2024, 2, 5), "P1", 45, "562.50", "Sul",
+    assert (row["sale_date"], row["product_id"], row["quantity"], row["revenue"], row["region"]) == (
+        dt.date(2024, 2, 5), "P1", 45, Decimal("562.50"), "Sul",
     )
     bad = land(tmp_path / "csv", "b.csv", head + "S1,2024-02-05,P1,Bebidas,many,12.50,562.50,Sul\n")
     with pytest.raises(Exception):
@@ -223,6 +224,17 @@ def test_ledger_import(spark, tmp_path):
     assert read.count() == 2 and read.first()["start_time"] == dt.datetime(2026, 1, 5, 10)
     assert ledger.read_json_ledger(spark, corrupt).count() == 0
     assert ledger.read_json_ledger(spark, str(tmp_path / "none.json")).count() == 0
+    assert [r.reject_reason for r in ledger.ledger_rejects(spark, corrupt).collect()] == ["record: not an object"]
+    lines = land(
+        tmp_path / "led",
+        "lines.json",
+        '{"job_id": "a", "bytes_billed": 7.5}\n{"status": "SUCCESS", "bytes_billed": 100}\nnonsense\n[1]\n{"bytes_billed": "x", "job_id": "b"}\n',
+    )
+    kept = ledger.read_json_ledger(spark, lines, lines=True).collect()
+    assert sorted((r.job_id or "", r.bytes_billed) for r in kept if r.bytes_billed) == [("", 100), ("a", 8)]
+    assert len(kept) == 3
+    reasons = sorted(r.reject_reason for r in ledger.ledger_rejects(spark, lines, lines=True).collect())
+    assert reasons == ["bytes_billed: does not fit", "record: not an object", "record: not an object"]
     place = str(tmp_path / "parquet")
     assert ledger.read_ledger(spark, place).count() == 0
     ledger.append_ledger(read, place)

@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.budget import Budget
 from tidemark.operators import checks
-from tidemark.operators.admission import replay_admission
 from tidemark.operators.latest import latest_by, overlay
-from tidemark.operators.lookup import has_at_most, lookup_join
+from tidemark.operators.lookup import lookup_join
 from tidemark.operators.nearest import nearest_dates
 from tidemark.operators.retention import keep_last
 from tidemark.plans.calendar import date_spine
+from tidemark.session import materialise, setting
 
 FEW = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -26,23 +26,21 @@ def multiset(df):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_broadcast_join(spark, how):
-    # One key holds a third of the facts; some rows are exact copies; some keys are missing or NULL.
-    facts = spark.range(0, 300, 1, 7).select(
+def test_lookup_join_by_the_bytes_of_the_lookup(spark, how):
+    # One key holds a third of the facts, in two partitions; some rows are exact copies; some keys are missing or NULL.
+    facts = spark.range(0, 300, 1, 2).select(
         F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 10 != 1, F.col("id") % 11).alias("k"),
         (F.col("id") % 50).alias("v"),
     )
-    lookup = spark.createDataFrame([(k, f"n{i}") for k in (1, 3, 7) for i in range(k)], "k long, name string")
+    rows = [(k, f"n{i}") for k in (1, 3, 7) for i in range(k)]
+    lookup = materialise(spark.createDataFrame(rows, "k long, name string"), "lookup")
     small = lookup_join(facts, lookup, ["k"], how)
-    salted = lookup_join(facts, lookup, ["k"], how, broadcast_rows=2, salts=5)
-    plain = lookup_join(facts, lookup, ["k"], how, broadcast_rows=2, salts=1)
-    assert multiset(small) == multiset(salted) == multiset(plain)
     assert "BroadcastHashJoin" in small._jdf.queryExecution().toString()
-
-
-def test_row_bound(spark):
-    assert has_at_most(spark.range(5), 5)
-    assert not has_at_most(spark.range(6), 5)
+    expected = multiset(small)
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        large = lookup_join(facts, lookup, ["k"], how)
+        assert "BroadcastHashJoin" not in large._jdf.queryExecution().toString()
+        assert multiset(large) == expected
 
 
 # --- nearest dates --------------------------------------------------------------
@@ -106,7 +104,7 @@ def test_keep_last_is_exact_for_a_hot_group(spark):
     df = spark.range(0, 1000, 1, 9).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 7)).alias("g"), "id"
     )
-    kept = keep_last(df, ["g"], [F.desc("id")], rows=5, salts=4).collect()
+    kept = keep_last(df, ["g"], [F.desc("id")], rows=5).collect()
     groups = {}
     for row in df.collect():
         groups.setdefault(row["g"], []).append(row["id"])
@@ -114,83 +112,6 @@ def test_keep_last_is_exact_for_a_hot_group(spark):
     assert {(r["g"], r["id"]) for r in kept} == expected and len(kept) == len(expected)
 
 
-# --- admission replay -----------------------------------------------------------
-
-LEDGER = "project_id string, job_id string, start_time timestamp, estimated_bytes long, bytes_billed long"
-
-
-def brute_force(jobs, budget):
-    totals, result = {}, {}
-    for project, job, start, estimate, billed in sorted(jobs, key=lambda j: (j[2], j[1])):
-        group = (project, start.strftime("%Y-%m"))
-        total = totals.setdefault(group, 0)
-        if (estimate or 0) > budget.max_bytes_per_query:
-            verdict = "TOO_LARGE"
-        elif total + (estimate or 0) > budget.ceiling_bytes:
-            verdict = "CIRCUIT_BREAKER"
-        else:
-            verdict = "ADMITTED"
-            totals[group] += billed or 0
-        result[job] = (verdict, total)
-    return result
-
-
-def check_replay(spark, jobs, budget, group_rows):
-    replayed = replay_admission(spark.createDataFrame(jobs, LEDGER), budget, group_rows)
-    rows = replayed.collect()
-    assert len(rows) == len(jobs)
-    assert {r["job_id"]: (r["verdict"], r["month_total_before"]) for r in rows} == brute_force(jobs, budget)
-
-
-def random_jobs(seed, n, largest=100):
-    pick = random.Random(seed)
-    jobs = []
-    for i in range(n):
-        # Half of the jobs share one project and day.
-        hot = pick.random() < 0.5
-        start = dt.datetime(2026, 1, 10) if hot else dt.datetime(2026, pick.choice([1, 2]), pick.randint(1, 28))
-        estimate = pick.choice([0, None, 1, pick.randint(1, largest), pick.randint(1, 8)])
-        billed = pick.choice([None, 0, estimate, (estimate or 0) + 3, (estimate or 0) // 2])
-        jobs.append(("p0" if hot else f"p{pick.randint(0, 2)}", f"j{i:05d}", start, estimate, billed))
-    return jobs
-
-
-@pytest.mark.parametrize("group_rows", [1000, 40, 8])
-@pytest.mark.parametrize("seed", [1, 2])
-def test_replay_equals_the_sequential_rule(spark, seed, group_rows):
-    check_replay(spark, random_jobs(seed, 240), Budget(1200, 50.0, 90), group_rows)
-
-
-def test_replay_of_a_large_group_within_and_beyond_the_ceiling(spark):
-    jobs = random_jobs(3, 150)
-    check_replay(spark, jobs, Budget(10**9, 50.0, 10**6), 20)
-    check_replay(spark, jobs, Budget(2, 50.0, 10**6), 20)
-
-
-def test_breaker_and_size_limit(spark):
-    start = dt.datetime(2026, 1, 1)
-    check_replay(spark, [("p", "a", start, 600, 600)], Budget(1000, 50.0, 10**6), 100)
-    check_replay(spark, [("p", "a", start, 500, 500)], Budget(10**6, 50.0, 200), 100)
-    # Exactly the ceiling is still admitted.
-    check_replay(spark, [("p", "a", start, 500, 500), ("p", "b", start, 0, 0)], Budget(1000, 50.0), 100)
-
-
-def test_replay_when_the_room_shrinks_slowly(spark):
-    # Jobs that nearly fill what is left, between jobs that take a little of it.
-    start = dt.datetime(2026, 1, 1)
-    jobs = []
-    for i in range(60):
-        jobs.append(("p", f"j{2 * i:04d}", start, 1, 1))
-        jobs.append(("p", f"j{2 * i + 1:04d}", start, 100 - i, 100 - i))
-    check_replay(spark, jobs, Budget(200, 50.0), 4)
-
-
-def test_jobs_without_a_project_are_one_group(spark):
-    start = dt.datetime(2026, 1, 1)
-    jobs = [(p, f"j{i}{p}", start, 30, 30) for i in range(5) for p in (None, "a", "b")]
-    check_replay(spark, jobs, Budget(200, 50.0), 100)
-
-
 # --- data tests -----------------------------------------------------------------
 
 

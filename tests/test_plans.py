@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.budget import Budget
 from tidemark.plans import calendar, opportunities, quality, sales, usage
 from tidemark.plans.models import build_models
+from tidemark.session import materialise
 
 HOLIDAYS = "holiday_id string, holiday_date date, holiday_name string, holiday_type string"
 
@@ -175,6 +176,7 @@ def test_next_holiday_goes_by_the_smallest_name(spark):
 
 def test_facts_join_without_shuffling_the_sales(spark):
     dim = calendar.dim_calendar(calendar.commercial_calendar(spark, holidays(spark, ("2024-12-25", "Natal"))))
+    dim = materialise(dim, "dim_calendar")
     from tidemark.plans.staging import stg_sales
 
     plan = sales.fct_sales(stg_sales(raw_sales(spark, SALES)), dim)._jdf.queryExecution().executedPlan().toString()
@@ -197,7 +199,10 @@ def test_monthly_usage_counts_failed_jobs_unless_asked_not_to(spark):
     recorded = {r.month: r.bytes_used_month for r in usage.monthly_usage(jobs, "SUCCESS").collect()}
     assert recorded[january] == 17
     current = usage.usage_of_month(usage.successful_records(jobs), dt.datetime(2026, 1, 5)).collect()
-    assert [tuple(r) for r in current] == [("p", january, 18)]
+    assert [tuple(r) for r in current] == [("p", january, 17)]
+    projects = spark.createDataFrame([("p",), ("idle",)], "project_id string")
+    known = usage.usage_of_month(usage.successful_records(jobs), dt.datetime(2026, 1, 5), projects=projects).collect()
+    assert sorted(tuple(r) for r in known) == [("idle", january, 0), ("p", january, 17)]
 
 
 def test_usage_summary_figures(spark):

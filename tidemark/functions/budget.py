@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.functions.rounding import rounded
+
 MIB = 1024**2
 GIB = 1024**3
 TIB = 1024**4
@@ -70,9 +72,9 @@ def admission(estimate: Column, used: Column, budget: Budget) -> Column:
 
 
 def cost_usd(billed: Column, budget: Budget) -> Column:
-    return F.bround(billed / F.lit(float(TIB)) * budget.usd_per_tib, 4)
+    return rounded(billed / F.lit(float(TIB)) * budget.usd_per_tib, 4)
 
 
 def in_unit(size: Column, unit: int, decimals: int) -> Column:
     """Bytes as MiB, GiB or TiB (``unit`` bytes each)."""
-    return F.bround(size / F.lit(float(unit)), decimals)
+    return rounded(size / F.lit(float(unit)), decimals)

@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.functions.rounding import rounded
+
 
 def instant(moment: dt.datetime | Column) -> Column:
     """A timestamp column; a datetime without a zone is UTC, not the machine's local time."""
@@ -71,7 +73,7 @@ def run_label(instant: Column) -> Column:
 
 def seconds_between(start: Column, end: Column) -> Column:
     """Elapsed seconds with two decimals."""
-    return F.bround((F.unix_micros(end) - F.unix_micros(start)) / F.lit(1e6), 2)
+    return rounded((F.unix_micros(end) - F.unix_micros(start)) / F.lit(1e6), 2)
 
 
 def is_weekend(day: Column) -> Column:

@@ -1,7 +1,7 @@
 """Exact money arithmetic.
 
-Money is ``decimal(18,2)``.  Quotients keep nine decimals, the warehouse's
-numeric scale, before they are rounded half-up for display.
+Amounts keep nine decimals, the warehouse's numeric scale; so do quotients,
+before they are rounded half-up to ``MONEY`` for display.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
+AMOUNT = "decimal(28,9)"
 QUOTIENT = "decimal(38,9)"
 
 

@@ -69,8 +69,10 @@ def report(relations: dict[str, DataFrame], suite: list[Tests]) -> DataFrame:
     """One row per test: ``test, relation, column_name, failures, status``.
 
     Failures count duplicated values (unique), rows (not_null, rules,
-    relationships) or distinct values (accepted_values).  The row-wise tests of
-    a relation share one pass; unique and relationships take one shuffle each.
+    relationships) or distinct values (accepted_values).  A relation is read
+    twice at most: once grouped by its first unique column, with the row-wise
+    counts carried along as sums, and once grouped by the values that are
+    compared with a list or a parent, of which there are few.
     """
     parts = [part for tests in suite for part in _parts(relations, tests)]
     return reduce(DataFrame.unionByName, parts).withColumn(
@@ -80,35 +82,42 @@ def report(relations: dict[str, DataFrame], suite: list[Tests]) -> DataFrame:
 
 def _parts(relations: dict[str, DataFrame], tests: Tests):
     df = relations[tests.relation]
-    wanted: list[tuple[str, str, Column]] = []
-    for column in tests.not_null:
-        wanted.append(("not_null", column, F.count_if(F.col(column).isNull())))
-    for column, values in tests.accepted.items():
-        outside = F.when(~F.col(column).isin(values), F.col(column))
-        wanted.append(("accepted_values", column, F.count_distinct(outside)))
-    for name, (column, bad) in tests.rules.items():
-        wanted.append((name, column, F.count_if(bad)))
-    if wanted:
-        row = df.agg(*(figure.alias(f"f{i}") for i, (_, _, figure) in enumerate(wanted)))
-        yield row.select(
-            F.inline(
-                F.array(
-                    *(
-                        _line(test, tests.relation, column, F.col(f"f{i}"))
-                        for i, (test, column, _) in enumerate(wanted)
-                    )
-                )
-            )
-        )
-    for column in tests.unique:
+    rows: list[tuple[str, str, Column]] = [("not_null", c, F.col(c).isNull()) for c in tests.not_null]
+    rows += [(name, column, bad) for name, (column, bad) in tests.rules.items()]
+    counts = [F.count_if(bad).alias(f"f{i}") for i, (_, _, bad) in enumerate(rows)]
+    lines = [(test, column, F.col(f"f{i}")) for i, (test, column, _) in enumerate(rows)]
+    if tests.unique:
+        key = tests.unique[0]
+        grouped = df.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n"), *counts)
+        sums = [F.coalesce(F.sum(f"f{i}"), F.lit(0)).alias(f"f{i}") for i in range(len(rows))]
+        repeated = F.count_if(F.col("key").isNotNull() & (F.col("n") > 1)).alias("repeated")
+        yield _lines(grouped.agg(repeated, *sums), tests.relation, [("unique", key, F.col("repeated")), *lines])
+    elif rows:
+        yield _lines(df.agg(*counts), tests.relation, lines)
+    for column in tests.unique[1:]:
         found = unique(df, column).agg(F.count(F.lit(1)).alias("n"))
-        yield found.select(F.inline(F.array(_line("unique", tests.relation, column, F.col("n")))))
+        yield _lines(found, tests.relation, [("unique", column, F.col("n"))])
+    if not tests.accepted and not tests.parents:
+        return
+    outside = {c: F.when(~F.col(c).isin(values), F.col(c)) for c, values in tests.accepted.items()}
+    values = df.groupBy(
+        *(expression.alias(f"outside_{c}") for c, expression in outside.items()),
+        *(F.col(c).alias(f"child_{c}") for c in tests.parents),
+    ).agg(F.count(F.lit(1)).alias("n_records"))
+    if outside:
+        distinct = values.agg(*(F.count_distinct(f"outside_{c}").alias(c) for c in outside))
+        yield _lines(distinct, tests.relation, [("accepted_values", c, F.col(c)) for c in outside])
     for column, (parent, parent_column) in tests.parents.items():
-        found = relationships(df, column, relations[parent], parent_column)
-        total = found.agg(F.coalesce(F.sum("n_records"), F.lit(0)).alias("n"))
-        yield total.select(
-            F.inline(F.array(_line("relationships", tests.relation, column, F.col("n"))))
-        )
+        known = relations[parent].select(F.col(parent_column).alias("value")).distinct()
+        child = values.select(F.col(f"child_{column}").alias("value"), "n_records").where("value IS NOT NULL")
+        orphans = child.join(known.withColumn("_known", F.lit(True)), "value", "left").where("_known IS NULL")
+        total = orphans.agg(F.coalesce(F.sum("n_records"), F.lit(0)).alias("n"))
+        yield _lines(total, tests.relation, [("relationships", column, F.col("n"))])
+
+
+def _lines(row: DataFrame, relation: str, figures: list[tuple[str, str, Column]]) -> DataFrame:
+    """The figures of a one-row table, a line each."""
+    return row.select(F.inline(F.array(*(_line(test, relation, column, n) for test, column, n in figures))))
 
 
 def _line(test: str, relation: str, column: str, failures: Column) -> Column:

@@ -20,17 +20,14 @@ def latest_by(df: DataFrame, keys: list[str], newest_first: list[Column]) -> Dat
 
 
 def overlay(existing: DataFrame, batch: DataFrame, keys: list[str], arrival: list[str]) -> DataFrame:
-    """Keyed union: a batch row replaces the existing row of its key.
+    """Keyed union: a batch row replaces the existing rows of its key.
 
     Among batch rows of one key the last in ``arrival`` order wins.  The
-    ``arrival`` columns belong to the batch only and are not returned.
+    ``arrival`` columns belong to the batch only and are not returned.  Existing
+    rows have one row per key already; they are only compared with the batch's
+    keys, so that they stay where they are while the batch is small.
     """
     columns = existing.columns
-    old = existing.withColumn("_generation", F.lit(0))
-    new = batch.withColumn("_generation", F.lit(1))
-    for name in arrival:
-        old = old.withColumn(name, F.lit(None).cast(batch.schema[name].dataType))
-    merged = latest_by(
-        old.unionByName(new), keys, [F.desc("_generation"), *(F.desc(name) for name in arrival)]
-    )
-    return merged.select(*columns)
+    newest = latest_by(batch, keys, [F.desc(name) for name in arrival])
+    untouched = existing.join(newest.select(*keys), keys, "left_anti")
+    return untouched.select(*columns).unionByName(newest.select(*columns))

@@ -3,49 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# A broadcast lookup stays below this many rows (some tens of MB per executor).
-BROADCAST_ROWS = 200_000
-# Tasks that share one lookup key once the lookup is too large to broadcast.
-SALTS = 64
 
+def lookup_join(facts: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join ``facts`` with a written ``lookup`` on equal columns; ``how`` keeps the facts' side.
 
-def has_at_most(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has at most ``rows`` rows; stops counting just above."""
-    return df.limit(rows + 1).count() <= rows
-
-
-def lookup_join(
-    facts: DataFrame,
-    lookup: DataFrame,
-    on: list[str],
-    how: str = "inner",
-    broadcast_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
-    lookup_rows: int | None = None,
-) -> DataFrame:
-    """Join ``facts`` with ``lookup`` on equal columns, whatever the lookup's size.
-
-    The lookup's rows are counted first (unless given as ``lookup_rows``), so it
-    should be a written table or cheap to compute.  A small one is broadcast and the
-    facts stay where they are.  A larger one is joined by shuffle: every lookup
-    row is repeated once per salt and each task's facts take one salt, so the
-    facts of a hot key, copies included, spread over ``salts`` tasks.  The salt
-    depends on the number of the task alone, hence stays the same when a lost
-    task runs again.  ``salts=1`` is for keys that are many and even.
-
-    ``how`` is any join type that keeps the facts' side (inner, left, left_semi,
-    left_anti).
+    The lookup should be a written table, of which Spark knows the bytes: below
+    ``spark.sql.autoBroadcastJoinThreshold`` it is broadcast and the facts stay where
+    they are.  Otherwise both sides are shuffled, and adaptive execution splits
+    the facts of a hot key over many tasks.
     """
-    if lookup_rows is None:
-        small = has_at_most(lookup, broadcast_rows)
-    else:
-        small = lookup_rows <= broadcast_rows
-    if small:
-        return facts.join(F.broadcast(lookup), on, how)
-    if salts == 1:
-        return facts.join(lookup, on, how)
-    salt = F.pmod(F.spark_partition_id(), F.lit(salts))
-    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return facts.withColumn("_salt", salt).join(repeated, [*on, "_salt"], how).drop("_salt")
+    return facts.join(lookup, on, how)

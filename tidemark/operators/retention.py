@@ -8,22 +8,11 @@ from pyspark.sql import functions as F
 KEPT_RECORDS = 500
 
 
-def keep_last(
-    df: DataFrame, group: list[str], newest_first: list[Column], rows: int = KEPT_RECORDS, salts: int = 64
-) -> DataFrame:
+def keep_last(df: DataFrame, group: list[str], newest_first: list[Column], rows: int = KEPT_RECORDS) -> DataFrame:
     """The ``rows`` newest rows of each group.
 
-    Every task passes on at most ``rows`` rows per group (``WindowGroupLimit``).
-    They are ranked twice, first for parts of the tasks: even with very many
-    tasks the last step of a group sees at most ``salts * rows`` rows.
+    Every task passes on at most ``rows`` rows per group (``WindowGroupLimit``),
+    so one exchange moves few rows however large a group is.
     """
-    part = Window.partitionBy(*group, "_salt").orderBy(*newest_first)
-    whole = Window.partitionBy(*group).orderBy(*newest_first)
-    return (
-        df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
-        .withColumn("_rank", F.row_number().over(part))
-        .where(F.col("_rank") <= rows)
-        .withColumn("_rank", F.row_number().over(whole))
-        .where(F.col("_rank") <= rows)
-        .drop("_salt", "_rank")
-    )
+    newest = Window.partitionBy(*group).orderBy(*newest_first)
+    return df.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") <= rows).drop("_rank")

@@ -49,29 +49,29 @@ def sales_context() -> Column:
     )
 
 
-def within_calendar(sales: DataFrame, dim: DataFrame) -> tuple[DataFrame, int]:
-    """The sales between the first and last day of the calendar, and the calendar's row count.
+def within_calendar(sales: DataFrame, dim: DataFrame) -> DataFrame:
+    """The sales between the first and last day of the calendar.
 
     The two dates become literals: a date column is then filtered in the scan,
     which skips the files and partitions of other years.
     """
-    low, high, rows = dim.agg(F.min("date"), F.max("date"), F.count(F.lit(1))).first()
+    low, high = dim.agg(F.min("date"), F.max("date")).first()
     if low is None:
-        return sales.limit(0), 0
-    return sales.where(F.col("sale_date").between(F.lit(low), F.lit(high))), rows
+        return sales.limit(0)
+    return sales.where(F.col("sale_date").between(F.lit(low), F.lit(high)))
 
 
-def fct_sales(sales: DataFrame, dim: DataFrame, **join_options) -> DataFrame:
+def fct_sales(sales: DataFrame, dim: DataFrame) -> DataFrame:
     """Each sale once per calendar row of its date; sales outside the calendar drop out.
 
-    ``dim`` should be a written table: its bounds and size are looked up first.
-    It is broadcast while it is small, so the sales are not shuffled.
+    ``dim`` should be a written table: its bounds are looked up first, and Spark
+    broadcasts it while it is small, so the sales are not shuffled.
     """
     days = dim.select(
         F.col("date").alias("sale_date"), *CALENDAR_COLUMNS, sales_context().alias("sales_period_context")
     )
-    dated, rows = within_calendar(sales.select(*SALE_COLUMNS), dim)
-    facts = lookup_join(dated, days, ["sale_date"], lookup_rows=rows, **join_options)
+    dated = within_calendar(sales.select(*SALE_COLUMNS), dim)
+    facts = lookup_join(dated, days, ["sale_date"])
     return facts.select(*SALE_COLUMNS, *CALENDAR_COLUMNS, "sales_period_context")
 
 
@@ -81,7 +81,7 @@ def sales_by_context(sales: DataFrame, dim: DataFrame) -> DataFrame:
     Sales are counted per date before they meet the calendar: what is shuffled
     is one row per date and task, whatever the number of sales.
     """
-    dated, _ = within_calendar(sales, dim)
+    dated = within_calendar(sales, dim)
     per_day = dated.groupBy("sale_date").agg(F.count(F.lit(1)).alias("n"))
     days = dim.select(F.col("date").alias("sale_date"), sales_context().alias("sales_period_context"))
     return (

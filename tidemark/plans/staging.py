@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.money import MONEY
+from tidemark.functions.money import AMOUNT
 from tidemark.functions.text import trimmed
 from tidemark.operators.latest import latest_by
 
@@ -32,8 +32,8 @@ def stg_sales(raw: DataFrame) -> DataFrame:
         trimmed(F.col("product_id")).alias("product_id"),
         trimmed(F.col("product_category")).alias("product_category"),
         _whole(raw, "quantity"),
-        F.col("unit_price").cast(MONEY).alias("unit_price"),
-        F.col("revenue").cast(MONEY).alias("revenue"),
+        F.col("unit_price").cast(AMOUNT).alias("unit_price"),
+        F.col("revenue").cast(AMOUNT).alias("revenue"),
         trimmed(F.col("region")).alias("region"),
     )
 

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.budget import ADMITTED, GIB, Budget, admission, alert_level, cost_usd, in_unit
+from tidemark.functions.budget import GIB, Budget, admission, alert_level, cost_usd, in_unit
 from tidemark.functions.dates import instant, month_label, month_start
-from tidemark.operators.lookup import lookup_join
+from tidemark.functions.rounding import rounded
 from tidemark.operators.retention import KEPT_RECORDS, keep_last
-from tidemark.session import materialise
 
 
 def billed_jobs(jobs: DataFrame) -> DataFrame:
@@ -38,11 +37,28 @@ def monthly_usage(jobs: DataFrame, status: str | None = None) -> DataFrame:
     )
 
 
-def usage_of_month(jobs: DataFrame, now: dt.datetime, status: str | None = None) -> DataFrame:
-    """``monthly_usage`` of the jobs since the month of ``now`` began, in one sum per project."""
+def usage_of_month(
+    jobs: DataFrame, now: dt.datetime, status: str | None = None, projects: DataFrame | None = None
+) -> DataFrame:
+    """``monthly_usage`` of the month that ``now`` lies in.
+
+    Each of ``projects`` (column ``project_id``) has a row, with 0 bytes if it ran nothing.
+    """
     since = F.date_trunc("month", instant(now))
-    current = jobs.where(F.col("start_time") >= since).withColumn("start_time", since)
-    return monthly_usage(current, status)
+    until = (since.cast("date") + F.expr("INTERVAL 1 MONTH")).cast("timestamp")
+    used = monthly_usage(jobs.where((F.col("start_time") >= since) & (F.col("start_time") < until)), status)
+    if projects is None:
+        return used
+    return (
+        projects.select("project_id")
+        .distinct()
+        .join(used, "project_id", "full")
+        .select(
+            "project_id",
+            F.coalesce("month", since.cast("date")).alias("month"),
+            F.coalesce("bytes_used_month", F.lit(0)).alias("bytes_used_month"),
+        )
+    )
 
 
 def with_alert_level(usage: DataFrame, budget: Budget) -> DataFrame:
@@ -53,9 +69,9 @@ def usage_summary(usage: DataFrame, budget: Budget) -> DataFrame:
     """Usage against the free tier and the operational ceiling, 13 figures per project and month."""
     ceiling = budget.ceiling_bytes
     used = F.col("bytes_used_month")
-    free_pct = F.bround(used / F.lit(float(budget.free_tier_bytes)) * 100.0, 4)
+    free_pct = rounded(used / F.lit(float(budget.free_tier_bytes)) * 100.0, 4)
     left = F.greatest(F.lit(0), F.lit(ceiling) - used)
-    ceiling_pct = F.bround(used / F.lit(float(ceiling)) * 100.0, 2) if ceiling > 0 else F.lit(0.0)
+    ceiling_pct = rounded(used / F.lit(float(ceiling)) * 100.0, 2) if ceiling > 0 else F.lit(0.0)
     return usage.select(
         "project_id",
         month_label(F.col("month")).alias("month"),
@@ -63,7 +79,7 @@ def usage_summary(usage: DataFrame, budget: Budget) -> DataFrame:
         in_unit(used, GIB, 3).alias("gib_used_month"),
         in_unit(F.lit(budget.free_tier_bytes), GIB, 1).alias("free_tier_total_gib"),
         free_pct.alias("pct_free_tier_used"),
-        F.bround(F.greatest(F.lit(0.0), 100.0 - free_pct), 4).alias("pct_free_tier_remaining"),
+        rounded(F.greatest(F.lit(0.0), 100.0 - free_pct), 4).alias("pct_free_tier_remaining"),
         in_unit(F.lit(ceiling), GIB, 1).alias("operational_ceiling_gib"),
         left.alias("bytes_remaining_to_ceiling"),
         in_unit(left, GIB, 3).alias("gib_remaining_to_ceiling"),
@@ -76,28 +92,53 @@ def usage_summary(usage: DataFrame, budget: Budget) -> DataFrame:
 def request_verdicts(requests: DataFrame, usage: DataFrame, budget: Budget) -> DataFrame:
     """Each request judged by itself against the usage of its project and month.
 
-    Unlike the replay, one request's verdict does not change the next one's.
-    ``requests`` has project_id, month and estimated_bytes.
+    One request's verdict does not change the next one's.  ``requests`` has
+    project_id, month and estimated_bytes.
     """
     used = F.coalesce("bytes_used_month", F.lit(0))
     estimate = F.coalesce("estimated_bytes", F.lit(0))
-    judged = lookup_join(requests, materialise(usage, "usage"), ["project_id", "month"], "left")
+    judged = requests.join(usage, ["project_id", "month"], "left")
     return judged.withColumn("verdict", admission(estimate, used, budget)).withColumn(
         "projected_bytes", used + estimate
     )
 
 
-def admitted_job_costs(replayed: DataFrame, budget: Budget) -> DataFrame:
-    """Cost of each admitted job and the alert level right after it."""
-    after = F.col("month_total_before") + F.col("bytes_billed")
-    return replayed.where(F.col("verdict") == ADMITTED).select(
+def job_costs(ledger: DataFrame, budget: Budget) -> DataFrame:
+    """Cost of each successful record, its project's month total with it, and the alert level then.
+
+    Totals run in the order of start time and job id.  They are made of the
+    totals of the days before and a running sum inside the day, so that a month
+    of a busy project is spread over its days.
+    """
+    billed = F.coalesce("bytes_billed", F.lit(0))
+    jobs = successful_records(ledger).select(
+        "project_id",
+        month_start(F.col("start_time")).alias("month"),
+        F.col("start_time").cast("date").alias("_day"),
+        "start_time",
+        "job_id",
+        billed.alias("bytes_billed"),
+    )
+    days = jobs.groupBy("project_id", "month", "_day").agg(F.sum("bytes_billed").alias("_of_day"))
+    earlier = Window.partitionBy("project_id", "month").orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    before = days.select(
+        "project_id", "month", "_day", F.coalesce(F.sum("_of_day").over(earlier), F.lit(0)).alias("_before")
+    )
+    within = (
+        Window.partitionBy("project_id", "month", "_day")
+        .orderBy("start_time", "job_id", "bytes_billed")
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+    after = F.col("_before") + F.sum("bytes_billed").over(within)
+    placed = jobs.join(before, ["project_id", "month", "_day"]).withColumn("month_total_after", after)
+    return placed.select(
         "project_id",
         "month",
         "job_id",
         "bytes_billed",
         cost_usd(F.col("bytes_billed"), budget).alias("estimated_cost_usd"),
-        after.alias("month_total_after"),
-        alert_level(after, budget).alias("alert_level"),
+        "month_total_after",
+        alert_level(F.col("month_total_after"), budget).alias("alert_level"),
     )
 
 

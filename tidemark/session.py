@@ -6,10 +6,10 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
+_scratch: dict[str, set[str]] = {}
 
 
 def local_session(cores: int | str = "*", app_name: str = "tidemark", **conf: str) -> SparkSession:
@@ -61,17 +61,38 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         root = _local_roots.get(context.applicationId)
         if root is None:
             root = _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="tidemark-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _scratch.setdefault(spark.sparkContext.applicationId, set()).add(path)
+    return path
+
+
+def _on_file_system(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it knows it."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), found
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.text(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
+    """Whether a path exists, or a file that a glob names; asks its file system, lists no folder."""
+    system, found = _on_file_system(spark, path)
+    return bool(system.globStatus(found))
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that nothing reads any more."""
+    system, found = _on_file_system(spark, path)
+    system.delete(found, True)
+    _scratch.get(spark.sparkContext.applicationId, set()).discard(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all scratch tables that this application has written.
+
+    Results that are still to be computed may read them, so it is the caller who
+    knows when: after the last result is written.
+    """
+    for path in list(_scratch.get(spark.sparkContext.applicationId, ())):
+        remove_path(spark, path)
 
 
 def materialise(df: DataFrame, name: str, path: str | None = None) -> DataFrame:

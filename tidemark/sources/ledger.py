@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import path_exists
@@ -12,22 +12,61 @@ LEDGER_SCHEMA = (
     "start_time timestamp, end_time timestamp, bytes_processed bigint, bytes_billed bigint, "
     "estimated_cost_usd double, status string, alert_level string"
 )
+_FIELDS = [tuple(part.split()) for part in LEDGER_SCHEMA.split(", ")]
 
 
-def read_json_ledger(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
-    """A JSON ledger: one array per file, or one record per line.
+def _typed(name: str, kind: str) -> Column:
+    """A field of the variant ``item`` in its type; NULL where it does not fit."""
+    if kind == "timestamp":
+        return F.try_variant_get("item", f"$.{name}", "string").try_cast("timestamp")
+    if kind == "bigint":
+        # Fractions round to the next whole number instead of being cut off.
+        return F.round(F.try_variant_get("item", f"$.{name}", "decimal(38,9)"), 0).try_cast("bigint")
+    return F.try_variant_get("item", f"$.{name}", kind)
+
+
+def ledger_items(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """All records of a JSON ledger and ``reject_reason``: one array per file, or one record per line.
 
-    A missing path is an empty ledger.  So is a file that is no valid JSON
-    array of records; of a line-wise ledger the broken lines are dropped.
+    No record is left out.  A field that does not fit its type is NULL and named
+    in the reason; what is no record at all has a row of NULLs and a reason.  A
+    missing path is an empty ledger.
     """
     if not path_exists(spark, path):
-        return spark.createDataFrame([], LEDGER_SCHEMA)
-    records = spark.read.json(path, schema=LEDGER_SCHEMA, multiLine=not lines, mode="DROPMALFORMED")
-    return records.where(F.coalesce("job_id", "execution_id").isNotNull())
+        return spark.createDataFrame([], f"{LEDGER_SCHEMA}, reject_reason string")
+    text = spark.read.text(path, wholetext=not lines)
+    if lines:
+        items = text.where(F.trim("value") != "").select(F.try_parse_json("value").alias("item"))
+    else:
+        # A file that is no array has one row, which is no record.
+        listed = F.from_json("value", "array<variant>")
+        unread = F.array(F.lit(None).cast("variant"))
+        whole = F.when(F.json_array_length("value").isNull(), unread).otherwise(listed)
+        items = text.select(F.explode(whole).alias("item"))
+    is_record = F.coalesce(F.schema_of_variant("item").startswith("OBJECT"), F.lit(False))
+    typed = items.select("item", is_record.alias("_is_record"), *(_typed(n, k).alias(n) for n, k in _FIELDS))
+    reason = F.when(~F.col("_is_record"), "record: not an object")
+    for name, _ in _FIELDS:
+        given = F.schema_of_variant(F.try_variant_get("item", f"$.{name}", "variant"))
+        reason = reason.when(F.col(name).isNull() & (given != "VOID"), f"{name}: does not fit")
+    return typed.select(*(name for name, _ in _FIELDS), reason.alias("reject_reason"))
+
+
+def read_json_ledger(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """The records of a JSON ledger, with or without ids; see ``ledger_rejects`` for what did not fit."""
+    items = ledger_items(spark, path, lines)
+    return items.where(~F.coalesce(F.col("reject_reason") == "record: not an object", F.lit(False))).drop(
+        "reject_reason"
+    )
+
+
+def ledger_rejects(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """What ``read_json_ledger`` could not take as it is, with the reason."""
+    return ledger_items(spark, path, lines).where("reject_reason IS NOT NULL")
 
 
 def append_ledger(records: DataFrame, path: str) -> None:
-    columns = [part.split()[0] for part in LEDGER_SCHEMA.split(", ")]
+    columns = [name for name, _ in _FIELDS]
     records.select(*columns).write.mode("append").parquet(path)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 SALES_SCHEMA = (
     "sale_id string, sale_date date, product_id string, product_category string, "
-    "quantity bigint, unit_price decimal(18,2), revenue decimal(18,2), region string"
+    "quantity bigint, unit_price decimal(28,9), revenue decimal(28,9), region string"
 )
 
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.latest import overlay
-from tidemark.session import materialise, path_exists, setting
+from tidemark.operators.latest import latest_by
+from tidemark.session import materialise, path_exists, remove_path, scratch_path, setting
 
 RAW_HOLIDAYS = (
     "holiday_id string, date date, name string, type string, source string, ingested_at timestamp"
@@ -73,35 +73,39 @@ def upsert(
     """Overlay ``batch`` on a year-partitioned table by key; returns the table's row count.
 
     A key must keep its year (the holiday key contains the date), so only the
-    years that occur in the batch are read and rewritten.  The merged rows are
-    written to a scratch table first: the overwrite then never reads what it
-    replaces, and a copy outlasts a driver that dies while files are exchanged.
-    Range partitioning spreads a large year over many files and clusters each
-    one.  An empty batch changes nothing and returns 0.
+    years that occur in the batch are read and rewritten.  Existing rows are not
+    shuffled: a written batch is compared with them, and each task sorts its rows
+    by year and clustering.  The merged rows are written to a scratch table
+    first, which goes when the overwrite is done: the overwrite never reads what
+    it replaces, and a copy outlasts a driver that dies while files are
+    exchanged.  An empty batch changes nothing and returns 0.
     """
     spark = batch.sparkSession
     arrival = arrival or ["ingested_at"]
     stored = [c for c in spark.table(table).columns if c != "year"]
     # Arrival columns that the table stores as well keep their stored copy.
     order = [f"_arrival_{i}" for i in range(len(arrival))]
-    new = materialise(
-        required(
-            batch.select(*stored, *(F.col(a).alias(o) for a, o in zip(arrival, order))), stored
-        ).withColumn("year", F.year(by_year_of)),
-        "batch",
-    )
+    given = required(batch.select(*stored, *(F.col(a).alias(o) for a, o in zip(arrival, order))), stored)
+    newest = latest_by(given, [key], [F.desc(name) for name in order])
+    batch_path, merged_path = scratch_path(spark, "batch"), scratch_path(spark, "merged")
+    new = materialise(newest.withColumn("year", F.year(by_year_of)).drop(*order), "batch", batch_path)
     # At most one row per calendar year reaches the driver.
     years = [row["year"] for row in new.select("year").distinct().collect()]
     if not years:
+        remove_path(spark, batch_path)
         return 0
     existing = spark.table(table).where(F.col("year").isin(years)).select(*stored, "year")
-    merged = materialise(overlay(existing, new, [key], order), "merged")
-    clustered = merged.repartitionByRange("year", *clustering, key).sortWithinPartitions(
-        "year", *clustering, key
+    merged = materialise(
+        existing.join(new.select(key), key, "left_anti").select(*stored, "year").unionByName(new),
+        "merged",
+        merged_path,
     )
+    clustered = merged.sortWithinPartitions("year", *clustering, key)
     # A catalog table takes the overwrite mode from the session, not from writer options.
     with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         clustered.write.insertInto(table, overwrite=True)
+    remove_path(spark, batch_path)
+    remove_path(spark, merged_path)
     return spark.table(table).count()
 
 

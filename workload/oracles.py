@@ -162,24 +162,12 @@ _USED = """
 used AS (
     SELECT project_id, month, CAST(sum(bytes_billed) AS BIGINT) AS bytes_used_month
     FROM ledger WHERE state = 'DONE' AND bytes_billed > 0 GROUP BY ALL)"""
-_REPLAY = f"""
-jobs AS (
-    SELECT project_id, month, start_time, job_id, estimated_bytes,
-           coalesce(bytes_billed, 0) AS bytes_billed,
-           row_number() OVER (PARTITION BY project_id, month ORDER BY start_time, job_id) AS place
-    FROM ledger),
-walk AS (
-    SELECT project_id, month, CAST(0 AS BIGINT) AS place, '' AS job_id, CAST(0 AS BIGINT) AS total_before,
-           CAST(0 AS BIGINT) AS total, '' AS verdict
-    FROM jobs GROUP BY project_id, month
-    UNION ALL
-    SELECT j.project_id, j.month, j.place, j.job_id, w.total,
-           CASE WHEN j.estimated_bytes > {_LARGEST} OR w.total + j.estimated_bytes > {_CEILING} THEN w.total
-                ELSE w.total + j.bytes_billed END,
-           CASE WHEN j.estimated_bytes > {_LARGEST} THEN 'TOO_LARGE'
-                WHEN w.total + j.estimated_bytes > {_CEILING} THEN 'CIRCUIT_BREAKER' ELSE 'ADMITTED' END
-    FROM walk w JOIN jobs j
-      ON j.project_id = w.project_id AND j.month = w.month AND j.place = w.place + 1)"""
+_COSTS = """
+costs AS (
+    SELECT project_id, month, job_id, CAST(coalesce(bytes_billed, 0) AS BIGINT) AS bytes_billed,
+           CAST(sum(coalesce(bytes_billed, 0)) OVER (PARTITION BY project_id, month ORDER BY start_time, job_id, bytes_billed
+                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS month_total_after
+    FROM ledger WHERE status = 'SUCCESS')"""
 _EVENT_ITEMS = r"""
 items AS (
     SELECT event_id, ts,
@@ -217,6 +205,28 @@ def _level(used: str) -> str:
         WHEN {pct} >= 10 THEN 'ACOMPANHAMENTO' ELSE 'NORMAL' END"""
 
 
+def _rounded(value: str, decimals: int) -> str:
+    """Rounding of a double by its exact value, ties to even: that of printing."""
+    return f"CAST(format('{{{{:.{decimals}f}}}}', CAST({value} AS DOUBLE)) AS DOUBLE)".replace("{{", "{").replace("}}", "}")
+
+
+def _summary(used: str) -> str:
+    pct = _rounded(f"bytes_used_month / {float(_FREE)} * 100", 4)
+    left = f"greatest(0, {_CEILING} - bytes_used_month)"
+    return f"""SELECT project_id, strftime(month, '%Y-%m') AS month, bytes_used_month,
+                {_rounded("bytes_used_month / 1073741824.0", 3)} AS gib_used_month,
+                {_rounded(f"{_FREE} / CAST(1073741824 AS DOUBLE)", 1)} AS free_tier_total_gib,
+                {pct} AS pct_free_tier_used,
+                {_rounded(f"greatest(CAST(0 AS DOUBLE), 100 - {pct})", 4)} AS pct_free_tier_remaining,
+                {_rounded(f"{_CEILING} / CAST(1073741824 AS DOUBLE)", 1)} AS operational_ceiling_gib,
+                {left} AS bytes_remaining_to_ceiling,
+                {_rounded(f"{left} / CAST(1073741824 AS DOUBLE)", 3)} AS gib_remaining_to_ceiling,
+                {_rounded(f"bytes_used_month / CAST({float(_CEILING)} AS DOUBLE) * 100", 2)} AS pct_ceiling_used,
+                {_level('bytes_used_month')} AS alert_level,
+                bytes_used_month >= {_CEILING} AS circuit_breaker_active
+            FROM {used}"""
+
+
 def _with(*parts: str, recursive: bool = False) -> str:
     return f"WITH {'RECURSIVE ' if recursive else ''}{', '.join(parts)}\n"
 
@@ -378,6 +388,13 @@ def oracle_sql() -> dict[str, str]:
         "dim_calendar": _with(*_TO_CALENDAR) + _DIM,
         "materialised_calendar": _with(*_TO_CALENDAR) + "SELECT * FROM calendar",
         "stg_sales": _with(_SALES) + f"SELECT {_SALE_VALUES} FROM sales",
+        "stg_sales_sub_cent": _with(
+            _SALES.replace(
+                "CAST(p_retailprice AS DECIMAL(18,2)) AS",
+                "CAST(p_retailprice AS DECIMAL(18,2)) * CAST(0.001 AS DECIMAL(4,3)) AS",
+            )
+        )
+        + f"SELECT {_SALE_VALUES} FROM sales",
         "csv_roundtrip": _with(_SALES) + f"SELECT {_SALE_VALUES} FROM sales",
         "stg_holidays": events_raw,
         "holiday_keys": """
@@ -403,13 +420,17 @@ def oracle_sql() -> dict[str, str]:
         "append_readback": """
             SELECT 'user-' || user_id AS id, event_type AS message, ts AS created_at
             FROM events WHERE user_id = 8""",
-        "run_metrics": _with(_BODIES)
-        + """SELECT 'holidays' AS pipeline, '20260105_120000' AS execution_id,
-                    TIMESTAMP '2026-01-05 12:00:00' AS start_time,
-                    TIMESTAMP '2026-01-05 12:00:02.345' AS end_time, 'SUCCESS' AS status,
-                    count(*) AS records_received, count(*) AS records_loaded,
-                    CAST(2.34 AS DOUBLE) AS duration_seconds, CAST(NULL AS VARCHAR) AS error_message
-             FROM bodies WHERE NOT failed""",
+        "run_metrics": _with(
+            _BODIES,
+            """run AS (
+                SELECT TIMESTAMP '2026-01-05 12:00:00' AS start_time, TIMESTAMP '2026-01-05 12:00:02.345' AS end_time)""",
+        )
+        + f"""SELECT 'holidays' AS pipeline, strftime(start_time, '%Y%m%d_%H%M%S') AS execution_id,
+                    start_time, end_time, 'SUCCESS' AS status, n AS records_received, n AS records_loaded,
+                    {_rounded("date_diff('microsecond', start_time, end_time) / CAST(1000000 AS DOUBLE)", 2)}
+                        AS duration_seconds,
+                    CAST(NULL AS VARCHAR) AS error_message
+             FROM run, (SELECT count(*) AS n FROM bodies WHERE NOT failed)""",
         "dry_run_sample": _with(_EVENT_ITEMS)
         + f"""SELECT date, name, type FROM ({_records_of("CAST(date AS DATE)", "ts", "reject_reason IS NULL")})
               ORDER BY event_id LIMIT 3""",
@@ -422,6 +443,13 @@ def oracle_sql() -> dict[str, str]:
                    (SELECT count(*) FROM bodies WHERE NOT failed) AS records_received,
                    (SELECT count(*) FROM loaded) AS records_loaded
             FROM loaded""",
+        "holiday_ingest_years": """
+            WITH loaded AS (SELECT DISTINCT CAST(ts AS DATE) AS date, event_type AS name FROM events)
+            SELECT sha256(strftime(date, '%Y-%m-%d') || '_' || name || '_national') AS holiday_id, date, name,
+                   'national' AS type, 'events' AS source, TIMESTAMP '2026-01-05 12:00:00' AS ingested_at,
+                   'SUCCESS' AS status, (SELECT count(*) FROM loaded) AS records_received,
+                   (SELECT count(*) FROM loaded) AS records_loaded
+            FROM loaded""",
         "fct_sales": _with(*_TO_FACTS) + f"SELECT {_SALE_VALUES} FROM facts",
         "fct_sales_duplicate_dates": _with(*_TO_CALENDAR_CITY, _SALES, _FACTS)
         + f"SELECT {_SALE_VALUES} FROM facts",
@@ -435,6 +463,11 @@ def oracle_sql() -> dict[str, str]:
         "baseline_sales": _with(*_TO_FACTS, _BASELINE)
         + """SELECT product_category, cents / 100.0 AS avg_revenue_normal,
                     hundredths / 100.0 AS avg_quantity_normal FROM baseline""",
+        "baseline_sales_sub_cent": _with(*_TO_FACTS)
+        + """SELECT product_category,
+                    CAST((2 * sum(CAST(revenue * 100 AS HUGEINT)) + 1000 * count(*)) // (2000 * count(*)) AS BIGINT)
+                        / 100.0 AS avg_revenue_normal
+             FROM facts WHERE sales_period_context = 'DIA_COMUM' GROUP BY product_category""",
         "pre_holiday_sales": _with(*_TO_FACTS, _NAMED, _window("next_name"))
         + """SELECT holiday_name, product_category, first_sale_window, last_sale_window,
                     cents / 100.0 AS avg_revenue_before_holiday,
@@ -455,10 +488,8 @@ def oracle_sql() -> dict[str, str]:
         + """SELECT flag AS value, count(*) AS n_records FROM line_sales
              WHERE flag NOT IN ('A', 'N') GROUP BY 1""",
         "dq_relationships": """
-            SELECT l_orderkey AS value, count(*) AS n_records FROM lineitem
-            WHERE NOT EXISTS (SELECT 1 FROM orders
-                              WHERE o_orderkey = l_orderkey AND o_orderdate >= '1996-01-01')
-            GROUP BY 1""",
+            SELECT doc_id AS value, count(*) AS n_records FROM documents
+            WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL) GROUP BY 1""",
         "data_quality_report": _report(),
         "monthly_usage": _with(_LEDGER, _USED) + "SELECT * FROM used",
         "monthly_usage_success_only": _with(_LEDGER)
@@ -469,28 +500,22 @@ def oracle_sql() -> dict[str, str]:
         "current_month_usage": _with(_LEDGER)
         + """SELECT project_id, DATE '2001-07-01' AS month,
                     CAST(sum(coalesce(bytes_billed, 0)) AS BIGINT) AS bytes_used_month
-             FROM ledger WHERE status = 'SUCCESS' AND start_time >= TIMESTAMP '2001-07-01' GROUP BY ALL""",
+             FROM ledger WHERE status = 'SUCCESS' AND start_time >= TIMESTAMP '2001-07-01'
+                  AND start_time < TIMESTAMP '2001-08-01' GROUP BY ALL""",
         "alert_levels": _with(_LEDGER, _USED)
         + f"SELECT *, {_level('bytes_used_month')} AS alert_level FROM used",
-        "usage_summary": _with(_LEDGER, _USED)
-        + f"""SELECT project_id, strftime(month, '%Y-%m') AS month, bytes_used_month,
-                round_even(bytes_used_month / 1073741824.0, 3) AS gib_used_month,
-                round_even({_FREE} / CAST(1073741824 AS DOUBLE), 1) AS free_tier_total_gib,
-                round_even(bytes_used_month / {float(_FREE)} * 100, 4) AS pct_free_tier_used,
-                round_even(greatest(0.0, 100 - round_even(bytes_used_month / {float(_FREE)} * 100, 4)), 4)
-                    AS pct_free_tier_remaining,
-                round_even({_CEILING} / CAST(1073741824 AS DOUBLE), 1) AS operational_ceiling_gib,
-                greatest(0, {_CEILING} - bytes_used_month) AS bytes_remaining_to_ceiling,
-                round_even(greatest(0, {_CEILING} - bytes_used_month) / 1073741824.0, 3)
-                    AS gib_remaining_to_ceiling,
-                round_even(bytes_used_month / {float(_CEILING)} * 100, 2) AS pct_ceiling_used,
-                {_level('bytes_used_month')} AS alert_level,
-                bytes_used_month >= {_CEILING} AS circuit_breaker_active
-            FROM used""",
-        "admission_replay": _with(_LEDGER, _REPLAY, recursive=True)
-        + """SELECT j.project_id, j.month, j.start_time, j.job_id, j.estimated_bytes, j.bytes_billed,
-                    w.verdict, w.total_before AS month_total_before
-             FROM walk w JOIN jobs j USING (project_id, month, place)""",
+        "usage_summary": _with(_LEDGER, _USED) + _summary("used"),
+        "idle_project_summary": _with(
+            _LEDGER,
+            _USED,
+            """projects AS (
+                SELECT DISTINCT project_id FROM ledger UNION SELECT 'idle-' || r_name FROM region)""",
+            """in_july AS (
+                SELECT p.project_id, DATE '2001-07-01' AS month,
+                       CAST(coalesce(u.bytes_used_month, 0) AS BIGINT) AS bytes_used_month
+                FROM projects p LEFT JOIN (SELECT * FROM used WHERE month = DATE '2001-07-01') u USING (project_id))""",
+        )
+        + _summary("in_july"),
         "request_verdicts": _with(_LEDGER, _USED)
         + f"""SELECT project_id, month, job_id, estimated_bytes,
                      CASE WHEN estimated_bytes > {_LARGEST} THEN 'TOO_LARGE'
@@ -498,11 +523,11 @@ def oracle_sql() -> dict[str, str]:
                           THEN 'CIRCUIT_BREAKER' ELSE 'ADMITTED' END AS verdict,
                      coalesce(bytes_used_month, 0) + estimated_bytes AS projected_bytes
               FROM ledger LEFT JOIN used USING (project_id, month) WHERE state = 'RUNNING'""",
-        "admitted_job_costs": _with(_LEDGER, _REPLAY, recursive=True)
-        + f"""SELECT j.project_id, j.month, j.job_id, j.bytes_billed,
-                     round_even(j.bytes_billed / 1099511627776.0 * 6.25, 4) AS estimated_cost_usd,
-                     w.total AS month_total_after, {_level('w.total')} AS alert_level
-              FROM walk w JOIN jobs j USING (project_id, month, place) WHERE w.verdict = 'ADMITTED'""",
+        "job_costs": _with(_LEDGER, _COSTS)
+        + f"""SELECT project_id, month, job_id, bytes_billed,
+                     {_rounded("bytes_billed / CAST(1099511627776 AS DOUBLE) * 6.25", 4)} AS estimated_cost_usd,
+                     month_total_after, {_level('month_total_after')} AS alert_level
+              FROM costs""",
         "ledger_retention": _with(_LEDGER)
         + """SELECT project_id, job_id, start_time, bytes_billed FROM ledger
              QUALIFY row_number() OVER (PARTITION BY project_id ORDER BY start_time DESC, job_id DESC) <= 500""",
@@ -512,8 +537,26 @@ def oracle_sql() -> dict[str, str]:
         "ledger_import": _with(_LEDGER)
         + f"""SELECT execution_id, step_name, job_id, project_id, start_time, end_time,
                      estimated_bytes AS bytes_processed, bytes_billed,
-                     round_even(coalesce(bytes_billed, 0) / 1099511627776.0 * 6.25, 4) AS estimated_cost_usd,
+                     {_rounded("coalesce(bytes_billed, 0) / CAST(1099511627776 AS DOUBLE) * 6.25", 4)}
+                         AS estimated_cost_usd,
                      status, {_level('coalesce(bytes_billed, 0)')} AS alert_level,
                      strftime(start_time, '%Y-%m') AS run_month
               FROM ledger""",
+        "ledger_items": _with(_LEDGER)
+        + """, numbered AS (SELECT *, CAST(job_id AS BIGINT) AS number FROM ledger)
+             SELECT CASE WHEN number % 13 <> 0 AND number % 7 <> 0 THEN job_id END AS job_id,
+                    CASE WHEN number % 13 <> 0 AND number % 7 <> 0 THEN execution_id END AS execution_id,
+                    CASE WHEN number % 13 <> 0 THEN project_id END AS project_id,
+                    CASE WHEN number % 13 <> 0 THEN start_time END AS start_time,
+                    CASE WHEN number % 13 <> 0 THEN status END AS status,
+                    CASE WHEN number % 13 <> 0 THEN bytes_billed END AS bytes_billed,
+                    CAST(NULL AS TIMESTAMP) AS end_time,
+                    CASE WHEN number % 13 = 0 THEN 'record: not an object'
+                         WHEN number % 17 = 0 THEN 'end_time: does not fit' END AS reject_reason
+             FROM numbered""",
+        "ledger_usage_from_arrays": _with(_LEDGER)
+        + """SELECT project_id, month,
+                    CAST(sum(CASE WHEN status = 'SUCCESS' THEN coalesce(bytes_billed, 0) ELSE 0 END) AS BIGINT)
+                        AS bytes_used_month
+             FROM ledger WHERE CAST(job_id AS BIGINT) % 13 <> 0 GROUP BY ALL""",
     }

@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 from tidemark.functions import dates as date_functions
 from tidemark.functions.keys import holiday_key
 from tidemark.operators import checks, contracts
-from tidemark.operators.admission import replay_admission
 from tidemark.operators.latest import overlay
 from tidemark.operators.nearest import nearest_dates
 from tidemark.plans import calendar, ingest, opportunities, quality, sales, staging, usage
@@ -76,10 +75,13 @@ def _sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _facts(spark: SparkSession, sf_dir: str, holidays: DataFrame) -> DataFrame:
-    """The fact table for plans that never look at the region: its dimensions stay unread."""
-    needed = ["sale_id", "sale_date", "product_id", "product_category", "quantity", "unit_price", "revenue"]
-    raw = b.raw_sales(spark, sf_dir, needed).withColumn("region", F.lit(None).cast("string"))
-    return sales.fct_sales(staging.stg_sales(raw), _dim_of(holidays))
+    return sales.fct_sales(_sales(spark, sf_dir), _dim_of(holidays))
+
+
+def _in_thousandths(raw: DataFrame, column: str) -> DataFrame:
+    """Raw sales with an amount of five decimals."""
+    exact = F.col(column).cast("decimal(18,2)") * F.lit("0.001").cast("decimal(4,3)")
+    return raw.withColumn(column, exact)
 
 
 # --- calendar -------------------------------------------------------------------
@@ -130,7 +132,8 @@ def commercial_calendar_first_of_date(spark, sf_dir):
 @query
 def commercial_calendar_no_holidays(spark, sf_dir):
     span = calendar.span_of(b.table(spark, sf_dir, "orders"), "o_orderdate")
-    none = staging.stg_holidays(b.raw_holidays(spark, sf_dir)).where("holiday_type = 'state'")
+    # The table is written, so that the filter reads it and finds none.
+    none = _holidays(spark, sf_dir).where("holiday_type = 'state'")
     return calendar.commercial_calendar(spark, none, *span)
 
 
@@ -154,6 +157,11 @@ def stg_sales(spark, sf_dir):
     return _sales(spark, sf_dir)
 
 
+@query
+def stg_sales_sub_cent(spark, sf_dir):
+    return staging.stg_sales(_in_thousandths(b.raw_sales(spark, sf_dir), "unit_price"))
+
+
 @query
 def stg_holidays(spark, sf_dir):
     return staging.stg_holidays(b.event_holidays(spark, sf_dir))
@@ -300,6 +308,25 @@ def holiday_ingest(spark, sf_dir):
     )
 
 
+@query
+def holiday_ingest_years(spark, sf_dir):
+    """A landed response per year, each read whole, strictly: the form in which years are fetched."""
+    folder = scratch_path(spark, "years")
+    item = F.struct(F.date_format("ts", "yyyy-MM-dd").alias("date"), F.col("event_type").alias("name"), F.lit("National").alias("type"))
+    events = b.table(spark, sf_dir, "events").select(F.year("ts").alias("year"), item.alias("item")).distinct()
+    responses = events.groupBy("year").agg(F.to_json(F.sort_array(F.collect_list("item"))).alias("value"))
+    years = sorted(row["year"] for row in responses.select("year").collect())
+    paths = payloads.year_paths(folder, years)
+    for year, path in zip(years, paths):
+        responses.where(F.col("year") == year).select("value").coalesce(1).write.text(path)
+    target = scratch_path(spark, "raw_holidays")
+    name = "yearly_" + target.rsplit("-", 1)[1]
+    done = ingest.ingest_holidays(spark, paths, name, b.INGESTED_AT, "events", "strict", location=target)
+    return tables.source(spark, name, contracts.RECORD_COLUMNS).crossJoin(
+        F.broadcast(done.metrics.select("status", "records_received", "records_loaded"))
+    )
+
+
 # --- sales and opportunities ----------------------------------------------------
 
 
@@ -334,6 +361,13 @@ def baseline_sales(spark, sf_dir):
     return opportunities.baseline_sales(_facts(spark, sf_dir, _holidays(spark, sf_dir)))
 
 
+@query
+def baseline_sales_sub_cent(spark, sf_dir):
+    raw = _in_thousandths(b.raw_sales(spark, sf_dir), "revenue")
+    facts = sales.fct_sales(staging.stg_sales(raw), _dim(spark, sf_dir))
+    return opportunities.baseline_sales(facts).select("product_category", "avg_revenue_normal")
+
+
 @query
 def pre_holiday_sales(spark, sf_dir):
     holidays = _holidays(spark, sf_dir)
@@ -391,8 +425,9 @@ def dq_accepted_values(spark, sf_dir):
 
 @query
 def dq_relationships(spark, sf_dir):
-    parents = b.table(spark, sf_dir, "orders").where("o_orderdate >= '1996-01-01'")
-    return checks.relationships(_line_sales(spark, sf_dir), "l_orderkey", parents, "o_orderkey")
+    # Labels cover some of the documents.
+    labels, documents = b.table(spark, sf_dir, "labels"), b.table(spark, sf_dir, "documents")
+    return checks.relationships(documents, "doc_id", labels, "doc_id")
 
 
 @query
@@ -435,8 +470,13 @@ def usage_summary(spark, sf_dir):
 
 
 @query
-def admission_replay(spark, sf_dir):
-    return replay_admission(b.job_ledger(spark, sf_dir), b.BUDGET)
+def idle_project_summary(spark, sf_dir):
+    """The month of a date for projects that may have run nothing."""
+    jobs = usage.billed_jobs(b.job_ledger(spark, sf_dir))
+    idle = b.table(spark, sf_dir, "region").select(F.concat(F.lit("idle-"), "r_name").alias("project_id"))
+    projects = b.job_ledger(spark, sf_dir).select("project_id").unionByName(idle)
+    used = usage.usage_of_month(jobs, b.dt.datetime(2001, 7, 15, 8, 30), projects=projects)
+    return usage.usage_summary(used, b.BUDGET)
 
 
 @query
@@ -454,9 +494,8 @@ def request_verdicts(spark, sf_dir):
 
 
 @query
-def admitted_job_costs(spark, sf_dir):
-    replayed = replay_admission(b.job_ledger(spark, sf_dir), b.BUDGET)
-    return usage.admitted_job_costs(replayed, b.BUDGET)
+def job_costs(spark, sf_dir):
+    return usage.job_costs(b.job_ledger(spark, sf_dir), b.BUDGET)
 
 
 @query
@@ -486,3 +525,44 @@ def ledger_import(spark, sf_dir):
     ledgers.append_ledger(imported.where("status <> 'SUCCESS'"), path)
     stored = ledgers.read_ledger(spark, path)
     return stored.withColumn("run_month", date_functions.month_label(F.col("start_time")))
+
+
+def _dirty_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ledger records as JSON text: some without ids, some with a fraction of a byte, some broken."""
+    jobs = b.job_ledger(spark, sf_dir)
+    number = F.col("job_id").cast("bigint")
+    named = number % 7 != 0
+    record = F.struct(
+        F.when(named, F.col("job_id")).alias("job_id"),
+        F.when(named, F.col("execution_id")).alias("execution_id"),
+        "project_id",
+        F.date_format("start_time", "yyyy-MM-dd'T'HH:mm:ssXXX").alias("start_time"),
+        "status",
+        F.when(number % 11 == 0, F.col("bytes_billed") + F.lit("0.25").cast("decimal(3,2)"))
+        .otherwise(F.col("bytes_billed").cast("decimal(20,0)"))
+        .alias("bytes_billed"),
+        F.when(number % 17 == 0, "yesterday").alias("end_time"),
+    )
+    value = F.when(number % 13 == 0, F.concat(F.lit('{"job_id": '), "job_id")).otherwise(F.to_json(record))
+    return jobs.select(F.trunc("start_time", "month").alias("month"), number.alias("number"), value.alias("value"))
+
+
+_SEEN = ("job_id", "execution_id", "project_id", "start_time", "status", "bytes_billed", "end_time", "reject_reason")
+
+
+@query
+def ledger_items(spark, sf_dir):
+    """A line-wise ledger with records that do not fit; none is lost."""
+    landed = scratch_path(spark, "ledger-lines")
+    _dirty_records(spark, sf_dir).select("value").write.text(landed)
+    return ledgers.ledger_items(spark, landed, lines=True).select(*_SEEN)
+
+
+@query
+def ledger_usage_from_arrays(spark, sf_dir):
+    """Bytes per project and month of a ledger of array files, a file a month."""
+    landed = scratch_path(spark, "ledger-arrays")
+    whole = _dirty_records(spark, sf_dir).where("number % 13 <> 0")
+    listed = F.concat(F.lit("["), F.array_join(F.sort_array(F.collect_list("value")), ",\n"), F.lit("]"))
+    whole.groupBy("month").agg(listed.alias("value")).write.partitionBy("month").text(landed)
+    return usage.monthly_usage(ledgers.read_json_ledger(spark, f"{landed}/*"), status="SUCCESS")
