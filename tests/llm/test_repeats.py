@@ -109,17 +109,24 @@ def test_empty_table(spark):
     assert remove_strings(none).count() == 0
 
 
-def test_collection_order_is_that_of_all_suffixes():
+def test_columns_are_in_order_with_their_common_prefixes():
     r = random.Random(7)
-    pieces = [bytes(r.choice(b"ab\xff") for _ in range(r.randint(1, 12))) for _ in range(30)]
-    data = np.frombuffer(b"\0".join([*pieces, b""]), np.uint8)
-    ends = np.cumsum([len(p) + 1 for p in pieces]) - 1
-    starts = ends - np.array([len(p) for p in pieces])
-    order = suffix_dedup.collection_order(data, starts, ends)
-    raw = data.tobytes()
-    suffixes = [raw[p : ends[np.searchsorted(ends, p)]] for p in order]
-    assert suffixes == sorted(suffixes)
-    assert sorted(order.tolist()) == list(range(len(data)))
+    for _ in range(30):
+        pieces = [bytes(r.choice(b"ab\xff") for _ in range(r.randint(1, 9))) for _ in range(r.choice([1, 5, 30]))]
+        anchors = np.array([r.randrange(len(p)) for p in pieces])
+        lengths = np.array([len(p) for p in pieces])
+        data = np.frombuffer(b"".join(pieces), np.uint8)
+        first, end = -anchors, lengths - anchors
+        columns = suffix_dedup.Columns(data, np.cumsum(lengths) - lengths + anchors, first, end, 4)
+        for column in range(end.max() - 1, first.min() - 1, -1):
+            columns.step(column)
+            there = [i for i in range(len(pieces)) if first[i] <= column < end[i]]
+            suffix = {i: pieces[i][column - first[i] :] for i in there}
+            assert sorted(columns.order.tolist()) == there
+            ordered = [suffix[i] for i in columns.order.tolist()]
+            assert ordered == sorted(ordered)
+            shared = [next((k for k in range(min(len(x), len(y))) if x[k] != y[k]), min(len(x), len(y))) for x, y in zip(ordered, ordered[1:])]
+            assert columns.common.tolist()[1:] == [min(4, k) for k in shared]
 
 
 def test_hashes():

@@ -86,7 +86,7 @@ def factors(
     return kept
 
 
-def parse(pieces: list[bytes], ids: np.ndarray, window: int = WINDOW) -> np.ndarray:
+def parse(pieces: list[bytes], ids: np.ndarray, anchors: np.ndarray, window: int) -> np.ndarray:
     """Bits per piece: which of its windows lie in a factor from a smaller document."""
     words, bounds, owner = _block(pieces, ids)
     source = index_block(words, owner, bounds, ids, window)

@@ -1,9 +1,10 @@
 """Windows that start in a document with a smaller id, whatever the size of the table.
 
 A window is a fixed number of consecutive units (words or bytes) of one document.
-Its *key* is the least hash of the short grams inside it, so equal windows have
-equal keys, and neighbouring windows mostly share one: a maximal stretch of
-windows with one key is a *run*, and its units are a *piece*.
+The first of the short grams inside it with the least hash is its *anchor*, the
+hash its *key*: equal windows have equal keys and anchors at the same distance.
+Neighbouring windows mostly share an anchor: the windows of one anchor are a *run*,
+and their units are a *piece*.
 
 1. Homes take a census of the keys (``census``): only runs whose key occurs in
    more than one document can hold a repeated window.
@@ -33,6 +34,9 @@ from pyspark.sql import functions as F
 from tidemark.llm import census, hashing
 
 SLAB_UNITS = 1 << 17
+#: Slabs and slices are shorter than 2**24 units.
+_PLACES = np.uint64((1 << 24) - 1)
+#: Windows per run: as many as there are bits in an answer.
 MAX_RUN = 64
 HOT_PIECES = 50_000
 BLOCK_BYTES = 1 << 20
@@ -59,13 +63,14 @@ class Runs:
     mark_b: np.ndarray
     byte_start: np.ndarray
     byte_end: np.ndarray
+    anchor: np.ndarray  # units from the first window to the anchor
 
     def take(self, index: np.ndarray) -> Runs:
         return Runs(*(getattr(self, f.name)[index] for f in fields(self)))
 
     @staticmethod
     def joined(parts: list[Runs]) -> Runs:
-        kinds = [np.int64, np.int64, np.int64, np.uint64, np.uint64, np.uint64, np.int64, np.int64]
+        kinds = [np.int64, np.int64, np.int64, np.uint64, np.uint64, np.uint64, np.int64, np.int64, np.int64]
         return Runs(
             *(
                 np.concatenate([getattr(part, f.name) for part in parts]) if parts else np.zeros(0, kind)
@@ -91,16 +96,19 @@ def _runs_in(shape: Shape, values, starts, ends, docs: np.ndarray, bounds: np.nd
     n = len(values) - shape.window + 1
     if n <= 0:
         return Runs.joined([])
-    keys = hashing.sliding_min(hashing.grams(values, shape.gram), shape.window - shape.gram + 1)
+    grams = hashing.grams(values, shape.gram)
+    # The place in the lower bits makes the first of equal grams the least.
+    placed = (grams & ~_PLACES) | np.arange(len(grams), dtype=np.uint64)
+    anchors = (hashing.sliding_min(placed, shape.window - shape.gram + 1) & _PLACES).astype(np.int64)
     # Only windows inside one document count.
     owner = np.repeat(np.arange(len(docs)), np.diff(bounds))[:n]
     inside = np.arange(n) + shape.window <= bounds[1:][owner]
     at = np.flatnonzero(inside)
     if not len(at):
         return Runs.joined([])
-    key, of = keys[at], owner[at]
+    anchor, of = anchors[at], owner[at]
     new = np.ones(len(at), bool)
-    new[1:] = (key[1:] != key[:-1]) | (of[1:] != of[:-1])
+    new[1:] = (anchor[1:] != anchor[:-1]) | (of[1:] != of[:-1])
     if single is not None:
         cut = single[: len(at)]
         new[cut] = True
@@ -115,11 +123,12 @@ def _runs_in(shape: Shape, values, starts, ends, docs: np.ndarray, bounds: np.nd
         docs[of[begin]],
         first,
         count,
-        key[begin],
+        grams[anchor[begin]],
         hashing.stretches(values, first, last),
         hashing.stretches(values, first, last, 1),
         starts[first],
         ends[last - 1],
+        anchor[begin] - first,
     )
     if single is not None:
         runs.key = np.where(cut[begin], hashing.mixed(runs.mark_a ^ np.uint64(0x5851F42D4C957F2D)), runs.key)
@@ -245,17 +254,21 @@ def parse_blocks(shape: Shape, parse: Callable) -> Callable[[tuple, pa.Table], p
     def run(key: tuple, table: pa.Table) -> pa.Table:
         # Equal pieces are settled first; of each the smallest id goes on.
         numbers: dict[bytes, int] = {}
-        piece_no, ids = [], []
-        for data, length, doc in zip(table.column("a"), table.column("b"), table.column("c")):
+        piece_no, ids, anchors = [], [], []
+        for data, length, doc, anchor in zip(*(table.column(name) for name in "abcd")):
             raw, at = data.as_py(), 0
             for n in np.frombuffer(length.as_py(), np.uint32).tolist():
                 piece_no.append(numbers.setdefault(raw[at : at + n], len(numbers)))
                 at += n
             ids.append(np.frombuffer(doc.as_py(), np.int64))
+            anchors.append(np.frombuffer(anchor.as_py(), np.uint16))
         piece_no, all_ids = np.array(piece_no), np.concatenate(ids)
         least = np.full(len(numbers), np.iinfo(np.int64).max)
         np.minimum.at(least, piece_no, all_ids)
-        bits = parse(list(numbers), least, shape.window)
+        # Equal pieces have their anchor at the same place.
+        anchor_of = np.zeros(len(numbers), np.int64)
+        anchor_of[piece_no] = np.concatenate(anchors)
+        bits = parse(list(numbers), least, anchor_of, shape.window)
         answer = np.where(all_ids > least[piece_no], np.uint64(0xFFFFFFFFFFFFFFFF), bits[piece_no])
         ends = np.cumsum([len(x) for x in ids])
         homes = table.column("_home").to_pylist()
@@ -308,8 +321,9 @@ def remove_repeats(
 ) -> DataFrame:
     """``finish`` of every home's rows and the repeated stretches of each.
 
-    ``parse(pieces, ids, window)`` gets the different pieces of a block with the smallest id of
-    each and returns a bit per window, set where a piece with a smaller id has the window.
+    ``parse(pieces, ids, anchors, window)`` gets the different pieces of a block, the smallest id
+    and the anchor's unit of each, and returns a bit per window, set where a piece with a smaller
+    id has the window.
     """
     n_homes = census.parts_for(docs, text_col, home_bytes)
     # Pieces overlap, so that together they can be a few times the text.
@@ -324,7 +338,8 @@ def remove_repeats(
             chosen = own.chosen[own.order[i:j]]
             doc, start, end = runs.doc[chosen], runs.byte_start[chosen], runs.byte_end[chosen]
             pieces = b"".join(own.texts[d][s:e] for d, s, e in zip(doc.tolist(), start.tolist(), end.tolist()))
-            rows.append((home, "pieces", part, pieces, (end - start).astype(np.uint32), own.ids[doc]))
+            sizes, anchors = (end - start).astype(np.uint32), runs.anchor[chosen].astype(np.uint16)
+            rows.append((home, "pieces", part, pieces, sizes, own.ids[doc], anchors))
         return census.message(rows)
 
     pieces = census.with_answers(homes, answers, send, census.MESSAGE)

@@ -1,18 +1,23 @@
 """Removal of repeated byte strings by a column-wise multi-document suffix order.
 
-All strings of a block are worked on together, one column from the right per
-round: every string that still has a byte to its left inserts it, and with it one
-more suffix.  The order of all suffixes so far follows from the Burrows-Wheeler
-transform of the round before alone: suffixes sorted by the byte in front of
-them, stably, stand in the order they have with that byte prepended.  After the
-last round the neighbours' common prefixes say which suffixes start with the same
-50 bytes, and the smallest document of each such group keeps them.
-
-Strings are the pieces of documents that can hold a repeat (see ``repeats``):
-short, so that a round's arrays are read and written from end to end, and at most
-a block's size in memory.  The rounds of a block need no sorting of whole
-suffixes and no file of its own: what would be external files are the blocks
-themselves, which come and go through Spark's shuffle.
+All strings of a block are worked on together, a column from the right per round:
+every string that has a byte in the column inserts it.  The suffixes that begin
+in a column stand in the order of their bytes; the order for the next column
+follows from the Burrows-Wheeler transform of this one alone, the bytes in front
+of the suffixes in their order: sorted stably by them, the suffixes stand in the
+order that they have with the byte prepended.  The common prefixes of neighbours
+are updated in the same round: one more than the least between the places where
+two neighbours stood before, or none if their new bytes differ.  Neighbours that
+share 50 bytes or more form a group of equal strings, and the smallest document
+of a group keeps its copy.
+
+The strings are the pieces of documents that can hold a repeat (see ``repeats``).
+Equal 50-byte strings have their anchor at the same distance, so with the anchors
+of all pieces in one column they begin in the same column, and a round needs the
+suffixes of one column only, of which there is one per string.  A round reads and
+writes its arrays from end to end.  What would be external files are the blocks,
+which come and go through Spark's shuffle; a block's arrays are a few times its
+size.
 
 Null texts are empty.  Strings never cross documents.  Rows that repeat an id do
 not remove one another's bytes; a null id ranks after all others.
@@ -32,64 +37,91 @@ from tidemark.llm import repeats
 
 WINDOW = 50
 GRAM = 16
-ROUND_BYTES = 1 << 18
 
 
-def collection_order(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Places of all suffixes of the strings ``data[start:end]`` in order; ``data[end]`` belongs to no string.
+class _RangeMin:
+    """Least value between any two places of an array."""
 
-    A suffix that is a prefix of another comes before it, equal ones in the order of their strings.
+    def __init__(self, values: np.ndarray):
+        levels, span = [values], 1
+        while 2 * span <= len(values):
+            last = levels[-1].copy()
+            last[: len(values) - span] = np.minimum(levels[-1][:-span], levels[-1][span:])
+            levels.append(last)
+            span *= 2
+        self.levels = np.stack(levels)
+
+    def between(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Least value at the places from ``first`` to ``last``, both included."""
+        level = np.frexp((last - first + 1).astype(np.float64))[1] - 1
+        return np.minimum(self.levels[level, first], self.levels[level, last - (1 << level) + 1])
+
+
+class Columns:
+    """The suffixes of one column in order, and the common prefixes of neighbours.
+
+    ``first`` and ``end`` are the columns where each string begins and ends
+    (exclusive); ``base`` is where column 0 of it is in ``data``.
     """
-    is_start = np.zeros(len(data) + 1, bool)
-    is_start[starts] = True
-    # What each place puts in front of the suffix there.
-    front = np.concatenate([[0], data]).astype(np.uint8)
-    empty = ends.astype(np.int32)
-    order = empty
-    for _ in range(int((ends - starts).max(initial=0))):
-        inserting = order[~is_start[order]]
-        order = np.concatenate([empty, inserting[np.argsort(front[inserting], kind="stable")] - 1])
-    return order
-
-
-def common_prefixes(data: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
-    """Whether each suffix, but the first, shares ``length`` bytes with the one before it."""
-    if len(order) < 2:
-        return np.zeros(0, bool)
-    strings = np.lib.stride_tricks.sliding_window_view(data, length)
-    same = np.empty(len(order) - 1, bool)
-    for a in range(0, len(same), 1 << 15):
-        rows = strings[order[a : a + (1 << 15) + 1]]
-        same[a : a + len(rows) - 1] = (rows[1:] == rows[:-1]).all(axis=1)
-    return same
-
-
-def _parse_part(pieces: list[bytes], ids: np.ndarray, window: int) -> np.ndarray:
-    data = np.frombuffer(b"\0".join([*pieces, b""]), np.uint8)
+
+    def __init__(self, data: np.ndarray, base: np.ndarray, first: np.ndarray, end: np.ndarray, longest: int):
+        self.data, self.base, self.first, self.end = data, base, first, end
+        self.longest = longest  # common prefixes count up to here
+        self.order = np.zeros(0, np.int64)
+        self.common = np.zeros(0, np.uint8)  # of a suffix and the one before it
+        by_end = np.argsort(end, kind="stable")
+        self.ending = {int(e): by_end[i:j] for e, i, j in zip(*_stretches(end[by_end]))}
+
+    def step(self, column: int) -> None:
+        """From the suffixes that begin behind ``column`` to those that begin in it."""
+        stay = np.flatnonzero(self.first[self.order] <= column)
+        if len(stay) < len(self.order):
+            # A string that began further right leaves; its neighbours share what both shared with it.
+            common = self.common[: stay[-1] + 1] if len(stay) else self.common[:0]
+            self.common = np.minimum.reduceat(common, np.append(0, stay[:-1] + 1)) if len(stay) else common
+            self.order = self.order[stay]
+        # Strings that end here come in as empty suffixes, before all others.
+        coming = self.ending.get(column + 1, np.zeros(0, np.int64))
+        order = np.concatenate([coming, self.order])
+        common = np.concatenate([np.zeros(len(coming), np.uint8), self.common])
+        common[len(coming) : len(coming) + 1] = 0
+        if not len(order):
+            return
+        front = self.data[self.base[order] + column]
+        place = np.argsort(front, kind="stable")
+        self.order = order[place]
+        self.common = np.zeros(len(order), np.uint8)
+        same = np.flatnonzero(front[place[1:]] == front[place[:-1]])
+        shared = _RangeMin(common).between(place[same] + 1, place[same + 1])
+        self.common[same + 1] = np.minimum(shared, self.longest - 1) + 1
+
+
+def _stretches(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Values, starts and ends of the stretches of equal values."""
+    cuts = np.flatnonzero(np.diff(values, prepend=values[0] - 1, append=values[-1] + 1)) if len(values) else np.zeros(1, np.int64)
+    return values[cuts[:-1]], cuts[:-1], cuts[1:]
+
+
+def parse(pieces: list[bytes], ids: np.ndarray, anchors: np.ndarray, window: int) -> np.ndarray:
+    """Bits per piece: which of its windows start in a piece of a smaller document too."""
+    data = np.frombuffer(b"".join(pieces), np.uint8)
     lengths = np.array([len(piece) for piece in pieces])
-    ends = np.cumsum(lengths + 1) - 1
-    starts = ends - lengths
-    order = collection_order(data, starts, ends)
-    piece = np.searchsorted(ends, order)
-    whole = order + window <= ends[piece]
-    order, piece = order[whole], piece[whole]
+    first, end = -anchors, lengths - anchors
+    columns = Columns(data, np.cumsum(lengths) - lengths + anchors, first, end, window)
     bits = np.zeros(len(pieces), np.uint64)
-    if not len(order):
-        return bits
-    group = np.concatenate([[0], np.cumsum(~common_prefixes(data, order, window))])
-    heads = np.flatnonzero(np.diff(group, prepend=-1))
-    least = np.minimum.reduceat(ids[piece], heads)[group]
-    repeated = ids[piece] > least
-    shift = (order - starts[piece])[repeated].astype(np.uint64)
-    np.bitwise_or.at(bits, piece[repeated], np.uint64(1) << shift)
+    for column in range(int(end.max()) - 1, int(first.min()) - 1, -1):
+        columns.step(column)
+        order = columns.order
+        if column + window > int(end.max()) or not len(order):
+            continue
+        heads = np.flatnonzero(columns.common < window)
+        least = np.minimum.reduceat(ids[order], heads)
+        repeated = ids[order] > np.repeat(least, np.diff(np.append(heads, len(order))))
+        repeated = order[repeated & (column + window <= end[order])]
+        bits[repeated] |= np.uint64(1) << (column - first[repeated]).astype(np.uint64)
     return bits
 
 
-def parse(pieces: list[bytes], ids: np.ndarray, window: int = WINDOW) -> np.ndarray:
-    """Bits per piece: which of its windows start in a piece of a smaller document too."""
-    return _parse_part(pieces, ids, window)
-
-
 def _finish(names: list[str], keep: tuple[str, ...], with_text: bool):
     def run(table: pa.Table, spans: list[np.ndarray]) -> pa.Table:
         n_bytes, n_removed, digests, texts = [], [], [], []
