@@ -51,6 +51,8 @@ SKIPPED_NAMES = frozenset(
 )
 # Elements that a skipping name does not skip: they hold the whole page.
 _WHOLE = frozenset(["html", "body", "article", "main"])
+#: Clusters of lines are two where one is this many times denser than the other.
+APART = 3.0
 _NAME_PARTS = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
@@ -167,8 +169,8 @@ def lines_of(html: str) -> list[tuple[str, int, int, bool]]:
     return found
 
 
-def density_threshold(values: np.ndarray) -> float:
-    """The border between the two clusters of values (two means in one dimension)."""
+def density_clusters(values: np.ndarray) -> tuple[float, float]:
+    """The centers of the two clusters of values (two means in one dimension)."""
     low, high = float(values.min()), float(values.max())
     for _ in range(20):
         border = (low + high) / 2
@@ -176,7 +178,7 @@ def density_threshold(values: np.ndarray) -> float:
         if not upper.any() or upper.all():
             break
         low, high = float(values[~upper].mean()), float(values[upper].mean())
-    return (low + high) / 2
+    return low, high
 
 
 def main_text(html: str, sigma: float = 1.0) -> str:
@@ -191,11 +193,14 @@ def main_text(html: str, sigma: float = 1.0) -> str:
     kernel = np.exp(-0.5 * (np.arange(-reach, reach + 1) / sigma) ** 2)
     padded = np.pad(ratios, reach, mode="edge")
     smooth = np.convolve(padded, kernel / kernel.sum(), mode="valid")
-    if smooth.max() <= 2 * smooth.min() + 1e-9:
+    low, high = density_clusters(smooth)
+    if high <= APART * low + 1e-9:
+        # One cluster: the lines are alike.
         keep = np.ones(len(lines), bool)
     else:
-        border = min(density_threshold(smooth), ratios.mean())
-        keep = smooth >= border
+        keep = smooth >= min((low + high) / 2, ratios.mean())
+        # A short line between two of the article belongs to it.
+        keep[1:-1] |= keep[:-2] & keep[2:]
     keep &= np.array([2 * linked <= len(text) for text, linked, _, _ in lines])
     return " ".join(text for (text, *_), wanted in zip(lines, keep) if wanted)
 
