@@ -8,7 +8,7 @@ the prior is the least ratio, over all thresholds that enough positives pass, of
 the unlabelled and the positive texts above the threshold.
 
 The model is fitted on a bounded sample (``Sample``): that many positives and
-unlabelled texts, the first in the order of a hash of their ids, reach the driver
+unlabelled texts, the first in the order of a hash of id and text, reach the driver
 as feature vectors.  Scoring reads every whole text.
 
 Null texts count as empty and get a score like any other text.  Labels of null
@@ -133,9 +133,16 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 3 == 1, F.lit(False))
 
 
-def _vectors(docs: DataFrame, text_col: str, n: int, id_col: str) -> np.ndarray:
-    """Feature vectors of the first ``n`` rows in the order of a hash of the id."""
-    first = docs.select(text_col, id_col).orderBy(F.xxhash64(id_col), text_col).limit(n).select(text_col)
+def _vectors(docs: DataFrame, text_col: str, n: int, id_col: str, among: DataFrame | None = None) -> np.ndarray:
+    """Feature vectors of the first ``n`` different rows in the order of a hash, of the ids in ``among``."""
+    keyed = docs.select(F.col(id_col), F.col(text_col), F.xxhash64(id_col, text_col).alias("_key"))
+    # The rows are chosen by their keys alone; at most n keys are broadcast, and one text of each goes on.
+    keys = keyed.select(id_col, "_key")
+    if among is not None:
+        keys = keys.join(among, id_col, "left_semi")
+    chosen = keys.select("_key").distinct().orderBy("_key").limit(n)
+    rows = keyed.join(F.broadcast(chosen), "_key", "left_semi")
+    first = rows.groupBy("_key").agg(F.first(text_col).alias(text_col)).select(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,7 +159,7 @@ def train(
     """Weights and class prior, from positive labels outside the held-out rows and from unlabelled texts."""
     trusted = labels.where((F.col("quality") == 1) & ~held_out(id_col)).select(F.col(id_col)).distinct()
     learned = docs.where(~held_out(id_col))
-    positive = _vectors(learned.join(trusted, id_col, "left_semi"), text_col, sample.positives, id_col)
+    positive = _vectors(learned, text_col, sample.positives, id_col, trusted)
     unlabelled = _vectors(learned, text_col, sample.unlabelled, id_col)
     if not len(positive) or not len(unlabelled):
         # Nothing to learn from: every text scores one half.
