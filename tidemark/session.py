@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +35,15 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def with_package(spark: SparkSession) -> SparkSession:
+    """Python workers look for this package where the driver has found it."""
+    known = spark.sparkContext.environment
+    root = str(Path(__file__).resolve().parents[1])
+    if root not in known.get("PYTHONPATH", "").split(os.pathsep):
+        known["PYTHONPATH"] = os.pathsep.join(part for part in (root, known.get("PYTHONPATH")) if part)
+    return spark
+
+
 @contextmanager
 def setting(spark: SparkSession, key: str, value: str):
     """A session setting for the length of a ``with`` block."""
