@@ -19,13 +19,13 @@ from tidemark.llm import (
     warc,
     winnowing,
 )
-from tidemark.session import scratch_path, use_utc
+from tidemark.session import scratch_path, use_utc, with_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return use_utc(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return with_package(use_utc(spark)).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def op1_relative_lz(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,7 +112,33 @@ QUERIES: dict[str, Query] = {
     )
 }
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORD = r"[^\x20\x09-\x0D]+"
+_ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
 ORACLES: dict[str, str] = {
+    "op1_relative_lz": f"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS ws FROM documents
+        ), windows AS (
+            SELECT doc_id, s, md5(array_to_string(ws[s:s + 49], ' ')) AS h
+            FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS s FROM d WHERE len(ws) >= 50)
+        ), later AS (
+            SELECT doc_id, s FROM (SELECT *, min(doc_id) OVER (PARTITION BY h) AS first_id FROM windows)
+            WHERE first_id < doc_id
+        ), removed AS (
+            SELECT DISTINCT doc_id, unnest(range(s, s + 50)) AS place FROM later
+        ), kept AS (
+            SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS text
+            FROM (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS place FROM d)
+            ANTI JOIN removed USING (doc_id, place)
+            GROUP BY doc_id
+        )
+        SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed,
+               sha256(coalesce(kept.text, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (doc_id)
+        LEFT JOIN (SELECT doc_id, count(*) AS n FROM removed GROUP BY doc_id) USING (doc_id)
+    """,
     "op2_warc": """
         WITH rows AS (
             SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS payload_bytes FROM pages
@@ -125,5 +151,82 @@ ORACLES: dict[str, str] = {
                CASE WHEN payload_bytes >= 100 AND page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
         FROM firsts
     """,
+    "op3_ngram_join": f"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, regexp_extract_all({_LOWER}, '{_WORD}') AS ws FROM documents
+        ), shingles AS (
+            SELECT DISTINCT doc_id, array_to_string(ws[s:s + 4], ' ') AS g
+            FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS s FROM d WHERE len(ws) > 0)
+        ), sizes AS (
+            SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+        ), shared AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+            FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
+        ), links AS (
+            SELECT x, y FROM shared JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+            WHERE 100 * shared.n >= 75 * (a.n + b.n - shared.n)
+        ), reach AS (
+            SELECT doc_id, doc_id AS other FROM d
+            UNION
+            SELECT reach.doc_id, links.y FROM reach JOIN links ON links.x = reach.other
+        )
+        SELECT d.doc_id, coalesce(sizes.n, 0) AS n_shingles, min(other) AS component_id
+        FROM d JOIN reach USING (doc_id) LEFT JOIN sizes USING (doc_id) GROUP BY d.doc_id, sizes.n
+    """,
     "op4_mixing": mixing.ORACLE_SQL.format(documents="documents"),
+    "op8_winnowing": f"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all({_LOWER}, '{_ITEM_WORD}') AS ws FROM documents
+        ), items AS (
+            SELECT CAST(item_id AS VARCHAR) AS item, ws, least(10, len(ws)) AS n
+            FROM (SELECT item_id, regexp_extract_all({_LOWER}, '{_ITEM_WORD}') AS ws FROM benchmark) WHERE len(ws) > 0
+        ), sought AS (
+            SELECT DISTINCT item, n, array_to_string(ws[s:s + n - 1], ' ') AS g
+            FROM (SELECT *, unnest(range(1, len(ws) - n + 2)) AS s FROM items)
+        ), windows AS (
+            SELECT doc_id, n, s, array_to_string(ws[s:s + n - 1], ' ') AS g
+            FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS s
+                  FROM d, (SELECT DISTINCT n FROM items) WHERE len(ws) >= n)
+        ), hits AS (
+            SELECT doc_id, n, s, item FROM windows JOIN sought USING (n, g)
+        ), hit_words AS (
+            SELECT doc_id, count(*) AS n_hit
+            FROM (SELECT DISTINCT doc_id, unnest(range(s, s + n)) AS place FROM hits) GROUP BY doc_id
+        ), hit_items AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+            FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id
+        )
+        SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+    """,
+    "op9_suffix_dedup": """
+        WITH d AS (
+            SELECT doc_id, hex(encode(coalesce(text, ''))) AS digits,
+                   octet_length(encode(coalesce(text, ''))) AS n_bytes FROM documents
+        ), slices AS (
+            SELECT doc_id, n_bytes, a, substr(digits, 2 * a + 1, 2 * (256 + 49)) AS digits
+            FROM (SELECT *, unnest(range(0, n_bytes, 256)) AS a FROM d)
+        ), windows AS (
+            SELECT doc_id, a + o + 1 AS s, md5(substr(digits, 2 * o + 1, 100)) AS h
+            FROM (SELECT *, unnest(range(0, least(256, n_bytes - a - 49))) AS o FROM slices)
+        ), later AS (
+            SELECT doc_id, s FROM (SELECT *, min(doc_id) OVER (PARTITION BY h) AS first_id FROM windows)
+            WHERE first_id < doc_id
+        ), removed AS (
+            SELECT DISTINCT doc_id, unnest(range(s, s + 50)) AS place FROM later
+        ), kept AS (
+            SELECT doc_id, string_agg(digits, '' ORDER BY place) AS digits
+            FROM (SELECT doc_id, substr(digits, 2 * o + 1, 2) AS digits, a + o + 1 AS place
+                  FROM (SELECT *, unnest(range(0, least(256, n_bytes - a))) AS o FROM slices))
+            ANTI JOIN removed USING (doc_id, place)
+            GROUP BY doc_id
+        ), counts AS (
+            SELECT doc_id, count(*) AS n_removed, count(*) FILTER (WHERE before IS DISTINCT FROM place - 1) AS n_spans
+            FROM (SELECT *, lag(place) OVER (PARTITION BY doc_id ORDER BY place) AS before FROM removed) GROUP BY doc_id
+        )
+        SELECT doc_id, CAST(n_bytes AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+               coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept.digits, ''))) AS kept_sha256
+        FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN counts USING (doc_id)
+    """,
 }
