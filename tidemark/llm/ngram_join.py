@@ -21,11 +21,12 @@ fewer than ``SHORT`` tokens may have too few to pair: pairs of sets of which one
 short are found by prefixes of single tokens only.
 
 Equal sets are one node.  Inside a signature's group every set is verified against
-the group's least node first, and components are made of the links; then only sets
-of different components are compared: each against the least node of its group,
-and at last those outside a group's largest component against all of the group.
-No link between components is missed, and no group's pairs are listed whole while
-its sets are linked already.
+the group's least node, its center, and components are made of the links.  After
+that only sets of different components are compared, and of those only pairs that
+can be similar: Jaccard distance is a metric, so two sets whose distances to their
+center differ by more than ``1 - t`` are not; and sets that share too few of the
+lower half of their tokens cannot make up for it in the other.  No link between
+components is missed, and no group's pairs are listed while its sets are linked.
 
 Texts without words are linked with nothing and are their own component.  Null
 texts have no words.  Rows are nodes by their sets, so rows that repeat an id are
@@ -51,6 +52,8 @@ PERCENT = 75
 FREQUENT = 1000
 SUBCLASSES = 64
 SHORT = 64
+#: As many pairs, of less than 100 bytes each, are broadcast at most.
+BROADCAST_PAIRS = 100_000
 _HALF = np.uint64(1 << 63)
 _SALTS = {"single": np.uint64(0x1D8E4E27C47D124F), "short": np.uint64(0xEB44ACCAB455D165)}
 
@@ -124,12 +127,15 @@ def _mark(tokens: np.ndarray) -> bytes:
     return b"".join(hashing.stretches(tokens, np.zeros(1, np.int64), ends, lane).tobytes() for lane in (0, 1))
 
 
-_SETS = "doc_id long, n_shingles long, node binary, home int, sigs array<bigint>, tokens binary, enough boolean"
+_SETS = "doc_id long, n_shingles long, node binary, number long, sigs array<bigint>, tokens binary, enough boolean"
 _NAMES = [part.split(" ")[0] for part in _SETS.split(", ")]
 
 
 def _sets(docs: DataFrame, id_col: str, text_col: str, n_words: int, percent: int, frequent: int, subclasses: int, short: int, home_bytes: int) -> DataFrame:
-    """One row per document with its node; signatures and tokens once per home and node, where there are any."""
+    """One row per document with its node; signatures and tokens once per home and node, where there are any.
+
+    ``number`` names a node more shortly, by its home and first place in it.
+    """
     n_homes = census.parts_for(docs, text_col, home_bytes)
     homes = census.at_home(docs, id_col, text_col, (), n_homes)
 
@@ -146,16 +152,17 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, n_words: int, percent: in
         lower = known(sets)
         keys = np.unique(np.concatenate(lower) if lower else np.zeros(0, np.uint64))
         verdict = census.verdicts(keys << np.uint64(1), n_homes, told)
-        nodes, sigs, sent, enough = [], [], [], []
-        seen: set[bytes] = set()
+        nodes, numbers, sigs, sent, enough = [], [], [], [], []
+        seen: dict[bytes, int] = {}
         for tokens, low in zip(sets, lower):
             node = _mark(tokens) if len(tokens) else None
             own, whole = None, True
             if node is not None and node not in seen:
-                seen.add(node)
+                seen[node] = home << 32 | len(seen)
                 own, whole = signatures(tokens, verdict[np.searchsorted(keys, low)], percent, subclasses, short)
             some = own is not None and len(own) > 0
             nodes.append(node)
+            numbers.append(seen.get(node))
             sigs.append(own.view(np.int64) if some else None)
             sent.append(tokens.tobytes() if some else None)
             enough.append(whole)
@@ -163,7 +170,7 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, n_words: int, percent: in
             table.column("_id"),
             pa.array([len(tokens) for tokens in sets], pa.int64()),
             pa.array(nodes, pa.binary()),
-            pa.array([home] * len(sets), pa.int32()),
+            pa.array(numbers, pa.int64()),
             pa.array(sigs, pa.list_(pa.int64())),
             pa.array(sent, pa.binary()),
             pa.array(enough, pa.bool_()),
@@ -173,25 +180,75 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, n_words: int, percent: in
     return census.with_answers(homes, census.take_census(homes, count, frequent), sign, _SETS)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (x, home_x, y, home_y) with ``linked``: whether the sets are similar."""
+def _beside(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Written ``pairs`` (x, y) with ``n`` and ``of`` of both sides, from ``sets`` (number, n, of)."""
+    x, y = (sets.select(F.col("number").alias(c), F.col("n").alias(f"n_{c}"), F.col("of").alias(f"of_{c}")) for c in "xy")
+    if pairs.count() > BROADCAST_PAIRS:
+        both = pairs.select("x", "y").join(x, "x").join(y, "y")
+    else:
+        # Few pairs go to the sets, so that only the sets of pairs move.
+        few = F.broadcast(pairs.select("x", "y"))
+        both = x.join(few, "x").join(y.join(few, "y"), ["x", "y"])
+    return both.select("x", "y", "n_x", "n_y", "of_x", "of_y")
+
+
+def _halves(sets: DataFrame) -> DataFrame:
+    """Sets with the lower half of their tokens, shortened to 16 bits, in order."""
+
+    def run(batches):
+        for batch in batches:
+            tokens = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(2)]
+            lower = [t[: np.searchsorted(t, _HALF)] >> np.uint64(47) for t in tokens]
+            packed = pa.array([low.astype(np.uint16).tobytes() for low in lower], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), packed], ["number", "n", "of"])
+
+    return sets.select("number", "n", "of").mapInArrow(run, "number long, n long, of binary")
+
+
+def most_shared(a: np.ndarray, n: int, b: np.ndarray, m: int) -> int:
+    """The most tokens that sets of sizes ``n`` and ``m`` with these shortened halves can share."""
+    va, ca = np.unique(a, return_counts=True)
+    vb, cb = np.unique(b, return_counts=True)
+    _, i, j = np.intersect1d(va, vb, assume_unique=True, return_indices=True)
+    return int(np.minimum(ca[i], cb[j]).sum()) + min(n - len(a), m - len(b))
+
+
+def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that share enough of their lower halves to be similar."""
+
+    def run(batches):
+        for batch in batches:
+            keep = []
+            for n, m, x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4), batch.column(5)):
+                a, b = np.frombuffer(x.as_buffer(), np.uint16), np.frombuffer(y.as_buffer(), np.uint16)
+                most = most_shared(a, n, b, m)
+                keep.append(100 * most >= percent * (n + m - most))
+            yield batch.filter(pa.array(keep, pa.bool_())).select(["x", "y"])
+
+    return _beside(pairs, _halves(sets)).mapInArrow(run, "x long, y long")
 
-    def side(name: str) -> DataFrame:
-        return sets.select(
-            F.col("node").alias(name), F.col("home").alias(f"home_{name}"), F.col("tokens").alias(f"tokens_{name}")
-        )
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs with their Jaccard ``distance`` and ``linked``: whether they are similar."""
 
     def run(batches):
         for batch in batches:
-            linked = []
-            for x, y in zip(batch.column(2), batch.column(3)):
+            linked, distance = [], []
+            for x, y in zip(batch.column(4), batch.column(5)):
                 a, b = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 both = len(np.intersect1d(a, b, assume_unique=True))
-                linked.append(100 * both >= percent * (len(a) + len(b) - both))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], ["x", "y", "linked"])
+                whole = len(a) + len(b) - both
+                linked.append(100 * both >= percent * whole)
+                distance.append(1 - both / whole)
+            columns = [batch.column(0), batch.column(1), pa.array(distance, pa.float64()), pa.array(linked, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, ["x", "y", "distance", "linked"])
+
+    return _beside(pairs, sets).mapInArrow(run, "x long, y long, distance double, linked boolean")
 
-    joined = pairs.join(side("x"), ["x", "home_x"]).join(side("y"), ["y", "home_y"])
-    return joined.select("x", "y", "tokens_x", "tokens_y").mapInArrow(run, "x binary, y binary, linked boolean")
+
+def _checked(pairs: DataFrame, sets: DataFrame, percent: int, name: str) -> DataFrame:
+    possible = materialise(_possible(materialise(pairs, f"{name}-pairs"), sets, percent), f"{name}-possible")
+    return materialise(_verified(possible, sets, percent), f"{name}-verified")
 
 
 def near_duplicates(
@@ -214,86 +271,66 @@ def near_duplicates(
         if wanting is None:
             break
         short = math.ceil(100 * (wanting + 1) / percent)
-    sets = every.where("sigs IS NOT NULL")
-    least_home = sets.groupBy("node").agg(F.min("home").alias("home"))
-    members = materialise(
-        sets.join(least_home, ["node", "home"]).select("node", "home", F.col("n_shingles").alias("n"), F.explode("sigs").alias("sig")),
-        "signatures",
-    )
+    signed = every.where("sigs IS NOT NULL")
+    # Equal sets of several homes are one node, that of the least number.
+    first = signed.groupBy("node").agg(F.min("number").alias("first"), F.count("*").alias("homes")).where("homes > 1")
+    again = signed.select("node", "number").join(first, "node").where("number <> first").select("number")
+    again = materialise(again, "equal-sets")
+    again = F.broadcast(again) if again.count() <= BROADCAST_PAIRS else again
+    signed = signed.join(again, "number", "left_anti")
+    sets = signed.select("number", F.col("n_shingles").alias("n"), F.col("tokens").alias("of"))
+    members = signed.select("number", F.col("n_shingles").cast("int").alias("n"), F.explode("sigs").alias("sig"))
     # Only signatures of several nodes make pairs; the least node of each is its center.
-    centers = (
-        members.groupBy("sig")
-        .agg(F.min(F.struct("node", "home", "n")).alias("center"), F.count("*").alias("size"))
-        .where("size > 1")
-    )
-    grouped = materialise(members.join(centers.drop("size"), "sig"), "groups")
-    alike = f"100 * least(n, m) >= {percent} * greatest(n, m)"
-    to_center = (
-        grouped.select(
-            F.col("node").alias("x"),
-            F.col("home").alias("home_x"),
-            "n",
-            F.col("center.node").alias("y"),
-            F.col("center.home").alias("home_y"),
-            F.col("center.n").alias("m"),
-        )
-        .where("x <> y")
-        .where(alike)
-        .groupBy("x", "home_x", "y", "home_y")
-        .agg(F.count("*").alias("shared"))
-    )
-    to_center = materialise(to_center, "center-pairs")
-    best = to_center.groupBy("x").agg(F.max_by(F.struct("home_x", "y", "home_y"), F.struct("shared", "y")).alias("b"))
-    seen = materialise(_verified(best.select("x", "b.*"), sets, percent), "verified")
+    centers = members.groupBy("sig").agg(F.min("number").alias("center"), F.max("number").alias("other")).where("other > center")
+    grouped = materialise(members.join(centers.drop("other"), "sig"), "groups")
+    to_center = grouped.where("number <> center").select(F.col("number").alias("x"), F.col("center").alias("y")).distinct()
+    seen = _checked(to_center, sets, percent, "center")
     labels = components(seen.where("linked"))
 
-    def label_of(column: str) -> tuple[DataFrame, object]:
-        return labels.select(F.col("node").alias(column), F.col("label").alias(f"label_{column}"))
-
-    def apart(pairs: DataFrame) -> DataFrame:
-        """Pairs of different components."""
-        both = pairs.join(label_of("x"), "x", "left").join(label_of("y"), "y", "left")
-        return both.where(
-            F.coalesce("label_x", "x") != F.coalesce("label_y", "y")
-        ).drop("label_x", "label_y")
-
-    def after(pairs: DataFrame) -> None:
-        nonlocal seen, labels
-        new = apart(pairs).join(seen.select("x", "y"), ["x", "y"], "left_anti")
-        found = materialise(_verified(new, sets, percent), "verified")
-        seen = seen.unionByName(found)
-        if not found.where("linked").isEmpty():
-            labels = components(found.where("linked"), labels)
-
-    after(to_center.drop("shared"))
     # What is left: groups whose nodes are in several components.
-    named = grouped.join(labels, "node", "left").select(
-        "sig", "node", "home", "n", F.coalesce("label", "node").alias("label")
+    few = labels.count() <= BROADCAST_PAIRS and seen.count() <= BROADCAST_PAIRS
+    of_node = labels.withColumnRenamed("node", "number")
+    known = seen.select(F.col("x").alias("number"), F.col("y").alias("center"), "distance")
+    named = (
+        grouped.join(F.broadcast(of_node) if few else of_node, "number", "left")
+        .join(F.broadcast(known) if few else known, ["number", "center"], "left")
+        .select(
+            "sig",
+            "number",
+            "n",
+            F.coalesce("label", "number").alias("label"),
+            F.when(F.col("number") == F.col("center"), 0.0).otherwise(F.col("distance")).cast("float").alias("distance"),
+        )
+    )
+    several = named.groupBy("sig").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most")
+    split = materialise(named.join(several.drop("most"), "sig"), "split-groups")
+    # Of two components one is not the least: its nodes are compared with all others.
+    outside = split.where("label <> least").select(
+        "sig", F.col("number").alias("x"), "n", F.col("label").alias("own"), F.col("distance").alias("d")
+    )
+    inside = split.select("sig", F.col("number").alias("y"), F.col("n").alias("m"), "label", "distance")
+    alike = f"100 * least(n, m) >= {percent} * greatest(n, m)"
+    near = F.coalesce(F.abs(F.col("d") - F.col("distance")) <= (100 - percent) / 100 + 1e-6, F.lit(True))
+    rest = (
+        outside.join(inside, "sig")
+        .where("own <> label")
+        .where(alike)
+        .where(near)
+        # One order per pair, so that it is verified once.
+        .select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y"))
+        .distinct()
+        .join(to_center, ["x", "y"], "left_anti")
     )
-    parts = named.groupBy("sig", "label").agg(F.count("*").alias("size"))
-    largest = parts.groupBy("sig").agg(
-        F.max_by("label", F.struct("size", "label")).alias("largest"), F.count("*").alias("labels")
-    ).where("labels > 1")
-    split = materialise(named.join(largest.drop("labels"), "sig"), "split-groups")
-    outside = split.where("label <> largest").select(
-        "sig", F.col("node").alias("x"), F.col("home").alias("home_x"), "n", F.col("label").alias("own")
+    found = _checked(rest, sets, percent, "rest").where("linked")
+    if not found.isEmpty():
+        labels = components(found, labels)
+
+    by_node = every.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"), F.min("number").alias("number"))
+    placed = by_node.join(labels.withColumnRenamed("node", "number"), "number", "left")
+    least = placed.where("label IS NOT NULL").groupBy("label").agg(F.min("least").alias("component_id"))
+    of_node = placed.join(least, "label", "left").select(
+        "node", F.when(F.col("label").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id")
     )
-    inside = split.select("sig", F.col("node").alias("y"), F.col("home").alias("home_y"), F.col("n").alias("m"), "label")
-    rest = outside.join(inside, "sig").where("own <> label").where(alike)
-    # One order per pair, so that it is verified once.
-    turned = F.col("x") < F.col("y")
-    rest = rest.select(
-        F.when(turned, F.col("y")).otherwise(F.col("x")).alias("x"),
-        F.when(turned, F.col("home_y")).otherwise(F.col("home_x")).alias("home_x"),
-        F.when(turned, F.col("x")).otherwise(F.col("y")).alias("y"),
-        F.when(turned, F.col("home_x")).otherwise(F.col("home_y")).alias("home_y"),
-    ).distinct()
-    after(rest)
-
-    by_node = every.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"))
-    named = by_node.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    least = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    of_node = named.join(least, "label").select("node", "component_id")
     final = every.select("doc_id", "n_shingles", "node").join(of_node, "node", "left")
     return final.select(
         F.col("doc_id").alias(id_col),
