@@ -13,20 +13,19 @@ much of its tokens as no such loss can clear of shared signatures:
   the sum exceeds the slack.
 
 Similar sets then share a signature.  Lone tokens are in no other document and
-need not be sent, so a document whose prefix has lone tokens only is done.
-
-How frequent a token is comes from a census (``census``) of half of all tokens, by
-hash; the other half stands last in the order and is used one by one.  Sets of
+need not be sent: a document with more of them than its slack is similar to none,
+and is done.  How frequent a token is comes from a census (``census``).  Sets of
 fewer than ``SHORT`` tokens may have too few to pair: pairs of sets of which one is
 short are found by prefixes of single tokens only.
 
 Equal sets are one node.  Inside a signature's group every set is verified against
-the group's least node, its center, and components are made of the links.  After
-that only sets of different components are compared, and of those only pairs that
-can be similar: Jaccard distance is a metric, so two sets whose distances to their
-center differ by more than ``1 - t`` are not; and sets that share too few of the
-lower half of their tokens cannot make up for it in the other.  No link between
-components is missed, and no group's pairs are listed while its sets are linked.
+the group's center, the set with the fewest lone tokens, and components are made
+of the links.  After that only sets of different components are compared, and of
+those only pairs that can be similar: lone tokens are not shared; Jaccard distance
+is a metric, so two sets whose distances to their center differ by more than
+``1 - t`` are not similar; and sets that share too few of the lower half of their
+tokens cannot make up for it in the other.  No link between components is missed,
+and no group's pairs are listed while its sets are linked.
 
 Texts without words are linked with nothing and are their own component.  Null
 texts have no words.  Rows are nodes by their sets, so rows that repeat an id are
@@ -51,7 +50,7 @@ N_WORDS = 5
 PERCENT = 75
 FREQUENT = 1000
 SUBCLASSES = 64
-SHORT = 64
+SHORT = 96
 #: As many pairs, of less than 100 bytes each, are broadcast at most.
 BROADCAST_PAIRS = 100_000
 _HALF = np.uint64(1 << 63)
@@ -84,22 +83,20 @@ def slack(n: int, percent: int = PERCENT) -> int:
 
 
 def signatures(tokens: np.ndarray, verdict: np.ndarray, percent: int, subclasses: int, short: int) -> tuple[np.ndarray, bool]:
-    """Signatures of a sorted set, given the verdicts on its lower half; whether the prefix is long enough."""
+    """Signatures of a sorted set, given the verdicts on its tokens; whether the prefix is long enough."""
     n, need = len(tokens), slack(len(tokens), percent) + 1
-    known = len(verdict)
     lone = int((verdict == census.LONE).sum())
     if lone >= need:
         return np.zeros(0, np.uint64), True
-    rare, frequent = tokens[:known][verdict == census.SHARED], tokens[:known][verdict == census.HOT]
-    rest = tokens[known:]
+    rare, frequent = tokens[verdict == census.SHARED], tokens[verdict == census.HOT]
     found, enough = [], True
     if 100 * n < 100 * 100 * short // percent + 100:
-        single = np.concatenate([rare, frequent, rest])[: need - lone]
+        single = np.concatenate([rare, frequent])[: need - lone]
         found.append(hashing.mixed(single ^ _SALTS["short"]))
     if n >= short:
         left = need - lone
-        singles = [rare[:left]]
-        left -= len(singles[0])
+        single = rare[:left]
+        left -= len(single)
         if left and len(frequent):
             subclass = (hashing.mixed(frequent) % np.uint64(subclasses)).astype(np.int64)
             order = np.argsort(subclass, kind="stable")
@@ -114,10 +111,8 @@ def signatures(tokens: np.ndarray, verdict: np.ndarray, percent: int, subclasses
                 own = used[group == g]
                 i, j = np.triu_indices(len(own), 1)
                 found.append(hashing.mixed(hashing.mixed(own[i]) + own[j]))
-        if left > 0:
-            singles.append(rest[:left])
-            enough = len(rest) >= left
-        found.append(hashing.mixed(np.concatenate(singles) ^ _SALTS["single"]))
+        enough = left <= 0
+        found.append(hashing.mixed(single ^ _SALTS["single"]))
     return np.unique(np.concatenate(found)), enough
 
 
@@ -127,7 +122,9 @@ def _mark(tokens: np.ndarray) -> bytes:
     return b"".join(hashing.stretches(tokens, np.zeros(1, np.int64), ends, lane).tobytes() for lane in (0, 1))
 
 
-_SETS = "doc_id long, n_shingles long, node binary, number long, sigs array<bigint>, tokens binary, enough boolean"
+_SETS = (
+    "doc_id long, n_shingles long, node binary, number long, lone int, sigs array<bigint>, tokens binary, enough boolean"
+)
 _NAMES = [part.split(" ")[0] for part in _SETS.split(", ")]
 
 
@@ -139,27 +136,25 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, n_words: int, percent: in
     n_homes = census.parts_for(docs, text_col, home_bytes)
     homes = census.at_home(docs, id_col, text_col, (), n_homes)
 
-    def known(sets: list[np.ndarray]) -> list[np.ndarray]:
-        return [tokens[: np.searchsorted(tokens, _HALF)] for tokens in sets]
-
     def count(home: int, table: pa.Table) -> pa.Table:
-        lower = known(token_sets(table.column("_text").to_pylist(), n_words))
-        keys, counts = np.unique(np.concatenate(lower) if lower else np.zeros(0, np.uint64), return_counts=True)
-        return census.tags(home, keys << np.uint64(1), counts, n_homes)
+        sets = token_sets(table.column("_text").to_pylist(), n_words)
+        keys, counts = np.unique(np.concatenate(sets) if sets else np.zeros(0, np.uint64), return_counts=True)
+        return census.tags(home, keys, counts, n_homes)
 
     def sign(home: int, table: pa.Table, told: pa.Table) -> pa.Table:
         sets = token_sets(table.column("_text").to_pylist(), n_words)
-        lower = known(sets)
-        keys = np.unique(np.concatenate(lower) if lower else np.zeros(0, np.uint64))
-        verdict = census.verdicts(keys << np.uint64(1), n_homes, told)
-        nodes, numbers, sigs, sent, enough = [], [], [], [], []
+        keys = np.unique(np.concatenate(sets) if sets else np.zeros(0, np.uint64))
+        verdict = census.verdicts(keys, n_homes, told)
+        nodes, numbers, lone, sigs, sent, enough = [], [], [], [], [], []
         seen: dict[bytes, int] = {}
-        for tokens, low in zip(sets, lower):
+        for tokens in sets:
             node = _mark(tokens) if len(tokens) else None
             own, whole = None, True
+            of_tokens = verdict[np.searchsorted(keys, tokens)]
+            lone.append(int((of_tokens == census.LONE).sum()))
             if node is not None and node not in seen:
                 seen[node] = home << 32 | len(seen)
-                own, whole = signatures(tokens, verdict[np.searchsorted(keys, low)], percent, subclasses, short)
+                own, whole = signatures(tokens, of_tokens, percent, subclasses, short)
             some = own is not None and len(own) > 0
             nodes.append(node)
             numbers.append(seen.get(node))
@@ -171,6 +166,7 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, n_words: int, percent: in
             pa.array([len(tokens) for tokens in sets], pa.int64()),
             pa.array(nodes, pa.binary()),
             pa.array(numbers, pa.int64()),
+            pa.array(lone, pa.int32()),
             pa.array(sigs, pa.list_(pa.int64())),
             pa.array(sent, pa.binary()),
             pa.array(enough, pa.bool_()),
@@ -279,18 +275,33 @@ def near_duplicates(
     again = F.broadcast(again) if again.count() <= BROADCAST_PAIRS else again
     signed = signed.join(again, "number", "left_anti")
     sets = signed.select("number", F.col("n_shingles").alias("n"), F.col("tokens").alias("of"))
-    members = signed.select("number", F.col("n_shingles").cast("int").alias("n"), F.explode("sigs").alias("sig"))
-    # Only signatures of several nodes make pairs; the least node of each is its center.
-    centers = members.groupBy("sig").agg(F.min("number").alias("center"), F.max("number").alias("other")).where("other > center")
-    grouped = materialise(members.join(centers.drop("other"), "sig"), "groups")
-    to_center = grouped.where("number <> center").select(F.col("number").alias("x"), F.col("center").alias("y")).distinct()
-    seen = _checked(to_center, sets, percent, "center")
+    members = signed.select(
+        "number", F.col("n_shingles").cast("int").alias("n"), F.col("lone").alias("l"), F.explode("sigs").alias("sig")
+    )
+    # Only signatures of several nodes make pairs; the node of the fewest lone tokens is the center.
+    centers = (
+        members.groupBy("sig")
+        .agg(F.min(F.struct("l", "number", "n")).alias("c"), F.min("number").alias("a"), F.max("number").alias("b"))
+        .where("a < b")
+        .select("sig", F.col("c.number").alias("center"), F.col("c.n").alias("m"), F.col("c.l").alias("k"))
+    )
+    grouped = materialise(members.join(centers, "sig"), "groups")
+    # Lone tokens are not shared: what is left bounds the number of shared ones.
+    alike = f"{100 + percent} * least(n - l, m - k) >= {percent} * (n + m)"
+    tried = (
+        grouped.where("number <> center")
+        .where(alike)
+        .select(F.greatest("number", "center").alias("x"), F.least("number", "center").alias("y"))
+        .distinct()
+    )
+    seen = _checked(tried, sets, percent, "center")
     labels = components(seen.where("linked"))
 
     # What is left: groups whose nodes are in several components.
     few = labels.count() <= BROADCAST_PAIRS and seen.count() <= BROADCAST_PAIRS
     of_node = labels.withColumnRenamed("node", "number")
     known = seen.select(F.col("x").alias("number"), F.col("y").alias("center"), "distance")
+    known = known.union(seen.select("y", "x", "distance"))
     named = (
         grouped.join(F.broadcast(of_node) if few else of_node, "number", "left")
         .join(F.broadcast(known) if few else known, ["number", "center"], "left")
@@ -298,6 +309,7 @@ def near_duplicates(
             "sig",
             "number",
             "n",
+            "l",
             F.coalesce("label", "number").alias("label"),
             F.when(F.col("number") == F.col("center"), 0.0).otherwise(F.col("distance")).cast("float").alias("distance"),
         )
@@ -306,10 +318,11 @@ def near_duplicates(
     split = materialise(named.join(several.drop("most"), "sig"), "split-groups")
     # Of two components one is not the least: its nodes are compared with all others.
     outside = split.where("label <> least").select(
-        "sig", F.col("number").alias("x"), "n", F.col("label").alias("own"), F.col("distance").alias("d")
+        "sig", F.col("number").alias("x"), "n", "l", F.col("label").alias("own"), F.col("distance").alias("d")
+    )
+    inside = split.select(
+        "sig", F.col("number").alias("y"), F.col("n").alias("m"), F.col("l").alias("k"), "label", "distance"
     )
-    inside = split.select("sig", F.col("number").alias("y"), F.col("n").alias("m"), "label", "distance")
-    alike = f"100 * least(n, m) >= {percent} * greatest(n, m)"
     near = F.coalesce(F.abs(F.col("d") - F.col("distance")) <= (100 - percent) / 100 + 1e-6, F.lit(True))
     rest = (
         outside.join(inside, "sig")
@@ -319,7 +332,7 @@ def near_duplicates(
         # One order per pair, so that it is verified once.
         .select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y"))
         .distinct()
-        .join(to_center, ["x", "y"], "left_anti")
+        .join(tried, ["x", "y"], "left_anti")
     )
     found = _checked(rest, sets, percent, "rest").where("linked")
     if not found.isEmpty():
