@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 MAX_REPEATS = 3
 MAX_PATTERNS = 100_000
 WEIGHTS = (5, 2, 1)
-ROWS_PER_RANGE = 50_000
+ROWS_PER_RANGE = 2_000
 
 
 def capped_targets(sizes: dict, weights: dict, total: float, max_repeats: int = MAX_REPEATS) -> dict:
