@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -115,4 +116,6 @@ def ingest_holidays(
         ensure_table(spark, table, RAW_HOLIDAYS, location)
         return finish("SUCCESS", upsert(valid, table, arrival=PLACE), **results)
     except Exception as error:
+        # The run reports every failure as a row; the log keeps where it came from.
+        logging.getLogger(__name__).exception("ingestion failed")
         return finish("FAILED", 0, str(error))

@@ -23,7 +23,7 @@ def _not_positive():
 
 
 def suite() -> list[Tests]:
-    """35 declarative tests and one business rule, by relation."""
+    """35 declarative tests and one business rule, by relation.  Fixed values: columns and tests."""
     return [
         Tests(
             "stg_holidays",

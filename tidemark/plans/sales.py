@@ -14,6 +14,7 @@ AFTER_HOLIDAY = "POS_FERIADO"
 ORDINARY_DAY = "DIA_COMUM"
 CONTEXTS = [ORDINARY_DAY, BEFORE_HOLIDAY, ON_HOLIDAY, AFTER_HOLIDAY]
 
+# The columns of a sale and of its calendar day.
 SALE_COLUMNS = [
     "sale_id",
     "sale_date",
