@@ -61,3 +61,16 @@ def test_empty_sides(spark):
     left = spark.createDataFrame(docs, "doc_id long, text string")
     empty = spark.createDataFrame([], "item_id long, text string")
     assert {r.n_hit for r in decontaminate(left, empty).collect()} == {0}
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+def test_null_ids_are_judged(spark, limit):
+    """Documents without an id are judged by their own texts, as brute force does it."""
+    docs, items = case(5)
+    item = next(text for _, text in items if len(words(text)) > 10)
+    docs += [(None, f"before {item} after"), (None, f"else {item}"), (None, f"else {item}"), (None, "clean " * 20), (None, None)]
+    left = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    right = spark.createDataFrame(items, "item_id long, text string")
+    got = rows_of(decontaminate(left, right, broadcast_bytes=limit))
+    assert got == brute(docs, items)
+    assert sorted(hit > 0 for doc_id, _, hit, _ in got if doc_id is None) == [False, False, True, True, True]

@@ -15,8 +15,9 @@ Only sums reach the driver.  The item side is broadcast below
 ``broadcast_bytes`` of item text and joined by a shuffle above.
 
 Null and empty texts have no words.  Rows that repeat a document id are judged
-each by its own text; items that repeat an id count as one item.  A null item id
-is not reported among the items, its hits count.
+each by its own text, and so are rows with a null document id, which are told apart
+by their texts; items that repeat an id count as one item.  A null item id is not
+reported among the items, its hits count.
 """
 
 from __future__ import annotations
@@ -121,16 +122,21 @@ def _grams_of(words: Column, gram: int) -> Column:
     return _let(_hashes(words), lambda hashes: _grams(hashes, gram))
 
 
+def _row_key(id_col: str, text_col: str) -> Column:
+    """A number that is never null and spreads rows without an id; rows that share one are still judged by their words."""
+    return F.when(F.col(id_col).isNull(), F.xxhash64(text_col)).otherwise(F.xxhash64(id_col))
+
+
 def _document_grams(docs: DataFrame, id_col: str, text_col: str, span: int, gram: int, short: list[int]) -> DataFrame:
-    """Rows of (document, n_words of the window, kept gram hash)."""
+    """Rows of (key of the document, n_words of the window, kept gram hash)."""
 
     def kept(hashes: Column) -> Column:
         least = _let(_grams(hashes, gram), lambda grams: _least(grams, span - gram + 1))
         whole = [_keyed(F.array_distinct(_short_grams(hashes, n)), n) for n in short]
         return F.concat(_keyed(least, span), *whole)
 
-    found = docs.select(F.col(id_col), _let(_hashes(words_of(text_col)), kept).alias("kept"))
-    return found.select(id_col, F.explode("kept").alias("k")).select(id_col, "k.window", "k.value")
+    found = docs.select(_row_key(id_col, text_col).alias("_key"), _let(_hashes(words_of(text_col)), kept).alias("kept"))
+    return found.select("_key", F.explode("kept").alias("k")).select("_key", "k.window", "k.value")
 
 
 def _matches(sides: Column, words: Column, grams: Column, span: int, gram: int) -> Column:
@@ -197,11 +203,12 @@ def decontaminate(
     small = (size["bytes"] or 0) <= broadcast_bytes
     wanted = _document_grams(docs, id_col, text_col, span, gram, sorted(size["short"]))
     hit = wanted.join(F.broadcast(sides) if small else sides, ["window", "value"])
-    # All that is to be compared in a document, by its id.
-    found = hit.groupBy(F.col(id_col).alias("_id")).agg(
+    # All that is to be compared in a document, by its key.
+    found = hit.groupBy("_key").agg(
         F.collect_set(F.struct("window", "value", "around", "place", "item")).alias("_sides")
     )
-    joined = docs.select(id_col, text_col, *keep_cols).join(found, F.col(id_col) == F.col("_id"), "left")
+    keyed = docs.select(id_col, text_col, *keep_cols, _row_key(id_col, text_col).alias("_key"))
+    joined = keyed.join(found, "_key", "left")
 
     def judged(words: Column) -> Column:
         matches = _let(_grams_of(words, gram), lambda grams: _matches(F.col("_sides"), words, grams, span, gram))
