@@ -2,8 +2,8 @@
 
 Each stage reads what the one before has written and returns the columns of
 ``documents``; the last returns the mix.  Nulls, empty texts and repeated rows are
-handled as the operators say; a document without an id is never dropped as a near
-duplicate, as nothing else can name it.
+handled as the operators say; documents without an id are near duplicates like others,
+and one with an id is kept before them.
 """
 
 from __future__ import annotations
@@ -20,6 +20,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 _OTHERS = ("lang", "source", "n_chars")
+#: What a word of the join has: a character that is no ASCII blank.
+_WORD = r"[^\x20\x09-\x0D]"
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,16 +32,26 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id.
+    """Of each group of near duplicates the row with the smallest id, nulls last, and of these the least text.
 
-    Rows that repeat an id are one document; the least of their contents stays.
+    Membership is a matter of rows, not of ids: rows that share an id but are not similar all
+    stay.  Texts without words are similar to nothing and stay; only a repeated id and text,
+    which is the same document, is there once.
     """
+    others = F.struct(*_OTHERS)
     docs = docs.select(*COLUMNS)
-    groups = ngram_join.near_duplicates(docs)
-    kept = groups.where("doc_id = component_id").select("doc_id").distinct()
-    rest = F.struct(*COLUMNS[1:])
-    named = docs.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(rest).alias("rest"))
-    return named.select("doc_id", "rest.*").unionByName(docs.where("doc_id IS NULL"))
+    has_words = F.coalesce(F.col("text").rlike(_WORD), F.lit(False))
+    worded = docs.where(has_words).withColumn("_key", F.md5("text"))
+    groups = ngram_join.near_duplicates(worded, keep_cols=("_key",), component_col="_component")
+    # The rows that have the smallest id of their group, known by their texts.
+    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    first = first.select(F.col("doc_id").alias("_id"), "_key", "_component").distinct()
+    rows = worded.join(first, worded["doc_id"].eqNullSafe(first["_id"]) & (worded["_key"] == first["_key"]))
+    kept = rows.groupBy("_component").agg(F.min(F.struct("doc_id", "text", *_OTHERS)).alias("row")).select("row.*")
+    wordless = docs.where(~has_words)
+    named = wordless.where("doc_id IS NOT NULL").groupBy("doc_id", "text").agg(F.min(others).alias("rest"))
+    named = named.select("doc_id", "text", "rest.*")
+    return kept.unionByName(named).unionByName(wordless.where("doc_id IS NULL"))
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -84,3 +84,41 @@ def test_reruns_agree(spark):
         return hashlib.sha256(repr(rows).encode()).hexdigest()
 
     assert digest() == digest()
+
+
+def test_near_duplicates_keep_one_row_per_component(spark):
+    """Rows that share an id, or have none, are kept and dropped by their own texts."""
+    r = random.Random(7)
+    texts = [" ".join(f"w{r.randrange(10_000)}" for _ in range(60)) for _ in range(8)]
+    near = [text + " more" for text in texts]
+    rows = [
+        (1, texts[0]),
+        # A null text and two clean ones under one id: all stay.
+        (2, None),
+        (2, texts[1]),
+        (2, texts[2]),
+        # One row of the id is a near copy, the other is clean.
+        (3, near[0]),
+        (3, texts[3]),
+        # Near copies under one id, and without one: the least text stays.
+        (4, texts[4]),
+        (4, near[4]),
+        (None, near[5]),
+        (None, texts[5]),
+        (None, texts[5]),
+        # Copies without an id go before those with one.
+        (None, texts[1]),
+        (None, near[0]),
+        (None, texts[6]),
+        # Without words.
+        (None, " "),
+        (None, None),
+        (5, ""),
+        (5, ""),
+        (6, ""),
+    ]
+    docs = spark.createDataFrame([(*row, "en", "a", 1) for row in rows], FIELDS).repartition(3)
+    got = corpus_pipeline.near_duplicates(spark, docs, SF_DIR).select("doc_id", "text").collect()
+    kept = [(1, texts[0]), (2, None), (2, texts[1]), (2, texts[2]), (3, texts[3]), (4, texts[4])]
+    kept += [(None, texts[5]), (None, texts[6]), (None, " "), (None, None), (5, ""), (6, "")]
+    assert sorted(map(tuple, got), key=str) == sorted(kept, key=str)

@@ -41,6 +41,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm import census, hashing
 from tidemark.llm.components import components
@@ -128,13 +129,14 @@ _SETS = (
 _NAMES = [part.split(" ")[0] for part in _SETS.split(", ")]
 
 
-def _sets(docs: DataFrame, id_col: str, text_col: str, n_words: int, percent: int, frequent: int, subclasses: int, short: int, home_bytes: int) -> DataFrame:
+def _sets(docs: DataFrame, id_col: str, text_col: str, n_words: int, percent: int, frequent: int, subclasses: int, short: int, home_bytes: int, keep_cols: tuple[str, ...]) -> DataFrame:
     """One row per document with its node; signatures and tokens once per home and node, where there are any.
 
     ``number`` names a node more shortly, by its home and first place in it.
     """
     n_homes = census.parts_for(docs, text_col, home_bytes)
-    homes = census.at_home(docs, id_col, text_col, (), n_homes)
+    homes = census.at_home(docs, id_col, text_col, keep_cols, n_homes)
+    schema = T.StructType([*T.StructType.fromDDL(_SETS).fields, *(docs.schema[name] for name in keep_cols)])
 
     def count(home: int, table: pa.Table) -> pa.Table:
         sets = token_sets(table.column("_text").to_pylist(), n_words)
@@ -170,10 +172,11 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, n_words: int, percent: in
             pa.array(sigs, pa.list_(pa.int64())),
             pa.array(sent, pa.binary()),
             pa.array(enough, pa.bool_()),
+            *(table.column(name) for name in keep_cols),
         ]
-        return pa.Table.from_arrays(columns, _NAMES)
+        return pa.Table.from_arrays(columns, [*_NAMES, *keep_cols])
 
-    return census.with_answers(homes, census.take_census(homes, count, frequent), sign, _SETS)
+    return census.with_answers(homes, census.take_census(homes, count, frequent), sign, schema)
 
 
 def _beside(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -257,10 +260,16 @@ def near_duplicates(
     subclasses: int = SUBCLASSES,
     short: int = SHORT,
     home_bytes: int = census.HOME_BYTES,
+    keep_cols: tuple[str, ...] = (),
+    component_col: str | None = None,
 ) -> DataFrame:
-    """Per document: id, ``n_shingles`` and ``component_id``, the smallest id that links lead to."""
+    """Per document: id, ``n_shingles`` and ``component_id``, the smallest id that links lead to.
+
+    ``keep_cols`` are handed through.  ``component_col`` adds a number that the rows of a component
+    share and no others, whatever their ids; it is null for texts without words.
+    """
     while True:
-        options = (id_col, text_col, n_words, percent, frequent, subclasses, short, home_bytes)
+        options = (id_col, text_col, n_words, percent, frequent, subclasses, short, home_bytes, keep_cols)
         every = materialise(_sets(docs, *options), "token-sets")
         # A prefix can fall short where hashes deal a set's tokens badly: then sets of that size count as short.
         wanting = every.agg(F.max(F.when(~F.col("enough"), F.col("n_shingles"))).alias("n")).first()["n"]
@@ -342,11 +351,15 @@ def near_duplicates(
     placed = by_node.join(labels.withColumnRenamed("node", "number"), "number", "left")
     least = placed.where("label IS NOT NULL").groupBy("label").agg(F.min("least").alias("component_id"))
     of_node = placed.join(least, "label", "left").select(
-        "node", F.when(F.col("label").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id")
+        "node",
+        F.when(F.col("label").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"),
+        F.coalesce("label", "number").alias("_component"),
     )
-    final = every.select("doc_id", "n_shingles", "node").join(of_node, "node", "left")
+    final = every.select("doc_id", "n_shingles", "node", *keep_cols).join(of_node, "node", "left")
     return final.select(
         F.col("doc_id").alias(id_col),
         "n_shingles",
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        *keep_cols,
+        *([F.col("_component").alias(component_col)] if component_col else []),
     )
