@@ -46,3 +46,30 @@ def test_table(spark):
     got = sorted(((r.page_id, r.url, r.text[:3], r.n_chars) for r in extract_main_text(df).collect()), key=str)
     assert got == sorted([(1, "u", "a", 1), (1, "u", "a", 1), (2, None, "", 0), (None, "v", "", 0), (3, "w", "x x", 399_999)], key=str)
     assert extract_main_text(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "wrapper", ["<div class='layout has-sidebar'>", "<div class='post-with-comments'>", "<div id='header-and-content'>"]
+)
+def test_a_name_alone_does_not_skip_the_article(wrapper):
+    body, plain = article(random.Random(2))
+    rest = "<div class='sidebar'><p>Some other story.</p></div>"
+    teaser = "<ul class='related'><li><article><p>A teaser of another page.</p></article></li></ul>"
+    for holder in ("<div>{}</div>", '<div role="main">{}</div>', "<article>{}</article>"):
+        inner = holder.format(body) + rest
+        assert main_text(f"<body>{wrapper}{inner}</div></body>") == plain
+        assert main_text(f"<body>{wrapper}{inner}{teaser}</div></body>") == plain
+    # Cut off in the middle.
+    assert main_text(f"<body>{wrapper}<div>{body}") == plain
+
+
+def test_a_marked_teaser_does_not_replace_the_article():
+    body, plain = article(random.Random(3))
+    teaser = "<article><a href=/x>Read on</a><p>A teaser.</p></article>"
+    for around in ("<ul class='related'><li>{}</li></ul>", "<div class='more'>{}</div>"):
+        assert plain in main_text(f"<body><div>{body}</div>{around.format(teaser)}</body>")
+
+
+def test_long_comments_do_not_outweigh_a_marked_article():
+    comments = "<section id='comments'>" + "<p>I liked this article very much indeed.</p>" * 20 + "</section>"
+    assert main_text(f"<body><article><p>Short.</p></article>{comments}</body>") == "Short."

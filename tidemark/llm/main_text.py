@@ -7,10 +7,17 @@ high where the article is.  A threshold that splits the smoothed ratios into two
 clusters selects the lines.
 
 Text inside elements that never hold an article (scripts, forms, menus, headers
-and footers of the page, notices, adverts, comments; by element, role, or a word
-of class and id) makes no line.  Where a page marks its article
-(``article``, ``main``, role ``main``), the lines inside it are the clusters'
-content side, however short they are; the ratio decides on pages without marks.
+and footers of the page, by element or role) makes no line.  Elements that a word
+of class or id names as something else (notices, adverts, comments) are left out
+where they hold at most half of the page's text outside links: a wrapper of the
+article may have such a word in its class too.  One that is named as nothing else
+(``comments``, ``cookie-notice``) is left out whatever it holds, if the page marks
+an article outside it.  One that is left open ends where an article begins.
+
+Where a page marks its article (``article``, ``main``, role ``main``) and the
+marked lines hold at least half of the text outside links that is left, they are
+the clusters' content side, however short they are.  Elsewhere the ratio decides,
+and that of a marked line counts twice.
 
 Null and empty pages, and pages without text, give an empty text.  Broken markup
 is read as the parser finds it.  Rows are independent.
@@ -59,6 +66,20 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 _BLANK = re.compile(r"\s+")
 
 
+@dataclass(eq=False)
+class Named:
+    """An element whose class or id has a skipping name."""
+
+    tag: str
+    wholly: bool  # all words of class and id are such names
+    tags_before: int = 0
+    depth: int = 1  # of same-named elements inside, and itself
+    closed: bool = False
+    article: bool = False  # one began inside
+    size: int = 0  # of its text outside links
+    marked: int = 0  # lines
+
+
 @dataclass
 class Line:
     """A block of text with its share of the markup."""
@@ -67,6 +88,8 @@ class Line:
     tags: int = 0
     linked: int = 0
     marked: bool = False
+    named: tuple[Named, ...] = ()  # elements around it with a skipping name
+    late: tuple[Named, ...] = ()  # those in which an article began before
 
 
 class _Events(HTMLParser):
@@ -79,12 +102,24 @@ class _Events(HTMLParser):
         self.depth = 0  # of same-named elements inside the skipped one
         self.marks: list[str] = []
         self.links = 0
+        self.named: list[Named] = []  # those that are open
 
     def _new_line(self) -> None:
         if self.lines[-1].text:
-            self.lines.append(Line())
+            self._add_line()
         self.lines[-1].marked = bool(self.marks)
 
+    def _add_line(self, tags: int = 0) -> None:
+        early = tuple(element for element in self.named if not element.article)
+        late = tuple(element for element in self.named if element.article)
+        self.lines.append(Line([], tags, 0, bool(self.marks), early, late))
+
+    def _leave(self, place: int) -> None:
+        """The open named elements from ``place`` on end here."""
+        tags = self.named[place].tags_before
+        del self.named[place:]
+        self._add_line(tags)
+
     def _skips(self, tag: str, attrs: dict[str, str]) -> bool:
         if tag in SKIPPED:
             return True
@@ -96,12 +131,16 @@ class _Events(HTMLParser):
                 return tag not in _WHOLE
             if "style" in attrs and _HIDDEN.search(attrs["style"]):
                 return tag not in _WHOLE
-            names = f"{attrs.get('class', '')} {attrs.get('id', '')}"
-            if len(names) > 1 and tag not in _WHOLE:
-                parts = _NAME_PARTS.findall(_CAMEL.sub(" ", names).lower())
-                return not SKIPPED_NAMES.isdisjoint(parts)
         return False
 
+    def _named(self, tag: str, attrs: dict[str, str]) -> Named | None:
+        names = f"{attrs.get('class', '')} {attrs.get('id', '')}"
+        if len(names) > 1 and tag not in _WHOLE:
+            parts = _NAME_PARTS.findall(_CAMEL.sub(" ", names).lower())
+            if not SKIPPED_NAMES.isdisjoint(parts):
+                return Named(tag, SKIPPED_NAMES.issuperset(parts))
+        return None
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if self.skipping:
             # An article never is part of an element that was left open.
@@ -115,8 +154,20 @@ class _Events(HTMLParser):
             self.skipping, self.depth = tag, 1
             self._new_line()
             return
+        if tag not in VOID:
+            for element in self.named:
+                element.depth += tag == element.tag
+            if found and (element := self._named(tag, found)):
+                self._new_line()
+                element.tags_before = self.lines[-1].tags
+                self.named.append(element)
+                self._add_line()
         if tag in BLOCKS:
             self._new_line()
+            if self.named and tag in ("article", "main"):
+                for element in self.named:
+                    element.article = True
+                self._add_line()
             if tag in ("article", "main") or found.get("role") == "main":
                 self.marks.append(tag)
                 self.lines[-1].marked = True
@@ -146,6 +197,17 @@ class _Events(HTMLParser):
         elif tag == "a" and self.links:
             self.links -= 1
         self.lines[-1].tags += 1
+        if not self.named:
+            return
+        for element in self.named:
+            element.depth -= tag == element.tag
+        ended = [place for place, element in enumerate(self.named) if not element.depth]
+        if ended:
+            for place in ended:
+                self.named[place].closed = True
+            self._leave(ended[0])
+        elif tag in ("body", "html"):
+            self._leave(0)
 
     def handle_data(self, data: str) -> None:
         if self.skipping:
@@ -156,17 +218,34 @@ class _Events(HTMLParser):
             line.linked += len(data)
 
 
+def _left_out(element: Named, total: int, marked: int) -> bool:
+    """Whether a named element is not of the article, by its part of the page's text and marked lines."""
+    return 2 * element.size <= total or (element.wholly and element.marked < marked)
+
+
 def lines_of(html: str) -> list[tuple[str, int, int, bool]]:
     """Text, linked characters, tags and mark of each line with text."""
     events = _Events()
     events.feed(html)
     events.close()
-    found = []
+    found, total, marked = [], 0, 0
     for line in events.lines:
         text = _BLANK.sub(" ", "".join(line.text)).strip()
         if text:
-            found.append((text, line.linked, line.tags, line.marked))
-    return found
+            # An element that was left open ends at the article.
+            inside = [*line.named, *(element for element in line.late if element.closed)]
+            own = max(len(text) - line.linked, 0)
+            total += own
+            marked += line.marked
+            for element in inside:
+                element.size += own
+                element.marked += line.marked
+            found.append((text, line, inside))
+    return [
+        (text, line.linked, line.tags, line.marked)
+        for text, line, inside in found
+        if not any(_left_out(element, total, marked) for element in inside)
+    ]
 
 
 def density_clusters(values: np.ndarray) -> tuple[float, float]:
@@ -184,11 +263,13 @@ def density_clusters(values: np.ndarray) -> tuple[float, float]:
 def main_text(html: str, sigma: float = 1.0) -> str:
     """The blocks of the article, joined by one space."""
     lines = lines_of(html)
-    if any(marked for *_, marked in lines):
-        return " ".join(text for text, _, _, marked in lines if marked)
     if not lines:
         return ""
-    ratios = np.array([max(len(text) - linked, 0) / max(tags, 1) for text, linked, tags, _ in lines])
+    sizes = np.array([max(len(text) - linked, 0) for text, linked, _, _ in lines])
+    marks = np.array([marked for *_, marked in lines])
+    if marks.any() and 2 * sizes[marks].sum() >= sizes.sum():
+        return " ".join(text for text, _, _, marked in lines if marked)
+    ratios = sizes * np.where(marks, 2, 1) / np.array([max(tags, 1) for _, _, tags, _ in lines])
     reach = int(np.ceil(3 * sigma))
     kernel = np.exp(-0.5 * (np.arange(-reach, reach + 1) / sigma) ** 2)
     padded = np.pad(ratios, reach, mode="edge")
