@@ -558,11 +558,27 @@ def ledger_items(spark, sf_dir):
     return ledgers.ledger_items(spark, landed, lines=True).select(*_SEEN)
 
 
+#: About as many records, of some hundred bytes each, make an array file.
+_PER_FILE = 10_000
+
+
+def _write_arrays(records, path, per_file=_PER_FILE):
+    """Records (month, number, value) as array files of about ``per_file`` records, as many a month as it takes."""
+    files = records.groupBy(F.col("month").alias("_month")).agg(F.ceil(F.count("*") / per_file).alias("_files"))
+    part = F.pmod(F.xxhash64("number", "value"), F.col("_files")).alias("part")
+    dealt = records.join(F.broadcast(files), F.col("month").eqNullSafe(F.col("_month")))
+    listed = F.concat(F.lit("["), F.array_join(F.sort_array(F.collect_list("value")), ",\n"), F.lit("]"))
+    arrays = dealt.groupBy("month", part).agg(listed.alias("value"))
+    # A folder per array, as arrays that share a file are no array.
+    arrays.write.partitionBy("month", "part").text(path)
+
+
 @query
 def ledger_usage_from_arrays(spark, sf_dir):
-    """Bytes per project and month of a ledger of array files, a file a month."""
+    """Bytes per project and month of a ledger of array files, of which a month has as many as its records fill.
+
+    Broken records are left out when the files are written: one makes its whole file unreadable.
+    """
     landed = scratch_path(spark, "ledger-arrays")
-    whole = _dirty_records(spark, sf_dir).where("number % 13 <> 0")
-    listed = F.concat(F.lit("["), F.array_join(F.sort_array(F.collect_list("value")), ",\n"), F.lit("]"))
-    whole.groupBy("month").agg(listed.alias("value")).write.partitionBy("month").text(landed)
-    return usage.monthly_usage(ledgers.read_json_ledger(spark, f"{landed}/*"), status="SUCCESS")
+    _write_arrays(_dirty_records(spark, sf_dir).where("number % 13 <> 0"), landed)
+    return usage.monthly_usage(ledgers.read_json_ledger(spark, f"{landed}/*/*"), status="SUCCESS")
