@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    exact_dedup,
     line_quality,
     main_text,
     mixing,
@@ -96,6 +97,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.mark_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     function.__name__: function
     for function in (
@@ -109,6 +114,7 @@ QUERIES: dict[str, Query] = {
         op8_winnowing,
         op9_suffix_dedup,
         op10_token_counts,
+        op13_exact_dedup,
     )
 }
 
@@ -229,4 +235,9 @@ ORACLES: dict[str, str] = {
                coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept.digits, ''))) AS kept_sha256
         FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN counts USING (doc_id)
     """,
+    "op13_exact_dedup": f"""
+        SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+               doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
+        FROM (SELECT doc_id, {_LOWER} AS t FROM documents) WINDOW w AS (PARTITION BY t)
+    """,
 }
