@@ -15,6 +15,7 @@ from tidemark.llm import (
     ngram_join,
     quality_model,
     relative_lz,
+    spelling,
     suffix_dedup,
     token_counts,
     warc,
@@ -97,6 +98,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_duplicates(table(spark, sf_dir, "documents"))
 
@@ -114,6 +119,7 @@ QUERIES: dict[str, Query] = {
         op8_winnowing,
         op9_suffix_dedup,
         op10_token_counts,
+        op12_spelling,
         op13_exact_dedup,
     )
 }
@@ -235,6 +241,52 @@ ORACLES: dict[str, str] = {
                coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept.digits, ''))) AS kept_sha256
         FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN counts USING (doc_id)
     """,
+    # CRC-32 byte by byte from its table of 256 remainders; near words by what is left without one code point.
+    "op12_spelling": f"""
+        WITH RECURSIVE remainders AS (
+            SELECT list(list_reduce([b, 1, 2, 3, 4, 5, 6, 7, 8],
+                                    lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS t
+            FROM (SELECT unnest(range(CAST(0 AS BIGINT), 256)) AS b)
+        ), runs AS (
+            SELECT doc_id, run, count(*) AS n, hex(encode(concat(doc_id, ':', run))) AS digits
+            FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents)
+            GROUP BY ALL
+        ), hashed AS (
+            SELECT run, n, xor(4294967295, list_reduce(
+                list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(0, len(digits), 2), lambda i: CAST('0x' || substr(digits, i + 1, 2) AS BIGINT))),
+                lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h
+            FROM runs, remainders
+        ), counted AS (
+            SELECT word, CAST(sum(n) AS BIGINT) AS n
+            FROM (SELECT n, CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+                                 ELSE run END AS word FROM hashed)
+            GROUP BY word
+        ), words AS (
+            SELECT * FROM counted WHERE length(word) >= 6 AND n >= 5
+        ), less AS (
+            SELECT word, p, substr(word, 1, p - 1) || substr(word, p + 1) AS part
+            FROM (SELECT word, unnest(range(1, length(word) + 1)) AS p FROM words)
+        ), near AS (
+            SELECT a.word AS x, b.word AS y FROM less a JOIN less b ON a.p = b.p AND a.part = b.part AND a.word <> b.word
+            UNION
+            SELECT a.word, b.word FROM less a JOIN words b ON a.part = b.word
+            UNION
+            SELECT b.word, a.word FROM less a JOIN words b ON a.part = b.word
+        ), best AS (
+            SELECT x, count(*) AS n_near, arg_min(y, (-n, y)) AS y, max(n) AS n
+            FROM near JOIN words ON words.word = y GROUP BY x
+        ), forms AS (
+            SELECT word, words.n, CASE WHEN best.n >= 5 * words.n THEN y END AS form,
+                   CASE WHEN best.n >= 5 * words.n THEN best.n END AS form_n, coalesce(n_near, 0) AS n_near
+            FROM words LEFT JOIN best ON x = word
+        ), chains AS (
+            SELECT word, word AS root, form FROM forms
+            UNION ALL
+            SELECT chains.word, chains.form, forms.form FROM chains JOIN forms ON forms.word = chains.form
+        )
+        SELECT forms.word, forms.n, forms.form, forms.form_n, chains.root, forms.n_near
+        FROM forms JOIN chains ON chains.word = forms.word AND chains.form IS NULL
+    """,
     "op13_exact_dedup": f"""
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
