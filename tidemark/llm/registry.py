@@ -14,6 +14,7 @@ from tidemark.llm import (
     mixing,
     ngram_join,
     quality_model,
+    ranked_search,
     relative_lz,
     spelling,
     suffix_dedup,
@@ -98,6 +99,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, sf_dir, "documents"))
 
@@ -119,6 +124,7 @@ QUERIES: dict[str, Query] = {
         op8_winnowing,
         op9_suffix_dedup,
         op10_token_counts,
+        op11_ranked_search,
         op12_spelling,
         op13_exact_dedup,
     )
@@ -126,6 +132,7 @@ QUERIES: dict[str, Query] = {
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORD = r"[^\x20\x09-\x0D]+"
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 ORACLES: dict[str, str] = {
@@ -241,6 +248,28 @@ ORACLES: dict[str, str] = {
                coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept.digits, ''))) AS kept_sha256
         FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN counts USING (doc_id)
     """,
+    "op11_ranked_search": f"""
+        WITH terms AS (
+            SELECT doc_id, term, count(*) AS tf
+            FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS term FROM documents) GROUP BY ALL
+        ), lengths AS (
+            SELECT doc_id, sum(tf) AS n FROM terms GROUP BY doc_id
+        ), totals AS (
+            SELECT count(*) AS all_docs, CAST(sum(n) AS BIGINT) AS all_terms FROM lengths
+        ), weights AS (
+            SELECT term, CAST(floor(1000 * ln((2 * all_docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+            FROM (SELECT term, count(*) AS df FROM terms GROUP BY term), totals
+        ), items AS (
+            SELECT item_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS term FROM benchmark
+        ), scores AS (
+            SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + ((75 * n * all_docs) // all_terms))))) AS BIGINT) AS score
+            FROM items JOIN weights USING (term) JOIN terms USING (term) JOIN lengths USING (doc_id), totals
+            GROUP BY item_id, doc_id
+        )
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+        WHERE rank <= 10
+    """,
     # CRC-32 byte by byte from its table of 256 remainders; near words by what is left without one code point.
     "op12_spelling": f"""
         WITH RECURSIVE remainders AS (
