@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.budget import GIB, Budget, admission, alert_level, cost_usd, in_unit
+from tidemark.functions.budget import GIB, Budget, admission, alert_level, cost_usd
 from tidemark.functions.dates import instant, month_label, month_start
-from tidemark.functions.rounding import rounded
+from tidemark.functions.rounding import with_rounded
+from tidemark.operators.ordered import running_total
 from tidemark.operators.retention import KEPT_RECORDS, keep_last
 
 
@@ -69,21 +70,40 @@ def usage_summary(usage: DataFrame, budget: Budget) -> DataFrame:
     """Usage against the free tier and the operational ceiling, 13 figures per project and month."""
     ceiling = budget.ceiling_bytes
     used = F.col("bytes_used_month")
-    free_pct = rounded(used / F.lit(float(budget.free_tier_bytes)) * 100.0, 4)
-    left = F.greatest(F.lit(0), F.lit(ceiling) - used)
-    ceiling_pct = rounded(used / F.lit(float(ceiling)) * 100.0, 2) if ceiling > 0 else F.lit(0.0)
-    return usage.select(
+    # What is used several times is a column of its own, so that no expression contains another's copies.
+    left = usage.select(
         "project_id",
         month_label(F.col("month")).alias("month"),
         "bytes_used_month",
-        in_unit(used, GIB, 3).alias("gib_used_month"),
-        in_unit(F.lit(budget.free_tier_bytes), GIB, 1).alias("free_tier_total_gib"),
-        free_pct.alias("pct_free_tier_used"),
-        rounded(F.greatest(F.lit(0.0), 100.0 - free_pct), 4).alias("pct_free_tier_remaining"),
-        in_unit(F.lit(ceiling), GIB, 1).alias("operational_ceiling_gib"),
-        left.alias("bytes_remaining_to_ceiling"),
-        in_unit(left, GIB, 3).alias("gib_remaining_to_ceiling"),
-        ceiling_pct.alias("pct_ceiling_used"),
+        F.greatest(F.lit(0), F.lit(ceiling) - used).alias("bytes_remaining_to_ceiling"),
+        (used / F.lit(float(budget.free_tier_bytes)) * 100.0).alias("_free"),
+        (used / F.lit(float(ceiling)) * 100.0 if ceiling > 0 else F.lit(0.0)).alias("_of_ceiling"),
+    )
+    free = with_rounded(left, pct_free_tier_used=("_free", 4))
+    figures = with_rounded(
+        free.select(
+            "*",
+            (used / F.lit(float(GIB))).alias("_used"),
+            F.greatest(F.lit(0.0), 100.0 - F.col("pct_free_tier_used")).alias("_unused"),
+            (F.col("bytes_remaining_to_ceiling") / F.lit(float(GIB))).alias("_left"),
+        ),
+        gib_used_month=("_used", 3),
+        pct_free_tier_remaining=("_unused", 4),
+        gib_remaining_to_ceiling=("_left", 3),
+        pct_ceiling_used=("_of_ceiling", 2),
+    )
+    return figures.select(
+        "project_id",
+        "month",
+        "bytes_used_month",
+        "gib_used_month",
+        F.lit(round(budget.free_tier_bytes / GIB, 1)).alias("free_tier_total_gib"),
+        "pct_free_tier_used",
+        "pct_free_tier_remaining",
+        F.lit(round(ceiling / GIB, 1)).alias("operational_ceiling_gib"),
+        "bytes_remaining_to_ceiling",
+        "gib_remaining_to_ceiling",
+        "pct_ceiling_used",
         alert_level(used, budget).alias("alert_level"),
         (used >= ceiling).alias("circuit_breaker_active"),
     )
@@ -106,31 +126,20 @@ def request_verdicts(requests: DataFrame, usage: DataFrame, budget: Budget) -> D
 def job_costs(ledger: DataFrame, budget: Budget) -> DataFrame:
     """Cost of each successful record, its project's month total with it, and the alert level then.
 
-    Totals run in the order of start time and job id.  They are made of the
-    totals of the days before and a running sum inside the day, so that a month
-    of a busy project is spread over its days.
+    Totals run in the order of start time, job id and bytes, nulls first, so that a busy project's month or
+    instant is spread over many tasks.  Every successful record is costed: those without a project are
+    a project of their own, those without a start time a month of their own.
     """
-    billed = F.coalesce("bytes_billed", F.lit(0))
     jobs = successful_records(ledger).select(
         "project_id",
         month_start(F.col("start_time")).alias("month"),
-        F.col("start_time").cast("date").alias("_day"),
         "start_time",
         "job_id",
-        billed.alias("bytes_billed"),
-    )
-    days = jobs.groupBy("project_id", "month", "_day").agg(F.sum("bytes_billed").alias("_of_day"))
-    earlier = Window.partitionBy("project_id", "month").orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    before = days.select(
-        "project_id", "month", "_day", F.coalesce(F.sum("_of_day").over(earlier), F.lit(0)).alias("_before")
+        F.coalesce("bytes_billed", F.lit(0)).alias("bytes_billed"),
     )
-    within = (
-        Window.partitionBy("project_id", "month", "_day")
-        .orderBy("start_time", "job_id", "bytes_billed")
-        .rowsBetween(Window.unboundedPreceding, 0)
+    placed = running_total(
+        jobs, ["project_id", "month"], ["start_time", "job_id", "bytes_billed"], "bytes_billed", "month_total_after"
     )
-    after = F.col("_before") + F.sum("bytes_billed").over(within)
-    placed = jobs.join(before, ["project_id", "month", "_day"]).withColumn("month_total_after", after)
     return placed.select(
         "project_id",
         "month",

@@ -165,9 +165,25 @@ used AS (
 _COSTS = """
 costs AS (
     SELECT project_id, month, job_id, CAST(coalesce(bytes_billed, 0) AS BIGINT) AS bytes_billed,
-           CAST(sum(coalesce(bytes_billed, 0)) OVER (PARTITION BY project_id, month ORDER BY start_time, job_id, bytes_billed
-                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS month_total_after
+           CAST(sum(coalesce(bytes_billed, 0)) OVER (PARTITION BY project_id, month
+                ORDER BY start_time NULLS FIRST, job_id NULLS FIRST, bytes_billed NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS month_total_after
     FROM ledger WHERE status = 'SUCCESS')"""
+_GAPS = """
+gaps AS (
+    SELECT * REPLACE (CASE WHEN CAST(job_id AS BIGINT) % 5 <> 0 THEN project_id END AS project_id,
+                      CASE WHEN CAST(job_id AS BIGINT) % 3 = 0 THEN DATE '1996-02-01'
+                           WHEN CAST(job_id AS BIGINT) % 7 <> 0 THEN month END AS month,
+                      CASE WHEN CAST(job_id AS BIGINT) % 3 = 0 THEN TIMESTAMP '1996-02-29 12:00:00'
+                           WHEN CAST(job_id AS BIGINT) % 7 <> 0 THEN start_time END AS start_time)
+    FROM ledger)"""
+_ORDER_TIMES = """
+times AS (
+    SELECT o_orderkey,
+           CASE left(o_orderpriority, 1) WHEN '1' THEN 'click' WHEN '2' THEN 'view' WHEN '3' THEN 'purchase'
+                WHEN '4' THEN 'error' END AS event_type,
+           CASE WHEN o_orderkey % 7 = 0 THEN TIMESTAMP '2024-01-01'
+                WHEN o_orderkey % 11 <> 0 THEN TIMESTAMP '2024-01-01' + to_seconds(o_orderkey * 7919 % 2678400) END AS moment
+    FROM orders)"""
 _EVENT_ITEMS = r"""
 items AS (
     SELECT event_id, ts,
@@ -337,6 +353,12 @@ def _report() -> str:
     )
 
 
+_COSTED = f"""SELECT project_id, month, job_id, bytes_billed,
+       {_rounded("bytes_billed / CAST(1099511627776 AS DOUBLE) * 6.25", 4)} AS estimated_cost_usd,
+       month_total_after, {_level('month_total_after')} AS alert_level
+FROM costs"""
+
+
 def oracle_sql() -> dict[str, str]:
     events_raw = f"""
     WITH typed AS (
@@ -523,11 +545,16 @@ def oracle_sql() -> dict[str, str]:
                           THEN 'CIRCUIT_BREAKER' ELSE 'ADMITTED' END AS verdict,
                      coalesce(bytes_used_month, 0) + estimated_bytes AS projected_bytes
               FROM ledger LEFT JOIN used USING (project_id, month) WHERE state = 'RUNNING'""",
-        "job_costs": _with(_LEDGER, _COSTS)
-        + f"""SELECT project_id, month, job_id, bytes_billed,
-                     {_rounded("bytes_billed / CAST(1099511627776 AS DOUBLE) * 6.25", 4)} AS estimated_cost_usd,
-                     month_total_after, {_level('month_total_after')} AS alert_level
-              FROM costs""",
+        "job_costs": _with(_LEDGER, _COSTS) + _COSTED,
+        "job_costs_with_gaps": _with(_LEDGER, _GAPS, _COSTS.replace("FROM ledger", "FROM gaps")) + _COSTED,
+        "nearest_events": _with(_ORDER_TIMES)
+        + """SELECT o_orderkey, event_type, moment, p.ts AS prev_mark, n.ts AS next_mark FROM times
+             ASOF LEFT JOIN (SELECT DISTINCT ts FROM events) p ON moment >= p.ts
+             ASOF LEFT JOIN (SELECT DISTINCT ts FROM events) n ON moment <= n.ts""",
+        "nearest_events_of_kind": _with(_ORDER_TIMES)
+        + """SELECT o_orderkey, t.event_type, moment, p.ts AS prev_mark, n.ts AS next_mark FROM times t
+             ASOF LEFT JOIN (SELECT DISTINCT event_type, ts FROM events) p ON t.event_type = p.event_type AND moment >= p.ts
+             ASOF LEFT JOIN (SELECT DISTINCT event_type, ts FROM events) n ON t.event_type = n.event_type AND moment <= n.ts""",
         "ledger_retention": _with(_LEDGER)
         + """SELECT project_id, job_id, start_time, bytes_billed FROM ledger
              QUALIFY row_number() OVER (PARTITION BY project_id ORDER BY start_time DESC, job_id DESC) <= 500""",

@@ -14,6 +14,7 @@ from tidemark.functions.keys import holiday_key
 from tidemark.operators import checks, contracts
 from tidemark.operators.latest import overlay
 from tidemark.operators.nearest import nearest_dates
+from tidemark.operators.ordered import nearest_marks
 from tidemark.plans import calendar, ingest, opportunities, quality, sales, staging, usage
 from tidemark.plans.models import build_models
 from tidemark.session import materialise, scratch_path, use_utc
@@ -498,6 +499,45 @@ def job_costs(spark, sf_dir):
     return usage.job_costs(b.job_ledger(spark, sf_dir), b.BUDGET)
 
 
+@query
+def job_costs_with_gaps(spark, sf_dir):
+    """Costs where records lack a project or a start time, and a third of them share one instant."""
+    number = F.col("job_id").cast("bigint")
+    gaps = b.job_ledger(spark, sf_dir).withColumns(
+        {
+            "project_id": F.when(number % 5 != 0, F.col("project_id")),
+            "start_time": F.when(number % 3 == 0, F.lit("1996-02-29 12:00:00").cast("timestamp")).when(
+                number % 7 != 0, F.col("start_time")
+            ),
+        }
+    )
+    return usage.job_costs(gaps, b.BUDGET)
+
+
+@query
+def nearest_events(spark, sf_dir):
+    """The events next to the time of each order, moved into their span, of all kinds."""
+    return nearest_marks(_order_times(spark, sf_dir), b.table(spark, sf_dir, "events").select(F.col("ts").alias("moment")), "moment")
+
+
+@query
+def nearest_events_of_kind(spark, sf_dir):
+    """The events next to the time of each order among those of the kind that its priority stands for."""
+    events = b.table(spark, sf_dir, "events").select("event_type", F.col("ts").alias("moment"))
+    return nearest_marks(_order_times(spark, sf_dir), events, "moment", ("event_type",))
+
+
+def _order_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders at an instant of 2024; every seventh at the start of the year, some without one."""
+    key = F.col("o_orderkey")
+    second = F.pmod(key * 7919, F.lit(31 * 86400))
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    at = F.when(key % 7 == 0, start).when(key % 11 != 0, F.timestamp_add("SECOND", second, start))
+    kinds = F.array(*(F.lit(kind) for kind in ("click", "view", "purchase", "error", None)))
+    kind = F.element_at(kinds, F.left("o_orderpriority", F.lit(1)).cast("int"))
+    return b.table(spark, sf_dir, "orders").select("o_orderkey", kind.alias("event_type"), at.alias("moment"))
+
+
 @query
 def ledger_retention(spark, sf_dir):
     kept = usage.retained(b.job_ledger(spark, sf_dir))
