@@ -222,9 +222,9 @@ def test_ledger_import(spark, tmp_path):
     corrupt = land(tmp_path / "led", "bad.json", '[{"job_id": "j"}, {"job_id": "k"')
     read = ledger.read_json_ledger(spark, good)
     assert read.count() == 2 and read.first()["start_time"] == dt.datetime(2026, 1, 5, 10)
-    assert ledger.read_json_ledger(spark, corrupt).count() == 0
+    assert [r.job_id for r in ledger.read_json_ledger(spark, corrupt).collect()] == ["j"]
     assert ledger.read_json_ledger(spark, str(tmp_path / "none.json")).count() == 0
-    assert [r.reject_reason for r in ledger.ledger_rejects(spark, corrupt).collect()] == ["record: not an object"]
+    assert {r.reject_reason for r in ledger.ledger_rejects(spark, corrupt).collect()} == {"record: not an object"}
     lines = land(
         tmp_path / "led",
         "lines.json",

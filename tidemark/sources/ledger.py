@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import path_exists
+from tidemark.sources.json_arrays import array_elements
 
 LEDGER_SCHEMA = (
     "execution_id string, step_name string, job_id string, project_id string, "
@@ -30,15 +31,17 @@ def ledger_items(spark: SparkSession, path: str, lines: bool = False) -> DataFra
 
     No record is left out.  A field that does not fit its type is NULL and named
     in the reason; what is no record at all has a row of NULLs and a reason.  A
-    missing path is an empty ledger.
+    missing path is an empty ledger.  Array files are read in ranges by many tasks,
+    and a broken element costs itself (see ``json_arrays``).
     """
     if not path_exists(spark, path):
         return spark.createDataFrame([], f"{LEDGER_SCHEMA}, reject_reason string")
-    text = spark.read.text(path, wholetext=not lines)
     if lines:
+        text = spark.read.text(path)
         items = text.where(F.trim("value") != "").select(F.try_parse_json("value").alias("item"))
     else:
-        # A file that is no array has one row, which is no record.
+        # What cannot be read has one row, which is no record.
+        text = array_elements(spark, path).select(F.concat(F.lit("["), "element", F.lit("]")).alias("value"))
         listed = F.from_json("value", "array<variant>")
         unread = F.array(F.lit(None).cast("variant"))
         whole = F.when(F.json_array_length("value").isNull(), unread).otherwise(listed)

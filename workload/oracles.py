@@ -353,6 +353,17 @@ def _report() -> str:
     )
 
 
+_ITEMS = """, numbered AS (SELECT *, CAST(job_id AS BIGINT) AS number FROM ledger)
+SELECT CASE WHEN number % 13 <> 0 AND number % 7 <> 0 THEN job_id END AS job_id,
+       CASE WHEN number % 13 <> 0 AND number % 7 <> 0 THEN execution_id END AS execution_id,
+       CASE WHEN number % 13 <> 0 THEN project_id END AS project_id,
+       CASE WHEN number % 13 <> 0 THEN start_time END AS start_time,
+       CASE WHEN number % 13 <> 0 THEN status END AS status,
+       CASE WHEN number % 13 <> 0 THEN bytes_billed END AS bytes_billed,
+       CAST(NULL AS TIMESTAMP) AS end_time,
+       CASE WHEN number % 13 = 0 THEN 'record: not an object'
+            WHEN number % 17 = 0 THEN 'end_time: does not fit' END AS reject_reason
+FROM numbered"""
 _COSTED = f"""SELECT project_id, month, job_id, bytes_billed,
        {_rounded("bytes_billed / CAST(1099511627776 AS DOUBLE) * 6.25", 4)} AS estimated_cost_usd,
        month_total_after, {_level('month_total_after')} AS alert_level
@@ -569,18 +580,8 @@ def oracle_sql() -> dict[str, str]:
                      status, {_level('coalesce(bytes_billed, 0)')} AS alert_level,
                      strftime(start_time, '%Y-%m') AS run_month
               FROM ledger""",
-        "ledger_items": _with(_LEDGER)
-        + """, numbered AS (SELECT *, CAST(job_id AS BIGINT) AS number FROM ledger)
-             SELECT CASE WHEN number % 13 <> 0 AND number % 7 <> 0 THEN job_id END AS job_id,
-                    CASE WHEN number % 13 <> 0 AND number % 7 <> 0 THEN execution_id END AS execution_id,
-                    CASE WHEN number % 13 <> 0 THEN project_id END AS project_id,
-                    CASE WHEN number % 13 <> 0 THEN start_time END AS start_time,
-                    CASE WHEN number % 13 <> 0 THEN status END AS status,
-                    CASE WHEN number % 13 <> 0 THEN bytes_billed END AS bytes_billed,
-                    CAST(NULL AS TIMESTAMP) AS end_time,
-                    CASE WHEN number % 13 = 0 THEN 'record: not an object'
-                         WHEN number % 17 = 0 THEN 'end_time: does not fit' END AS reject_reason
-             FROM numbered""",
+        "ledger_items": _with(_LEDGER) + _ITEMS,
+        "ledger_items_from_arrays": _with(_LEDGER) + _ITEMS,
         "ledger_usage_from_arrays": _with(_LEDGER)
         + """SELECT project_id, month,
                     CAST(sum(CASE WHEN status = 'SUCCESS' THEN coalesce(bytes_billed, 0) ELSE 0 END) AS BIGINT)

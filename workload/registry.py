@@ -617,8 +617,16 @@ def _write_arrays(records, path, per_file=_PER_FILE):
 def ledger_usage_from_arrays(spark, sf_dir):
     """Bytes per project and month of a ledger of array files, of which a month has as many as its records fill.
 
-    Broken records are left out when the files are written: one makes its whole file unreadable.
+    The broken records have no project and no month.
     """
     landed = scratch_path(spark, "ledger-arrays")
-    _write_arrays(_dirty_records(spark, sf_dir).where("number % 13 <> 0"), landed)
+    _write_arrays(_dirty_records(spark, sf_dir), landed)
     return usage.monthly_usage(ledgers.read_json_ledger(spark, f"{landed}/*/*"), status="SUCCESS")
+
+
+@query
+def ledger_items_from_arrays(spark, sf_dir):
+    """The records of ``ledger_items`` from array files: the same rows, the broken ones set aside one by one."""
+    landed = scratch_path(spark, "ledger-arrays")
+    _write_arrays(_dirty_records(spark, sf_dir), landed)
+    return ledgers.ledger_items(spark, f"{landed}/*/*").select(*_SEEN)
