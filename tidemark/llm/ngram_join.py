@@ -18,13 +18,23 @@ and is done.  How frequent a token is comes from a census (``census``).  Sets of
 fewer than ``SHORT`` tokens may have too few to pair: pairs of sets of which one is
 short are found by prefixes of single tokens only.
 
-Equal sets are one node.  Inside a signature's group every set is verified against
-the group's center, the set with the fewest lone tokens, and components are made
-of the links.  After that only sets of different components are compared, and of
-those only pairs that can be similar: lone tokens are not shared; Jaccard distance
-is a metric, so two sets whose distances to their center differ by more than
-``1 - t`` are not similar; and sets that share too few of the lower half of their
-tokens cannot make up for it in the other.  No link between components is missed,
+Equal sets are one node.  Inside a signature's group every set is compared with the
+group's center, the set with the fewest lone tokens, and components are made of the
+links.  After that only sets of different components are compared, and of those only
+pairs that can be similar by what they differ from their center in.  Let ``D`` be
+the tokens that a set and the center ``c`` do not share.  For any ``c``
+
+    |x ^ y| = |Dx| + |Dy| - 2 |Dx & Dy|
+
+and two sets are similar if ``(100 + t) |x ^ y| <= (100 - t) (|x| + |y|)``.  With the *excess*
+``e = (100 + t) |D| - (100 - t) n`` that is ``2 (100 + t) |Dx & Dy| >= ex + ey``.  Lone tokens are
+in no other set's difference, so ``|Dx & Dy|`` is at most the rest of either difference, and
+with the *reach* ``a = 2 (100 + t) (|D| - lone) - e``, the excess that a set can make up for, similar
+sets have ``ex <= ay`` and ``ey <= ax``.  A set whose excess is over the largest reach in the other
+components of its group is similar to none of them; that is seen from one number per
+group, and in a family of copies with independent edits it leaves few sets.  What is left is
+joined, and pairs that share too few of the lower half of their tokens to make up for it in
+the other are dropped before whole sets are compared.  No link between components is missed,
 and no group's pairs are listed while its sets are linked.
 
 Texts without words are linked with nothing and are their own component.  Null
@@ -228,26 +238,21 @@ def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs with their Jaccard ``distance`` and ``linked``: whether they are similar."""
+    """Pairs with how many tokens only one of them has (``differ``) and ``linked``: whether they are similar."""
 
     def run(batches):
         for batch in batches:
-            linked, distance = [], []
+            linked, differ = [], []
             for x, y in zip(batch.column(4), batch.column(5)):
                 a, b = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 both = len(np.intersect1d(a, b, assume_unique=True))
                 whole = len(a) + len(b) - both
                 linked.append(100 * both >= percent * whole)
-                distance.append(1 - both / whole)
-            columns = [batch.column(0), batch.column(1), pa.array(distance, pa.float64()), pa.array(linked, pa.bool_())]
-            yield pa.RecordBatch.from_arrays(columns, ["x", "y", "distance", "linked"])
+                differ.append(whole - both)
+            columns = [batch.column(0), batch.column(1), pa.array(differ, pa.int64()), pa.array(linked, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, ["x", "y", "differ", "linked"])
 
-    return _beside(pairs, sets).mapInArrow(run, "x long, y long, distance double, linked boolean")
-
-
-def _checked(pairs: DataFrame, sets: DataFrame, percent: int, name: str) -> DataFrame:
-    possible = materialise(_possible(materialise(pairs, f"{name}-pairs"), sets, percent), f"{name}-possible")
-    return materialise(_verified(possible, sets, percent), f"{name}-verified")
+    return _beside(pairs, sets).mapInArrow(run, "x long, y long, differ long, linked boolean")
 
 
 def near_duplicates(
@@ -295,55 +300,60 @@ def near_duplicates(
         .select("sig", F.col("c.number").alias("center"), F.col("c.n").alias("m"), F.col("c.l").alias("k"))
     )
     grouped = materialise(members.join(centers, "sig"), "groups")
-    # Lone tokens are not shared: what is left bounds the number of shared ones.
-    alike = f"{100 + percent} * least(n - l, m - k) >= {percent} * (n + m)"
     tried = (
         grouped.where("number <> center")
-        .where(alike)
         .select(F.greatest("number", "center").alias("x"), F.least("number", "center").alias("y"))
         .distinct()
     )
-    seen = _checked(tried, sets, percent, "center")
+    tried = materialise(tried, "center-pairs")
+    seen = materialise(_verified(tried, sets, percent), "center-verified")
     labels = components(seen.where("linked"))
 
     # What is left: groups whose nodes are in several components.
     few = labels.count() <= BROADCAST_PAIRS and seen.count() <= BROADCAST_PAIRS
     of_node = labels.withColumnRenamed("node", "number")
-    known = seen.select(F.col("x").alias("number"), F.col("y").alias("center"), "distance")
-    known = known.union(seen.select("y", "x", "distance"))
+    known = seen.select(F.col("x").alias("number"), F.col("y").alias("center"), "differ")
+    known = known.union(seen.select("y", "x", "differ"))
+    differ = F.when(F.col("number") == F.col("center"), 0).otherwise(F.col("differ"))
+    excess = (100 + percent) * F.col("differ") - (100 - percent) * F.col("n")
     named = (
         grouped.join(F.broadcast(of_node) if few else of_node, "number", "left")
         .join(F.broadcast(known) if few else known, ["number", "center"], "left")
+        .withColumn("differ", differ)
         .select(
             "sig",
             "number",
-            "n",
-            "l",
             F.coalesce("label", "number").alias("label"),
-            F.when(F.col("number") == F.col("center"), 0.0).otherwise(F.col("distance")).cast("float").alias("distance"),
+            excess.alias("excess"),
+            (2 * (100 + percent) * (F.col("differ") - F.col("l")) - excess).alias("reach"),
         )
     )
     several = named.groupBy("sig").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most")
     split = materialise(named.join(several.drop("most"), "sig"), "split-groups")
-    # Of two components one is not the least: its nodes are compared with all others.
-    outside = split.where("label <> least").select(
-        "sig", F.col("number").alias("x"), "n", "l", F.col("label").alias("own"), F.col("distance").alias("d")
+    # The largest reach of a component and of all others but that one.
+    of_label = split.groupBy("sig", "label").agg(F.max("reach").alias("reach"))
+    first = of_label.groupBy("sig").agg(F.max(F.struct("reach", "label")).alias("first"))
+    other = of_label.join(first, "sig").where(F.col("label") != F.col("first.label"))
+    second = other.groupBy("sig", "first").agg(F.max("reach").alias("second"))
+    reached = split.join(second, "sig").where(
+        F.col("excess") <= F.when(F.col("label") == F.col("first.label"), F.col("second")).otherwise(F.col("first.reach"))
     )
-    inside = split.select(
-        "sig", F.col("number").alias("y"), F.col("n").alias("m"), F.col("l").alias("k"), "label", "distance"
+    near = materialise(reached.select("sig", "number", "label", "least", "excess", "reach"), "within-reach")
+    # Of two components one is not the least: its nodes are compared with all others.
+    outside = near.where("label <> least").select(
+        "sig", F.col("number").alias("x"), F.col("label").alias("own"), F.col("excess").alias("e"), F.col("reach").alias("a")
     )
-    near = F.coalesce(F.abs(F.col("d") - F.col("distance")) <= (100 - percent) / 100 + 1e-6, F.lit(True))
+    inside = near.select("sig", F.col("number").alias("y"), "label", "excess", "reach")
     rest = (
         outside.join(inside, "sig")
-        .where("own <> label")
-        .where(alike)
-        .where(near)
+        .where("own <> label AND e <= reach AND excess <= a")
         # One order per pair, so that it is verified once.
         .select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y"))
         .distinct()
         .join(tried, ["x", "y"], "left_anti")
     )
-    found = _checked(rest, sets, percent, "rest").where("linked")
+    possible = materialise(_possible(materialise(rest, "rest-pairs"), sets, percent), "rest-possible")
+    found = materialise(_verified(possible, sets, percent), "rest-verified").where("linked")
     if not found.isEmpty():
         labels = components(found, labels)
 
