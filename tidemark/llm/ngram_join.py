@@ -31,8 +31,8 @@ and two sets are similar if ``(100 + t) |x ^ y| <= (100 - t) (|x| + |y|)``.  Wit
 in no other set's difference, so ``|Dx & Dy|`` is at most the rest of either difference, and
 with the *reach* ``a = 2 (100 + t) (|D| - lone) - e``, the excess that a set can make up for, similar
 sets have ``ex <= ay`` and ``ey <= ax``.  A set whose excess is over the largest reach in the other
-components of its group is similar to none of them; that is seen from one number per
-group, and in a family of copies with independent edits it leaves few sets.  What is left is
+components around its center is similar to none of them; that is seen from one number per
+center, and in a family of copies with independent edits it leaves few sets.  What is left is
 joined, and pairs that share too few of the lower half of their tokens to make up for it in
 the other are dropped before whole sets are compared.  No link between components is missed,
 and no group's pairs are listed while its sets are linked.
@@ -309,45 +309,53 @@ def near_duplicates(
     seen = materialise(_verified(tried, sets, percent), "center-verified")
     labels = components(seen.where("linked"))
 
-    # What is left: groups whose nodes are in several components.
+    # What is left: centers whose nodes are in several components.
     few = labels.count() <= BROADCAST_PAIRS and seen.count() <= BROADCAST_PAIRS
     of_node = labels.withColumnRenamed("node", "number")
     known = seen.select(F.col("x").alias("number"), F.col("y").alias("center"), "differ")
     known = known.union(seen.select("y", "x", "differ"))
+    # A node once per center, with the signatures that it shares with it, so that a pair is found once.
+    around = grouped.groupBy("center", "number", "n", "l").agg(F.collect_list("sig").alias("sigs"))
     differ = F.when(F.col("number") == F.col("center"), 0).otherwise(F.col("differ"))
     excess = (100 + percent) * F.col("differ") - (100 - percent) * F.col("n")
     named = (
-        grouped.join(F.broadcast(of_node) if few else of_node, "number", "left")
+        around.join(F.broadcast(of_node) if few else of_node, "number", "left")
         .join(F.broadcast(known) if few else known, ["number", "center"], "left")
         .withColumn("differ", differ)
         .select(
-            "sig",
+            "center",
             "number",
+            "sigs",
             F.coalesce("label", "number").alias("label"),
             excess.alias("excess"),
             (2 * (100 + percent) * (F.col("differ") - F.col("l")) - excess).alias("reach"),
         )
     )
-    several = named.groupBy("sig").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most")
-    split = materialise(named.join(several.drop("most"), "sig"), "split-groups")
+    several = named.groupBy("center").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most")
+    split = materialise(named.join(several.drop("most"), "center"), "split-groups")
     # The largest reach of a component and of all others but that one.
-    of_label = split.groupBy("sig", "label").agg(F.max("reach").alias("reach"))
-    first = of_label.groupBy("sig").agg(F.max(F.struct("reach", "label")).alias("first"))
-    other = of_label.join(first, "sig").where(F.col("label") != F.col("first.label"))
-    second = other.groupBy("sig", "first").agg(F.max("reach").alias("second"))
-    reached = split.join(second, "sig").where(
-        F.col("excess") <= F.when(F.col("label") == F.col("first.label"), F.col("second")).otherwise(F.col("first.reach"))
-    )
-    near = materialise(reached.select("sig", "number", "label", "least", "excess", "reach"), "within-reach")
+    of_label = split.groupBy("center", "label").agg(F.max("reach").alias("reach"))
+    first = of_label.groupBy("center").agg(F.max(F.struct("reach", "label")).alias("first"))
+    other = of_label.join(first, "center").where(F.col("label") != F.col("first.label"))
+    second = other.groupBy("center", "first").agg(F.max("reach").alias("second"))
+    most = F.when(F.col("label") == F.col("first.label"), F.col("second")).otherwise(F.col("first.reach"))
+    near = split.join(second, "center").where(F.col("excess") <= most)
+    near = materialise(near.select("center", "number", "sigs", "label", "least", "excess", "reach"), "within-reach")
     # Of two components one is not the least: its nodes are compared with all others.
     outside = near.where("label <> least").select(
-        "sig", F.col("number").alias("x"), F.col("label").alias("own"), F.col("excess").alias("e"), F.col("reach").alias("a")
+        "center",
+        F.col("number").alias("x"),
+        F.col("sigs").alias("own_sigs"),
+        F.col("label").alias("own"),
+        F.col("excess").alias("e"),
+        F.col("reach").alias("a"),
     )
-    inside = near.select("sig", F.col("number").alias("y"), "label", "excess", "reach")
+    inside = near.select("center", F.col("number").alias("y"), "sigs", "label", "least", "excess", "reach")
     rest = (
-        outside.join(inside, "sig")
-        .where("own <> label AND e <= reach AND excess <= a")
-        # One order per pair, so that it is verified once.
+        outside.join(inside, "center")
+        # Of two nodes outside the least component, one order is enough.
+        .where("own <> label AND (label = least OR x > y) AND e <= reach AND excess <= a")
+        .where(F.arrays_overlap("own_sigs", "sigs"))
         .select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y"))
         .distinct()
         .join(tried, ["x", "y"], "left_anti")
