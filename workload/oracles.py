@@ -448,6 +448,9 @@ def oracle_sql() -> dict[str, str]:
         + """SELECT holiday_id, strftime(date, '%Y-%m-%d') AS date, chr(160) || ' ' || name || chr(9) AS name,
                     ' National ' AS type, source, ingested_at FROM merged""",
         "upsert_roundtrip": _with(_RAW, _ARRIVED)
+        + """SELECT holiday_id, date, chr(160) || ' ' || name || chr(9) AS name, ' National ' AS type, source,
+                    ingested_at FROM merged""",
+        "versioned_upsert": _with(_RAW, _ARRIVED)
         + """SELECT holiday_id, date, chr(160) || ' ' || name || chr(9) AS name, ' National ' AS type, source,
                     ingested_at FROM merged""",
         "append_readback": """
@@ -567,6 +570,9 @@ def oracle_sql() -> dict[str, str]:
              ASOF LEFT JOIN (SELECT DISTINCT event_type, ts FROM events) p ON t.event_type = p.event_type AND moment >= p.ts
              ASOF LEFT JOIN (SELECT DISTINCT event_type, ts FROM events) n ON t.event_type = n.event_type AND moment <= n.ts""",
         "ledger_retention": _with(_LEDGER)
+        + """SELECT project_id, job_id, start_time, bytes_billed FROM ledger
+             QUALIFY row_number() OVER (PARTITION BY project_id ORDER BY start_time DESC, job_id DESC) <= 500""",
+        "ledger_append_retention": _with(_LEDGER)
         + """SELECT project_id, job_id, start_time, bytes_billed FROM ledger
              QUALIFY row_number() OVER (PARTITION BY project_id ORDER BY start_time DESC, job_id DESC) <= 500""",
         "restricted_projects": _with(_LEDGER)

@@ -19,7 +19,7 @@ from tidemark.plans import calendar, ingest, opportunities, quality, sales, stag
 from tidemark.plans.models import build_models
 from tidemark.session import materialise, scratch_path, use_utc
 from tidemark.sources import ledger as ledgers
-from tidemark.sources import payloads, tables
+from tidemark.sources import payloads, tables, versions
 from tidemark.sources.sales import read_sales_csv
 from workload import bindings as b
 
@@ -244,6 +244,18 @@ def upsert_roundtrip(spark, sf_dir):
     return tables.source(spark, name, contracts.RECORD_COLUMNS)
 
 
+@query
+def versioned_upsert(spark, sf_dir):
+    """The records of ``upsert_roundtrip`` in a table of versions, whose readers never see a change half made."""
+    root = scratch_path(spark, "versions")
+    existing, batch = (part.withColumn("date", F.col("date").cast("date")) for part in _record_parts(spark, sf_dir))
+    year, clustering = F.year("date"), tables.HOLIDAY_CLUSTERING
+    versions.upsert(existing.withColumn("arrival", F.lit(0)), root, "holiday_id", ["arrival"], year, clustering)
+    for _ in range(2):
+        versions.upsert(batch, root, "holiday_id", ["arrival"], year, clustering)
+    return versions.rows_of(spark, root, versions.current(spark, root)).select(*contracts.RECORD_COLUMNS)
+
+
 @query
 def append_readback(spark, sf_dir):
     path = scratch_path(spark, "messages")
@@ -544,6 +556,17 @@ def ledger_retention(spark, sf_dir):
     return kept.select("project_id", "job_id", "start_time", "bytes_billed")
 
 
+@query
+def ledger_append_retention(spark, sf_dir):
+    """The ledger appended in four batches; each append keeps the newest records of a project."""
+    root = scratch_path(spark, "kept-ledger")
+    jobs = b.job_ledger(spark, sf_dir).select("project_id", "job_id", "start_time", "bytes_billed")
+    for part in range(4):
+        batch = jobs.where(F.pmod(F.xxhash64("job_id"), F.lit(4)) == part)
+        versions.append_newest(batch, root, "project_id", ["start_time", "job_id"])
+    return versions.newest_rows(spark, root)
+
+
 @query
 def restricted_projects(spark, sf_dir):
     jobs = usage.restricted_jobs(b.job_ledger(spark, sf_dir), ["Urgent", "low"])
