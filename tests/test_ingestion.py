@@ -3,6 +3,7 @@ import json
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import contracts
@@ -159,6 +160,22 @@ def test_dry_run_and_empty_run(spark, tmp_path):
     assert ingest_holidays(spark, [empty], "never_made", NOW).metrics.first()["records_loaded"] == 0
 
 
+def test_figures_come_from_the_writing_job(spark, tmp_path, monkeypatch):
+    """No pass over the items is made to count them."""
+    landed = land(tmp_path / "in", "2024.json", json.dumps([{"date": "2024-01-01", "name": "A", "type": "x"}, {"date": "bad", "name": "B", "type": "x"}]))
+
+    def refuse(self):
+        raise AssertionError("counted")
+
+    monkeypatch.setattr(DataFrame, "count", refuse)
+    done = ingest_holidays(spark, [landed], "raw.never", mode="quarantine", dry_run=True)
+    row = done.metrics.first()
+    assert (row["status"], row["records_received"], row["records_loaded"]) == ("SUCCESS", 2, 1)
+    empty = land(tmp_path / "in", "2025.json", "[]")
+    row = ingest_holidays(spark, [empty], "raw.never", dry_run=True).metrics.first()
+    assert (row["status"], row["records_received"], row["records_loaded"]) == ("SUCCESS", 0, 0)
+
+
 def test_ensure_upsert_and_required(spark, tmp_path):
     table = "raw_db.holidays"
     for _ in range(2):

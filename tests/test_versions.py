@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.session import setting
 from tidemark.sources import versions as v
 
 SCHEMA = "id string, day date, name string"
@@ -43,6 +44,25 @@ def test_upsert_touches_the_batch_parts_only(spark, tmp_path):
     assert seen(spark, root) == NEW
 
 
+def test_files_are_skipped_by_their_zones(spark, tmp_path):
+    root = str(tmp_path)
+    rows = [(f"k{i:04d}", f"202{i % 3}-01-01", f"name{i % 40:02d}", 1) for i in range(1200)]
+    with setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"), setting(spark, "spark.sql.shuffle.partitions", "12"):
+        put(spark, root, rows)
+        put(spark, root, [("k0001", "2021-01-01", "name39", 2)])
+    every = v.rows_of(spark, root, v.current(spark, root)).inputFiles()
+    assert len(every) > 6
+    by_name = v.files_with(spark, root, "name", "name07")
+    assert 0 < len(by_name) <= len(every) // 2
+    found = v.rows_with(spark, root, "name", "name07")
+    short = lambda names: {name.rsplit(root, 1)[1] for name in names}
+    assert short(found.inputFiles()) == short(by_name)
+    assert sorted(r.id for r in found.collect()) == [f"k{i:04d}" for i in range(7, 1200, 40)]
+    assert [tuple(map(str, r)) for r in v.rows_with(spark, root, "id", "k0001").collect()] == [("k0001", "2021-01-01", "name39")]
+    assert v.files_with(spark, root, "id", "z") == []
+    assert v.rows_with(spark, root, "id", "z").collect() == []
+
+
 class Stop(Exception):
     pass
 

@@ -15,6 +15,7 @@ import json
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -126,6 +127,7 @@ def expire(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
         name = item.getPath().getName()
         if name not in used_folders:
             system.delete(item.getPath(), True)
+            system.delete(path(f"{root}/zones/{name}"), True)
             gone.append(name)
             continue
         for inner in system.globStatus(path(f"{root}/data/{name}/_key=*")) or []:
@@ -161,13 +163,55 @@ def upsert(batch: DataFrame, root: str, key: str, arrival: list[str], part_by: C
         old = rows_of(spark, root, before, lambda part: part.key in touched)
         merged = old.join(new.select(key), key, "left_anti").withColumn("_key", part_by.cast("string")).unionByName(new)
     folder = f"data/{uuid.uuid4().hex}"
-    # Rows are not dealt out by part, which may hold a third of them: each task sorts its own.
-    merged.sortWithinPartitions("_key", *clustering, key).write.partitionBy("_key").parquet(f"{root}/{folder}")
+    # By ranges, so that a part of many rows has many files, each of a range of its own.
+    order = ["_key", *clustering, key]
+    ranged = merged.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged.write.partitionBy("_key").parquet(f"{root}/{folder}")
+    _write_zones(spark, root, folder, [*clustering, key])
     kept = [part for part in before.parts if part.key not in touched] if before else []
     parts = kept + [Part(f"{folder}/_key={name}", name) for name in touched]
     return commit(spark, root, before, before.schema if before else new.drop("_key").schema, parts)
 
 
+# ---------------------------------------------------------------- zones
+
+
+def _write_zones(spark: SparkSession, root: str, folder: str, columns: list[str]) -> None:
+    """The least and largest value of each column in every file of a folder, in a table beside them."""
+    of_file = F.col("_metadata.file_path").alias("_file")
+    bounds = [(f, c, kind) for c in columns for f, kind in ((F.min, "low"), (F.max, "high"))]
+    rows = spark.read.parquet(f"{root}/{folder}").select(of_file, F.col("_key").cast("string").alias("_of_key"), *columns)
+    zones = rows.groupBy("_file", "_of_key").agg(*(f(c).alias(f"{kind}_{c}") for f, c, kind in bounds))
+    zones.write.parquet(f"{root}/zones/{folder.split('/')[1]}")
+
+
+def files_with(spark: SparkSession, root: str, column: str, value) -> list[str]:
+    """Files of the current version that can hold ``value`` in a clustering column or the key."""
+    version = current(spark, root)
+    folders: dict[str, list[str]] = {}
+    for part in version.parts if version else []:
+        folders.setdefault(part.path.split("/")[1], []).append(part.key)
+    if not folders:
+        return []
+    current_keys = F.lit(False)
+    zones = spark.read.option("basePath", f"{root}/zones").parquet(*(f"{root}/zones/{folder}" for folder in folders))
+    zones = zones.withColumn("_folder", F.element_at(F.split(F.regexp_extract("_metadata.file_path", r"zones/[^/]+", 0), "/"), 2))
+    for folder, keys in folders.items():
+        current_keys = current_keys | ((F.col("_folder") == folder) & F.col("_of_key").isin(keys))
+    wanted = zones.where(current_keys).where(F.lit(value).between(F.col(f"low_{column}"), F.col(f"high_{column}")))
+    # One name per file that has to be read anyway.
+    return sorted(unquote(row["_file"]) for row in wanted.select("_file").collect())
+
+
+def rows_with(spark: SparkSession, root: str, column: str, value) -> DataFrame:
+    """Rows of the current version with ``value`` in a clustering column or the key; other files are not opened."""
+    version = current(spark, root)
+    files = files_with(spark, root, column, value)
+    if not files:
+        return spark.createDataFrame([], version.schema)
+    return spark.read.schema(version.schema).parquet(*files).where(F.col(column) == F.lit(value))
+
+
 # ---------------------------------------------------------------- append that keeps the newest
 
 #: Where a row came from: the version that added it, and its place there.
