@@ -104,3 +104,23 @@ def test_bound_of_shared_tokens_holds():
         # Few bits, so that different tokens look alike.
         short = [(t[t < np.uint64(1 << 63)] >> np.uint64(60)).astype(np.uint16) for t in (a, b)]
         assert most_shared(short[0], len(a), short[1], len(b)) >= len(np.intersect1d(a, b))
+
+
+def family(r, n, own):
+    """Copies of one text with 3 to 8 words replaced each, by words of their own or by common ones too."""
+    base = [f"w{i}" for i in range(150)]
+    docs = []
+    for i in range(n):
+        words = list(base)
+        for place in r.sample(range(150), r.randrange(3, 9)):
+            words[place] = f"own{i}x{place}" if own else r.choice([f"own{i}x{place}", "common", "often"])
+        docs.append((i, " ".join(words)))
+    return docs
+
+
+@pytest.mark.parametrize("own", [True, False])
+def test_family_around_the_limit(spark, own):
+    """Similarities from far below to above the limit, no copy without damage: no link is lost to the bounds."""
+    docs = family(random.Random(own), 160, own)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    assert sorted((tuple(row) for row in near_duplicates(df).collect()), key=str) == brute(docs)
