@@ -32,7 +32,7 @@ in no other set's difference, so ``|Dx & Dy|`` is at most the rest of either dif
 with the *reach* ``a = 2 (100 + t) (|D| - lone) - e``, the excess that a set can make up for, similar
 sets have ``ex <= ay`` and ``ey <= ax``.  A set whose excess is over the largest reach in the other
 components around its center is similar to none of them; that is seen from one number per
-center, and in a family of copies with independent edits it leaves few sets.  What is left is
+center.  Pairs with the center itself are known already.  What is left is
 joined, and pairs that share too few of the lower half of their tokens to make up for it in
 the other are dropped before whole sets are compared.  No link between components is missed,
 and no group's pairs are listed while its sets are linked.
