@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from tidemark.llm.main_text import extract_main_text, main_text
+from tidemark.llm.main_text import extract_main_text, lines_of, main_text
 
 AROUND = [
     ("<nav><ul><li><a href=/a>Home</a></li><li><a href=/b>About</a></li></ul></nav>", ""),
@@ -73,3 +73,36 @@ def test_a_marked_teaser_does_not_replace_the_article():
 def test_long_comments_do_not_outweigh_a_marked_article():
     comments = "<section id='comments'>" + "<p>I liked this article very much indeed.</p>" * 20 + "</section>"
     assert main_text(f"<body><article><p>Short.</p></article>{comments}</body>") == "Short."
+
+
+def page_of_blocks(r, depth=0):
+    """A tree of blocks: (name of its class or none, text before the children, children)."""
+    children = [page_of_blocks(r, depth + 1) for _ in range(r.randint(0, 3))] if depth < 5 else []
+    return r.choice([None, None, "ad", "layout sidebar"]), "x" * r.randint(1, 9), children
+
+
+def written(block):
+    name, text, children = block
+    return f"<div{f' class=\"{name}\"' if name else ''}>{text}{''.join(map(written, children))}</div>"
+
+
+def size_of(block):
+    return len(block[1]) + sum(map(size_of, block[2]))
+
+
+def kept_blocks(block, total):
+    """Without the named blocks that hold at most half of the text."""
+    if block[0] and 2 * size_of(block) <= total:
+        return []
+    return [block[1], *(text for child in block[2] for text in kept_blocks(child, total))]
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_named_elements_against_trees(seed):
+    block = page_of_blocks(random.Random(seed))
+    assert [line[0] for line in lines_of(written(block))] == kept_blocks(block, size_of(block))
+
+
+def test_many_open_elements():
+    # Quadratic work over these would take minutes.
+    assert main_text('<div class="ad">x' * 50_000 + "<article><p>Text</p></article>").endswith("Text")

@@ -26,6 +26,7 @@ is read as the parser finds it.  Rows are independent.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
@@ -73,23 +74,34 @@ class Named:
     tag: str
     wholly: bool  # all words of class and id are such names
     tags_before: int = 0
-    depth: int = 1  # of same-named elements inside, and itself
+    place: int = 0  # among the open named elements
+    around: Named | None = None  # the next one outside
+    level: int = 0  # open elements of its tag when it began, and itself
     closed: bool = False
-    article: bool = False  # one began inside
-    size: int = 0  # of its text outside links
-    marked: int = 0  # lines
+    # Of the lines directly inside, then of all: text outside links, marked lines.
+    size: int = 0
+    marked: int = 0
+    late_size: int = 0
+    late_marked: int = 0
+    out: int = -1  # place of the innermost element to leave out, this or one around it
+    closed_out: bool = False  # this or one around it is closed and to leave out
 
 
 @dataclass
 class Line:
-    """A block of text with its share of the markup."""
+    """A block of text with its share of the markup.
+
+    The named elements around it are ``inner`` and those around that; in the first ``late`` of
+    them, of which ``outer`` is the innermost, an article began before.
+    """
 
     text: list[str] = field(default_factory=list)
     tags: int = 0
     linked: int = 0
     marked: bool = False
-    named: tuple[Named, ...] = ()  # elements around it with a skipping name
-    late: tuple[Named, ...] = ()  # those in which an article began before
+    inner: Named | None = None
+    outer: Named | None = None
+    late: int = 0
 
 
 class _Events(HTMLParser):
@@ -103,6 +115,10 @@ class _Events(HTMLParser):
         self.marks: list[str] = []
         self.links = 0
         self.named: list[Named] = []  # those that are open
+        self.seen: list[Named] = []  # all, in the order of their start
+        self.late = 0  # open named elements, outermost first, in which an article began
+        self.levels: dict[str, int] = defaultdict(int)  # open elements of a tag
+        self.open: dict[str, list[Named]] = defaultdict(list)  # open named elements of a tag
 
     def _new_line(self) -> None:
         if self.lines[-1].text:
@@ -110,14 +126,25 @@ class _Events(HTMLParser):
         self.lines[-1].marked = bool(self.marks)
 
     def _add_line(self, tags: int = 0) -> None:
-        early = tuple(element for element in self.named if not element.article)
-        late = tuple(element for element in self.named if element.article)
-        self.lines.append(Line([], tags, 0, bool(self.marks), early, late))
+        inner = self.named[-1] if self.named else None
+        outer = self.named[self.late - 1] if self.late else None
+        self.lines.append(Line([], tags, 0, bool(self.marks), inner, outer, self.late))
+
+    def _enter(self, element: Named) -> None:
+        element.tags_before = self.lines[-1].tags
+        element.place = len(self.named)
+        element.around = self.named[-1] if self.named else None
+        element.level = self.levels[element.tag]
+        self.named.append(element)
+        self.seen.append(element)
+        self.open[element.tag].append(element)
 
     def _leave(self, place: int) -> None:
         """The open named elements from ``place`` on end here."""
         tags = self.named[place].tags_before
-        del self.named[place:]
+        while len(self.named) > place:
+            self.open[self.named.pop().tag].pop()
+        self.late = min(self.late, place)
         self._add_line(tags)
 
     def _skips(self, tag: str, attrs: dict[str, str]) -> bool:
@@ -155,18 +182,15 @@ class _Events(HTMLParser):
             self._new_line()
             return
         if tag not in VOID:
-            for element in self.named:
-                element.depth += tag == element.tag
+            self.levels[tag] += 1
             if found and (element := self._named(tag, found)):
                 self._new_line()
-                element.tags_before = self.lines[-1].tags
-                self.named.append(element)
+                self._enter(element)
                 self._add_line()
         if tag in BLOCKS:
             self._new_line()
             if self.named and tag in ("article", "main"):
-                for element in self.named:
-                    element.article = True
+                self.late = len(self.named)
                 self._add_line()
             if tag in ("article", "main") or found.get("role") == "main":
                 self.marks.append(tag)
@@ -197,16 +221,13 @@ class _Events(HTMLParser):
         elif tag == "a" and self.links:
             self.links -= 1
         self.lines[-1].tags += 1
-        if not self.named:
-            return
-        for element in self.named:
-            element.depth -= tag == element.tag
-        ended = [place for place, element in enumerate(self.named) if not element.depth]
-        if ended:
-            for place in ended:
-                self.named[place].closed = True
-            self._leave(ended[0])
-        elif tag in ("body", "html"):
+        self.levels[tag] -= 1
+        # Of the open named elements of a tag, only the last can end.
+        if self.open[tag] and self.levels[tag] < self.open[tag][-1].level:
+            element = self.open[tag][-1]
+            element.closed = True
+            self._leave(element.place)
+        elif self.named and tag in ("body", "html"):
             self._leave(0)
 
     def handle_data(self, data: str) -> None:
@@ -223,6 +244,34 @@ def _left_out(element: Named, total: int, marked: int) -> bool:
     return 2 * element.size <= total or (element.wholly and element.marked < marked)
 
 
+def _judge(seen: list[Named], total: int, marked: int) -> None:
+    """Sums the lines inside each named element, then says which of them to leave out.
+
+    A line that came after an article began in an element is inside it only if the element was
+    closed: one that was left open ends at the article.
+    """
+    for element in reversed(seen):
+        if element.around:
+            element.around.size += element.size
+            element.around.marked += element.marked
+            element.around.late_size += element.late_size
+            element.around.late_marked += element.late_marked
+        if element.closed:
+            element.size += element.late_size
+            element.marked += element.late_marked
+    for element in seen:
+        left_out = _left_out(element, total, marked)
+        around = element.around
+        element.out = element.place if left_out else around.out if around else -1
+        element.closed_out = (left_out and element.closed) or (around is not None and around.closed_out)
+
+
+def _inside_left_out(line: Line) -> bool:
+    return (line.inner is not None and line.inner.out >= line.late) or (
+        line.outer is not None and line.outer.closed_out
+    )
+
+
 def lines_of(html: str) -> list[tuple[str, int, int, bool]]:
     """Text, linked characters, tags and mark of each line with text."""
     events = _Events()
@@ -232,20 +281,21 @@ def lines_of(html: str) -> list[tuple[str, int, int, bool]]:
     for line in events.lines:
         text = _BLANK.sub(" ", "".join(line.text)).strip()
         if text:
-            # An element that was left open ends at the article.
-            inside = [*line.named, *(element for element in line.late if element.closed)]
             own = max(len(text) - line.linked, 0)
             total += own
             marked += line.marked
-            for element in inside:
-                element.size += own
-                element.marked += line.marked
-            found.append((text, line, inside))
-    return [
-        (text, line.linked, line.tags, line.marked)
-        for text, line, inside in found
-        if not any(_left_out(element, total, marked) for element in inside)
-    ]
+            if line.inner:
+                line.inner.size += own
+                line.inner.marked += line.marked
+            if line.outer:
+                # Inside the outer elements only if these were closed.
+                line.outer.size -= own
+                line.outer.marked -= line.marked
+                line.outer.late_size += own
+                line.outer.late_marked += line.marked
+            found.append((text, line))
+    _judge(events.seen, total, marked)
+    return [(text, line.linked, line.tags, line.marked) for text, line in found if not _inside_left_out(line)]
 
 
 def density_clusters(values: np.ndarray) -> tuple[float, float]:
