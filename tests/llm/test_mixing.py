@@ -6,8 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing
-from tidemark.llm.mixing import capped_targets, min_cost_flow, mix, mix_documents
+from tidemark.llm.mixing import capped_targets, min_cost_flow, mix, mix_documents, source_targets
 
 
 def test_targets():
@@ -50,8 +49,7 @@ def test_flow_is_of_least_cost(seed):
     assert (-sum(flow.values()), cost) == least_cost(patterns, quotas, 3)
 
 
-def test_overlapping_sources(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "ROWS_PER_RANGE", 5)
+def test_overlapping_sources(spark):
     rows = [(i, i % 7, [["a"], ["b"], ["a", "b"], ["b", "a"], [None]][i % 5]) for i in range(200)]
     docs = spark.createDataFrame(rows, "doc_id long, size long, sources array<string>").repartition(4)
     quotas = {"a": 300, "b": 250, None: 50}
@@ -77,3 +75,57 @@ def test_documents(spark):
         assert sum(r.taken for r in group) == sources * round(target) <= sources * 3 * group[0].source_size
     assert mix_documents(df.limit(0)).count() == 0
     assert {r.taken for r in mix_documents(df.withColumn("text", F.lit(""))).collect()} == {0}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_targets_in_spark(spark, seed):
+    r = random.Random(seed)
+    sizes = {f"s{i:04}": r.choice([0, 1, 10, 1000, 10**6]) * r.randint(0, 9) for i in range(40)} | {None: r.randint(0, 99)}
+    order = sorted(sizes, key=lambda s: (s is None, s))
+    weights = {source: (5, 2, 1)[i % 3] for i, source in enumerate(order)}
+    given = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+    got = {r.source: r.target for r in source_targets(given).collect()}
+    expected = capped_targets(sizes, weights, sum(sizes.values()))
+    assert got.keys() == expected.keys()
+    assert all(got[s] == pytest.approx(expected[s]) for s in got)
+
+
+def test_components_flow_apart(spark):
+    # Chains a-b and c-d, and sources of their own; quotas as a table, one source without a quota.
+    kinds = [["a"], ["a", "b"], ["c", "d"], ["d"], ["own"], ["none"], [], None]
+    rows = [(i, 1 + i % 5, kinds[i % len(kinds)]) for i in range(160)]
+    docs = spark.createDataFrame(rows, "doc_id long, size long, sources array<string>")
+    quotas = {"a": 70, "b": 90, "c": 100, "d": 20, "own": 30}
+    patterns = {}
+    for _, size, sources in rows:
+        name = "[" + ",".join(f'"{s}"' for s in sources or []) + "]"
+        patterns[name] = (patterns.get(name, (0,))[0] + size, sources or [])
+    flow = {}
+    for (name, _), amount in min_cost_flow(patterns, quotas | {"none": 0}, 3).items():
+        flow[name] = flow.get(name, 0) + amount
+    taken = {}
+    for r in mix(docs, spark.createDataFrame(list(quotas.items()), "source string, quota long"), seed=1).collect():
+        taken[r.pattern] = taken.get(r.pattern, 0) + r.taken
+        assert 0 <= r.taken <= 3 * r["size"]
+    assert sum(taken.values()) == sum(flow.values()) == 310
+    assert {name: n for name, n in taken.items() if n}.keys() == flow.keys()
+
+
+def test_ids_that_most_rows_share(spark):
+    """A third of the ids null, a third the same: no task holds them, and the words taken are those of one line."""
+    n = 6000
+    rows = [(None if i % 3 == 0 else 5 if i % 3 == 1 else i, "w " * (i % 4), "s" if i % 5 else "t") for i in range(n)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
+    got = mix_documents(df).collect()
+    assert len(got) == n and all(0 <= r.taken <= 3 * r["size"] for r in got)
+    again = mix_documents(df.repartition(3)).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+    for size in {r.source_size for r in got}:
+        group = [r for r in got if r.source_size == size]
+        assert sum(r.taken for r in group) == round(group[0].target)
+
+
+def test_more_sources_than_the_driver_should_hold(spark):
+    df = spark.range(3000).selectExpr("id AS doc_id", "repeat('w ', cast(id % 7 as int)) AS text", "concat('h', id) AS source")
+    got = mix_documents(df).collect()
+    assert len(got) == 3000 and all(abs(r.taken - r.target) <= 0.5 for r in got)

@@ -4,18 +4,21 @@ Documents that belong to the same set of sources are one *pattern*.  Tokens flow
 from patterns to the quotas of their sources; the first use of a pattern's tokens
 costs nothing, the second use 1, the third 2, so that the flow meets the quotas
 with as few repetitions as it can and spreads them evenly.  The flow runs over
-patterns and sources only, never over documents: at most ``MAX_PATTERNS`` rows of
-sums reach the driver.
+patterns and sources only, never over documents, and apart for patterns that no
+chain of shared sources connects: in tasks of many such components, nothing on the driver.
+So there may be any number of sources; sources that do overlap, directly or by
+others, are one task's work.
 
 Each pattern's documents then stand in a seeded order on a line, as often as its
 tokens may be used; the flow's share for each source is a stretch of that line,
 and a document gives a source the words of its that lie in the stretch.  Sums
-along the line are built from sums of hash ranges, so that a pattern with most of
-the documents is spread over many tasks.
+along the line are running totals over ranges of it, so that a pattern with most of
+the documents, or an id that most of them have, is spread over many tasks.
 
-A null source is a source of its own, last in order.  Null or negative sizes
-count as 0.  Rows that repeat an id count each by itself; a null id has a place
-in the order like any other.
+A null source is a source of its own, last in order; null sources instead of an
+array are none, and nothing is taken of such rows.  Null or negative sizes count
+as 0.  Rows that repeat an id count each by itself; a null id has a place in the
+order like any other.  Rows that tie in it are put in order by their other columns.
 """
 
 from __future__ import annotations
@@ -24,14 +27,18 @@ import heapq
 import math
 from collections import defaultdict
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.llm.components import components
+from tidemark.operators.ordered import running_total
+from tidemark.session import materialise
+
 MAX_REPEATS = 3
-MAX_PATTERNS = 100_000
 WEIGHTS = (5, 2, 1)
-ROWS_PER_RANGE = 2_000
+#: Components are dealt to tasks of about this many arcs.
+ARCS_PER_TASK = 10_000
 
 
 def capped_targets(sizes: dict, weights: dict, total: float, max_repeats: int = MAX_REPEATS) -> dict:
@@ -124,13 +131,49 @@ def seeded_order(id_col: str, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
 
 
-def _pattern(sources_col: str) -> Column:
-    return F.to_json(F.array_sort(F.array_distinct(sources_col)))
+def _connected(arcs: DataFrame) -> DataFrame:
+    """``arcs`` with ``_component``, which patterns and sources share that a chain of arcs connects."""
+    source = F.concat(F.lit("s"), F.coalesce(F.concat(F.lit(":"), F.col("source").cast("string")), F.lit("")))
+    arcs = arcs.withColumn("_node", source)
+    # Only patterns of several sources connect what would be apart.
+    links = arcs.where("n_sources > 1").select(F.concat(F.lit("p:"), "pattern").alias("x"), F.col("_node").alias("y"))
+    if links.isEmpty():
+        return arcs.withColumnRenamed("_node", "_component")
+    labels = components(links).withColumnRenamed("node", "_node")
+    return arcs.join(labels, "_node", "left").withColumn("_component", F.coalesce("label", "_node"))
+
+
+def route(arcs: DataFrame, max_repeats: int = MAX_REPEATS) -> DataFrame:
+    """The min-cost flow of ``arcs``: ``pattern``, ``pattern_size`` and ``flow``, its tokens to all its sources.
+
+    An arc is a ``pattern`` (text) with ``pattern_size`` and ``n_sources``, one ``source`` of these and its ``quota``.
+    """
+
+    def run(given: pd.DataFrame) -> pd.DataFrame:
+        patterns: dict[str, tuple[int, list]] = {}
+        quotas = {}
+        for row in given.sort_values("pattern").itertuples():
+            source = None if pd.isna(row.source) else row.source
+            patterns.setdefault(row.pattern, (row.pattern_size, []))[1].append(source)
+            quotas[source] = row.quota
+        for _, sources in patterns.values():
+            sources.sort(key=lambda s: (s is None, s))
+        flow: dict[str, int] = defaultdict(int)
+        for (pattern, _), amount in min_cost_flow(patterns, quotas, max_repeats).items():
+            flow[pattern] += amount
+        rows = [(pattern, pattern_size, flow[pattern]) for pattern, (pattern_size, _) in patterns.items()]
+        return pd.DataFrame(rows, columns=["pattern", "pattern_size", "flow"])
+
+    # Components do not touch each other, so that one flow can run over several.
+    tasks = math.ceil(arcs.count() / ARCS_PER_TASK) or 1
+    task = F.pmod(F.xxhash64("_component"), F.lit(tasks)).alias("_task")
+    dealt = _connected(arcs).select(task, "pattern", "pattern_size", "source", "quota")
+    return dealt.groupBy("_task").applyInPandas(run, "pattern string, pattern_size long, flow long")
 
 
 def mix(
     docs: DataFrame,
-    quotas: dict,
+    quotas: dict | DataFrame,
     id_col: str = "doc_id",
     size_col: str = "size",
     sources_col: str = "sources",
@@ -139,45 +182,38 @@ def mix(
 ) -> DataFrame:
     """``docs`` with ``pattern`` and ``taken``: the words the mix takes of each document, repeats counted.
 
-    ``quotas`` maps a source to its number of tokens; ``sources_col`` is an array of sources.
+    ``quotas`` maps a source to its number of tokens, as a dict or a table of ``source`` and ``quota``;
+    ``sources_col`` is an array of sources.  ``docs`` is written in between: it should be narrow.
     """
-    spark = docs.sparkSession
+    kind = docs.schema[sources_col].dataType
+    if isinstance(quotas, dict):
+        fields = f"source {kind.elementType.simpleString()}, quota long"
+        quotas = docs.sparkSession.createDataFrame(list(quotas.items()), fields)
     size = F.greatest(F.coalesce(F.col(size_col), F.lit(0)), F.lit(0)).cast("long")
-    rows = docs.withColumns(
-        {"pattern": _pattern(sources_col), "_size": size, "_order": seeded_order(id_col, seed)}
-    )
-    sums = (
-        rows.groupBy("pattern")
-        .agg(F.first(sources_col).alias("sources"), F.sum("_size").alias("size"), F.count("*").alias("n"))
-        .limit(MAX_PATTERNS + 1)
-        .collect()
+    of = F.array_sort(F.array_distinct(F.coalesce(F.col(sources_col), F.array().cast(kind))))
+    rows = materialise(
+        docs.select(
+            "*",
+            F.to_json(of).alias("pattern"),
+            size.alias("_size"),
+            seeded_order(id_col, seed).alias("_order"),
+            F.xxhash64(*docs.columns).alias("_rest"),
+        ),
+        "mix-rows",
     )
-    if len(sums) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} sets of sources")
-    patterns = {row.pattern: (row["size"], sorted(set(row.sources), key=lambda s: (s is None, s))) for row in sums}
-    routed = min_cost_flow(patterns, quotas, max_repeats)
-
-    # Stretches of each pattern's line, source after source.
-    stretches = []
-    for pattern, (pattern_size, sources) in patterns.items():
-        total = sum(routed.get((pattern, source), 0) for source in sources)
-        stretches.append((pattern, pattern_size, total))
-    line = spark.createDataFrame(stretches or [("", 0, 0)], "pattern string, pattern_size long, flow long")
-
-    digits = max(1, math.ceil(math.log(max(1, sum(row.n for row in sums)) / ROWS_PER_RANGE + 1, 16)))
-    rows = rows.withColumn("_range", F.substring("_order", 1, digits))
-    ranges = rows.groupBy("pattern", "_range").agg(F.sum("_size").alias("_range_size"))
-    earlier = W.partitionBy("pattern").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    starts = ranges.select(
-        "pattern", "_range", F.coalesce(F.sum("_range_size").over(earlier), F.lit(0)).alias("_range_start")
-    ).join(F.broadcast(line), "pattern")
-    before = W.partitionBy("pattern", "_range").orderBy("_order", "_size").rowsBetween(W.unboundedPreceding, -1)
-    placed = rows.join(starts, ["pattern", "_range"]).withColumn(
-        "_start", F.col("_range_start") + F.coalesce(F.sum("_size").over(before), F.lit(0))
+    sums = rows.groupBy("pattern").agg(F.any_value(of).alias("of"), F.sum("_size").alias("pattern_size"))
+    arcs = sums.select("pattern", "pattern_size", F.size("of").alias("n_sources"), F.explode("of").alias("_source"))
+    arcs = arcs.join(quotas, F.col("_source").eqNullSafe(F.col("source")), "left").select(
+        "pattern", "pattern_size", "n_sources", F.col("_source").alias("source"), F.coalesce("quota", F.lit(0)).alias("quota")
     )
+    line = materialise(route(materialise(arcs, "mix-arcs"), max_repeats), "mix-flow")
+
+    placed = running_total(rows, ["pattern"], ["_order", "_size", "_rest"], "_size", "_end")
+    placed = placed.withColumn("_start", F.col("_end") - F.col("_size")).join(line, "pattern", "left")
+    flow, whole = F.coalesce("flow", F.lit(0)), F.coalesce("pattern_size", F.lit(0))
     taken = sum(
         (
-            F.least(F.col("_size"), F.greatest(F.lit(0), F.col("flow") - F.lit(lap) * F.col("pattern_size") - F.col("_start")))
+            F.least(F.col("_size"), F.greatest(F.lit(0), flow - F.lit(lap) * whole - F.col("_start")))
             for lap in range(max_repeats)
         ),
         F.lit(0),
@@ -188,27 +224,49 @@ def mix(
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def source_targets(sizes: DataFrame, max_repeats: int = MAX_REPEATS) -> DataFrame:
+    """``source``, ``source_size`` and ``target`` of every source, as ``capped_targets`` shares out all sizes.
+
+    ``sizes`` has the first two.  Weights repeat in the order of the sources.  Each round
+    caps the sources whose limit lies below the level that the others would reach, which lifts the
+    level; it ends when none is.  Only the level reaches the driver.
+    """
+    placed = sizes.select("source", "source_size", F.lit(0).alias("_all"), F.col("source").isNull().alias("_none"), F.lit(1).alias("_one"))
+    placed = running_total(placed, ["_all"], ["_none", "source"], "_one", "_rank")
+    weight = F.element_at(F.array(*map(F.lit, WEIGHTS)), (F.pmod(F.col("_rank") - 1, F.lit(len(WEIGHTS))) + 1).cast("int"))
+    limit = F.lit(max_repeats) * F.col("source_size")
+    levels = materialise(
+        placed.select("source", "source_size", weight.alias("w")).withColumn("lv", limit / F.col("w")), "mix-sources"
+    )
+    total = levels.agg(F.sum("source_size").alias("n")).first()["n"] or 0
+    level, free, left = 0.0, 0, 0.0
+    while True:
+        capped = F.col("lv") < F.lit(level)
+        sums = levels.agg(F.sum(F.when(capped, limit)).alias("used"), F.sum(F.when(~capped, F.col("w"))).alias("free")).first()
+        left, found = float(total - (sums["used"] or 0)), sums["free"] or 0
+        if not found or found == free:
+            break
+        free, level = found, left / found
+    share = F.col("w") * F.lit(left) / F.lit(float(free or 1))
+    return levels.select(
+        "source", "source_size", F.when(F.col("lv") < F.lit(level), limit.cast("double")).otherwise(share).alias("target")
+    )
+
+
 def mix_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 0
 ) -> DataFrame:
     """Documents with one source each, mixed to the weights 5, 2, 1, repeating in the order of the sources."""
     sized = docs.select(
         F.col(id_col),
-        F.col(source_col).alias("_source"),
         F.coalesce(F.regexp_count(text_col, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         F.array(source_col).alias("sources"),
     )
-    found = sized.groupBy("_source").agg(F.sum("size").alias("size")).limit(MAX_PATTERNS + 1).collect()
-    sizes = {row._source: row["size"] for row in found}
-    order = sorted(sizes, key=lambda source: (source is None, source))
-    weights = {source: WEIGHTS[i % len(WEIGHTS)] for i, source in enumerate(order)}
-    targets = capped_targets(sizes, weights, sum(sizes.values()))
-    mixed = mix(sized, {source: round(target) for source, target in targets.items()}, id_col, seed=seed)
-    of_source = docs.sparkSession.createDataFrame(
-        [(source, sizes[source], targets[source]) for source in order] or [(None, 0, 0.0)],
-        "_of string, source_size long, target double",
-    )
-    joined = mixed.join(F.broadcast(of_source), F.col("_source").eqNullSafe(F.col("_of")))
+    sized = materialise(sized, "mix-sizes")
+    sizes = sized.groupBy(F.col("sources")[0].alias("source")).agg(F.sum("size").alias("source_size"))
+    targets = materialise(source_targets(sizes), "mix-targets")
+    mixed = mix(sized, targets.select("source", F.bround("target").cast("long").alias("quota")), id_col, seed=seed)
+    joined = mixed.join(targets, F.col("sources")[0].eqNullSafe(F.col("source")))
     return joined.select(id_col, "size", "source_size", "target", "taken")
 
 
