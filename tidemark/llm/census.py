@@ -15,12 +15,15 @@ coincide; that makes a lone key look shared and is settled by whoever compares
 the content afterwards.
 
 Homes are worked on in groups (``applyInArrow``); the same documents are dealt to
-homes once, by one shuffle that every later step reads again.
+homes once, by one shuffle that every later step reads again.  Rows that are equal in id,
+text and kept columns are one row with a count there, however many they are:
+``repeated`` gives them back at the end.
 """
 
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -30,6 +33,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOME_BYTES = 4 << 20
+#: A bucket holds about this many tags; there are as many buckets as homes up to ``FEW_BUCKETS``.
+BUCKET_TAGS = 5_000_000
+FEW_BUCKETS = 64
+#: Copies of a row that are given back from one array.
+COPIES = 10_000
 _CODEC = "zstd"
 LONE, SHARED, HOT = 0, 1, 2
 MESSAGE = "_home int, kind string, part int, a binary, b binary, c binary, d binary"
@@ -42,32 +50,71 @@ def parts_for(docs: DataFrame, text_col: str, size: int = HOME_BYTES) -> int:
     return max(1, math.ceil(total / size))
 
 
+def buckets_for(homes: int, home_bytes: int, bytes_per_tag: int) -> int:
+    """How many buckets the tags of all homes fill.
+
+    A home sends a message to each bucket, so their number follows the tags and not the square of the homes.
+    """
+    return max(min(homes, FEW_BUCKETS), math.ceil(homes * home_bytes / bytes_per_tag / BUCKET_TAGS))
+
+
 def at_home(docs: DataFrame, id_col: str, text_col: str, keep_cols: tuple[str, ...], homes: int) -> DataFrame:
-    """Columns ``_home``, ``_id``, ``_text`` and the kept ones.
+    """Columns ``_home``, ``_id``, ``_text``, ``_bytes``, ``_copies`` and the kept ones, a row for all equal ones.
 
     Texts are packed before they are dealt out, which halves what the shuffle writes;
-    ``in_order`` unpacks them.
+    ``in_order`` unpacks them.  Equal rows are counted in each batch before the shuffle and
+    added up, row by row, after it.  Kept columns must be of types that can be grouped.
     """
-    home = F.pmod(F.xxhash64(id_col, text_col), F.lit(homes)).cast("int")
+    home = F.pmod(F.xxhash64(id_col, text_col, *keep_cols), F.lit(homes)).cast("int")
     given = docs.select(
         home.alias("_home"),
         F.col(id_col).cast("long").alias("_id"),
         F.encode(F.coalesce(text_col, F.lit("")), "UTF-8").alias("_text"),
         F.lit(0).alias("_bytes"),
+        F.lit(1).cast("long").alias("_copies"),
         *keep_cols,
     )
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = pa.Codec(_CODEC, compression_level=1)
         for batch in batches:
+            batch, copies = _counted(batch)
             texts = batch.column(2)
             packed = pa.array([codec.compress(text.as_buffer(), asbytes=True) for text in texts], pa.binary())
             sizes = pc.binary_length(texts).cast(pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], packed, sizes, *batch.columns[4:]], batch.schema.names
+                [*batch.columns[:2], packed, sizes, copies, *batch.columns[5:]], batch.schema.names
             )
 
-    return given.mapInArrow(pack, given.schema)
+    # One shuffle: the aggregation and all later steps find the rows dealt out by home.
+    dealt = given.mapInArrow(pack, given.schema).repartition("_home")
+    same = [name for name in given.columns if name != "_copies"]
+    return dealt.groupBy(*same).agg(F.sum("_copies").alias("_copies")).select(*given.columns)
+
+
+def _counted(batch: pa.RecordBatch) -> tuple[pa.RecordBatch, pa.Array]:
+    """The different rows of a batch, and how many each stands for."""
+    rows = list(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()))
+    if len(set(rows)) == len(rows):
+        return batch, batch.column(4)
+    kept = zip(*(column.to_pylist() for column in batch.columns[5:])) if batch.num_columns > 5 else [()] * len(rows)
+    first: dict[tuple, int] = {}
+    copies: Counter = Counter()
+    for i, (row, others) in enumerate(zip(rows, kept)):
+        key = (*row, repr(others))
+        first.setdefault(key, i)
+        copies[key] += 1
+    places = pa.array(first.values(), pa.int64())
+    return batch.take(places), pa.array([copies[key] for key in first], pa.int64())
+
+
+def repeated(rows: DataFrame) -> DataFrame:
+    """Rows as often as their ``_copies`` say, without it; no array holds more than ``COPIES`` of them at once."""
+    block = F.explode(F.sequence(F.lit(0), F.floor((F.col("_copies") - 1) / COPIES))).alias("_block")
+    left = F.least(F.lit(COPIES), F.col("_copies") - F.col("_block") * COPIES).cast("int")
+    names = [name for name in rows.columns if name != "_copies"]
+    one = F.explode(F.array_repeat(F.lit(0), left)).alias("_one")
+    return rows.select("*", block).select(*names, one).select(*names)
 
 
 def in_order(table: pa.Table) -> pa.Table:

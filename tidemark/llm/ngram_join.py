@@ -64,6 +64,8 @@ SUBCLASSES = 64
 SHORT = 96
 #: As many pairs, of less than 100 bytes each, are broadcast at most.
 BROADCAST_PAIRS = 100_000
+#: Of text, at the least; every word begins a token.
+BYTES_PER_TOKEN = 8
 _HALF = np.uint64(1 << 63)
 _SALTS = {"single": np.uint64(0x1D8E4E27C47D124F), "short": np.uint64(0xEB44ACCAB455D165)}
 
@@ -134,29 +136,31 @@ def _mark(tokens: np.ndarray) -> bytes:
 
 
 _SETS = (
-    "doc_id long, n_shingles long, node binary, number long, lone int, sigs array<bigint>, tokens binary, enough boolean"
+    "doc_id long, n_shingles long, node binary, number long, lone int, sigs array<bigint>, tokens binary, "
+    "enough boolean, _copies long"
 )
 _NAMES = [part.split(" ")[0] for part in _SETS.split(", ")]
 
 
 def _sets(docs: DataFrame, id_col: str, text_col: str, n_words: int, percent: int, frequent: int, subclasses: int, short: int, home_bytes: int, keep_cols: tuple[str, ...]) -> DataFrame:
-    """One row per document with its node; signatures and tokens once per home and node, where there are any.
+    """One row per document and its copies, with its node; signatures and tokens once per home and node, where there are any.
 
     ``number`` names a node more shortly, by its home and first place in it.
     """
     n_homes = census.parts_for(docs, text_col, home_bytes)
     homes = census.at_home(docs, id_col, text_col, keep_cols, n_homes)
+    n_buckets = census.buckets_for(n_homes, home_bytes, BYTES_PER_TOKEN)
     schema = T.StructType([*T.StructType.fromDDL(_SETS).fields, *(docs.schema[name] for name in keep_cols)])
 
     def count(home: int, table: pa.Table) -> pa.Table:
         sets = token_sets(table.column("_text").to_pylist(), n_words)
         keys, counts = np.unique(np.concatenate(sets) if sets else np.zeros(0, np.uint64), return_counts=True)
-        return census.tags(home, keys, counts, n_homes)
+        return census.tags(home, keys, counts, n_buckets)
 
     def sign(home: int, table: pa.Table, told: pa.Table) -> pa.Table:
         sets = token_sets(table.column("_text").to_pylist(), n_words)
         keys = np.unique(np.concatenate(sets) if sets else np.zeros(0, np.uint64))
-        verdict = census.verdicts(keys, n_homes, told)
+        verdict = census.verdicts(keys, n_buckets, told)
         nodes, numbers, lone, sigs, sent, enough = [], [], [], [], [], []
         seen: dict[bytes, int] = {}
         for tokens in sets:
@@ -182,6 +186,7 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, n_words: int, percent: in
             pa.array(sigs, pa.list_(pa.int64())),
             pa.array(sent, pa.binary()),
             pa.array(enough, pa.bool_()),
+            table.column("_copies"),
             *(table.column(name) for name in keep_cols),
         ]
         return pa.Table.from_arrays(columns, [*_NAMES, *keep_cols])
@@ -373,8 +378,8 @@ def near_duplicates(
         F.when(F.col("label").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"),
         F.coalesce("label", "number").alias("_component"),
     )
-    final = every.select("doc_id", "n_shingles", "node", *keep_cols).join(of_node, "node", "left")
-    return final.select(
+    final = every.select("doc_id", "n_shingles", "node", "_copies", *keep_cols).join(of_node, "node", "left")
+    return census.repeated(final).select(
         F.col("doc_id").alias(id_col),
         "n_shingles",
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),

@@ -29,7 +29,7 @@ from dataclasses import dataclass, fields
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm import census, hashing
 
@@ -40,6 +40,7 @@ _PLACES = np.uint64((1 << 24) - 1)
 MAX_RUN = 64
 HOT_PIECES = 50_000
 BLOCK_BYTES = 1 << 20
+_WORD_BYTES = 6
 
 
 @dataclass(frozen=True)
@@ -329,10 +330,13 @@ def remove_repeats(
     # Pieces overlap, so that together they can be a few times the text.
     n_blocks = max(1, n_homes * home_bytes // block_bytes)
     homes = census.at_home(docs, id_col, text_col, keep_cols, n_homes)
-    answers = census.take_census(homes, count_keys(shape, n_homes), hot_pieces)
+    # One gram of those that a window spans is its key, on average every half window.
+    bytes_per_key = (shape.window - shape.gram + 2) * (_WORD_BYTES if shape.unit == "words" else 1) // 2
+    n_buckets = census.buckets_for(n_homes, home_bytes, bytes_per_key)
+    answers = census.take_census(homes, count_keys(shape, n_buckets), hot_pieces)
 
     def send(home: int, table: pa.Table, told: pa.Table) -> pa.Table:
-        own = _Home(shape, n_homes, n_blocks, table, told)
+        own = _Home(shape, n_buckets, n_blocks, table, told)
         runs, rows = own.runs, []
         for part, i, j in own.parts:
             chosen = own.chosen[own.order[i:j]]
@@ -346,7 +350,9 @@ def remove_repeats(
     marks = pieces.groupBy("part").applyInArrow(parse_blocks(shape, parse), census.MESSAGE)
 
     def end(_: int, table: pa.Table, told: pa.Table) -> pa.Table:
-        own = _Home(shape, n_homes, n_blocks, table, told)
-        return finish(table, covered(shape, own, census.of_kind(told, "marks")))
+        own = _Home(shape, n_buckets, n_blocks, table, told)
+        done = finish(table, covered(shape, own, census.of_kind(told, "marks")))
+        return done.append_column("_copies", table.column("_copies"))
 
-    return census.with_answers(homes, answers.unionByName(marks), end, schema)
+    counted = T.StructType([*schema.fields, T.StructField("_copies", T.LongType())])
+    return census.repeated(census.with_answers(homes, answers.unionByName(marks), end, counted))
