@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import pytest
 
@@ -74,3 +75,18 @@ def test_null_ids_are_judged(spark, limit):
     got = rows_of(decontaminate(left, right, broadcast_bytes=limit))
     assert got == brute(docs, items)
     assert sorted(hit > 0 for doc_id, _, hit, _ in got if doc_id is None) == [False, False, True, True, True]
+
+
+def test_long_document_equal_to_an_item(spark):
+    """The work grows with the words: 64,000 of them, all in one item."""
+    r = random.Random(3)
+    long = " ".join(f"w{r.randrange(30_000)}" for _ in range(64_000))
+    docs = [(1, long), (2, "tick tock " * 20_000), (3, "else " + long[:5_000]), (4, "clean " * 50)]
+    items = [("a", long), ("b", "tick tock " * 30)]
+    left = spark.createDataFrame(docs, "doc_id long, text string")
+    right = spark.createDataFrame(items, "item_id string, text string")
+    start = time.monotonic()
+    got = {doc_id: (n, hit, found) for doc_id, n, hit, found in rows_of(decontaminate(left, right))}
+    assert time.monotonic() - start < 40
+    assert got[1] == (64_000, 64_000, ["a"]) and got[2] == (40_000, 40_000, ["b"]) and got[4] == (50, 0, [])
+    assert got[3][2] == ["a"] and got[3][0] - got[3][1] in (1, 2)

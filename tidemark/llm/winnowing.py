@@ -2,17 +2,17 @@
 
 A *window* is ``span`` consecutive words of a benchmark item; an item of fewer
 words, but not none, is one window.  Of every window of a document the least hash
-of its ``gram``-word grams is kept.  Equal windows have equal least grams, so a
-join of the kept grams of documents and items misses no window that occurs in
-both.  A short item's grams are its whole word sequence, and documents keep all
-their grams of that many words.
+of its ``gram``-word grams is kept, with all its places there.  Equal windows have
+equal least grams at equal places, so a join of the kept grams of documents and items
+misses no window that occurs in both.  A short item's grams are its whole word
+sequence, and documents keep all their grams of that many words.
 
-Joined grams are extended: in each document with a joined gram, every window of
-the item around the gram is compared word by word with the document's words at
-the same distance.  Words inside equal windows are hit; a hash alone never is.
+Joined grams are extended: every window of the item around the gram is compared word
+by word with the document's words around the place that was joined, so that the work
+grows with the joined places.  Words inside equal windows are hit; a hash alone never is.
 
-Only sums reach the driver.  The item side is broadcast below
-``broadcast_bytes`` of item text and joined by a shuffle above.
+Only sums reach the driver.  The rows of the item side are broadcast
+where they take at most ``broadcast_bytes`` together and joined by a shuffle otherwise.
 
 Null and empty texts have no words.  Rows that repeat a document id are judged
 each by its own text, and so are rows with a null document id, which are told apart
@@ -71,17 +71,32 @@ def _short_grams(hashes: Column, n: int) -> Column:
     ).otherwise(F.array().cast("array<bigint>"))
 
 
-def _least(grams: Column, n: int) -> Column:
-    """The distinct least hashes of all runs of ``n`` grams."""
-    last = F.size(grams) - n
-    return F.when(
-        last >= 0,
-        F.array_distinct(F.transform(F.sequence(F.lit(1), last + 1), lambda i: F.array_min(F.slice(grams, i, n)))),
-    ).otherwise(F.array().cast("array<bigint>"))
+def _sliding(values: Column, width: int, pick: Callable[[Column, Column], Column], reach: int = 1) -> Column:
+    """``pick`` of each run of ``width`` values, of what is left of it at the end, by doubling the runs."""
+    if reach == width:
+        return values
+    step = min(reach, width - reach)
+
+    def doubled(runs: Column) -> Column:
+        rest = F.slice(runs, F.lit(step + 1), F.greatest(F.size(runs) - step, F.lit(0)))
+        return _sliding(F.zip_with(runs, rest, pick), width, pick, reach + step)
+
+    return _let(values, doubled)
+
+
+def _kept_places(grams: Column, width: int) -> Column:
+    """Places of the grams that are the least of a run of ``width`` grams that holds them."""
 
+    def places(least: Column) -> Column:
+        # The greatest of the least hashes of all runs around a gram is its own hash, if it is kept.
+        edge = F.array_repeat(F.lit(-(1 << 63)), width - 1)
+        around = _sliding(F.concat(edge, least, edge), width, lambda a, b: F.greatest(a, b))
+        every = F.sequence(F.lit(0), F.size(grams) - 1)
+        return _let(around, lambda top: F.filter(every, lambda i: F.get(grams, i) == F.get(top, i)))
 
-def _keyed(values: Column, window: int) -> Column:
-    return F.transform(values, lambda value: F.struct(F.lit(window).alias("window"), value.alias("value")))
+    runs = F.size(grams) - width + 1
+    least = F.slice(_sliding(grams, width, lambda a, b: F.least(a, b)), F.lit(1), F.greatest(runs, F.lit(0)))
+    return F.when(runs > 0, _let(least, places)).otherwise(F.array().cast("array<int>"))
 
 
 def item_grams(items: DataFrame, id_col: str, text_col: str, span: int, gram: int) -> DataFrame:
@@ -90,9 +105,8 @@ def item_grams(items: DataFrame, id_col: str, text_col: str, span: int, gram: in
     reach = span - gram
 
     def kept(grams: Column) -> Column:
-        numbered = F.transform(grams, lambda value, i: F.struct(i.alias("at"), value.alias("value")))
-        return _let(
-            _least(grams, reach + 1), lambda least: F.filter(numbered, lambda g: F.array_contains(least, g["value"]))
+        return F.transform(
+            _kept_places(grams, reach + 1), lambda i: F.struct(i.alias("at"), F.get(grams, i).alias("value"))
         )
 
     long_items = (
@@ -128,30 +142,34 @@ def _row_key(id_col: str, text_col: str) -> Column:
 
 
 def _document_grams(docs: DataFrame, id_col: str, text_col: str, span: int, gram: int, short: list[int]) -> DataFrame:
-    """Rows of (key of the document, n_words of the window, kept gram hash)."""
+    """Rows of (key of the document, n_words of the window, place of the kept gram, its hash)."""
+
+    def placed(grams: Column, places: Column, window: int) -> Column:
+        return F.transform(
+            places, lambda i: F.struct(F.lit(window).alias("window"), i.alias("at"), F.get(grams, i).alias("value"))
+        )
+
+    def whole(hashes: Column, n: int) -> Column:
+        return F.transform(
+            _short_grams(hashes, n), lambda g, i: F.struct(F.lit(n).alias("window"), i.alias("at"), g.alias("value"))
+        )
 
     def kept(hashes: Column) -> Column:
-        least = _let(_grams(hashes, gram), lambda grams: _least(grams, span - gram + 1))
-        whole = [_keyed(F.array_distinct(_short_grams(hashes, n)), n) for n in short]
-        return F.concat(_keyed(least, span), *whole)
+        least = _let(_grams(hashes, gram), lambda grams: placed(grams, _kept_places(grams, span - gram + 1), span))
+        return F.concat(least, *(whole(hashes, n) for n in short))
 
     found = docs.select(_row_key(id_col, text_col).alias("_key"), _let(_hashes(words_of(text_col)), kept).alias("kept"))
-    return found.select("_key", F.explode("kept").alias("k")).select("_key", "k.window", "k.value")
+    # Not explode(), for which Spark would compute the array once more to see that it is not empty.
+    rows = found.select("_key", F.explode_outer("kept").alias("k"))
+    return rows.select("_key", "k.window", "k.at", "k.value")
 
 
-def _matches(sides: Column, words: Column, grams: Column, span: int, gram: int) -> Column:
+def _matches(sides: Column, words: Column, span: int, gram: int) -> Column:
     """Item, window and starts of the document's windows that equal the item's, for each side that has any."""
     reach = span - gram
-    nowhere = F.array().cast("array<int>")
 
-    def places(side: Column) -> Column:
-        last = F.size(words) - side["window"]
-        of_gram = F.filter(F.sequence(F.lit(0), F.size(grams) - 1), lambda i: F.get(grams, i) == side["value"])
-        of_words = F.filter(F.sequence(F.lit(0), last), lambda i: F.slice(words, i + 1, side["window"]) == side["around"])
-        long_window = F.when(F.size(grams) > 0, of_gram).otherwise(nowhere)
-        return F.when(side["window"] == span, long_window).otherwise(F.when(last >= 0, of_words).otherwise(nowhere))
-
-    def equal_starts(side: Column, at: Column) -> Column:
+    def equal_starts(side: Column) -> Column:
+        at = side["at"]
         near = F.filter(
             F.sequence(F.lit(0), F.lit(reach)),
             lambda d: (at >= d)
@@ -160,13 +178,12 @@ def _matches(sides: Column, words: Column, grams: Column, span: int, gram: int)
             & (side["place"] - d + span <= F.size(side["around"]))
             & (F.slice(words, at - d + 1, span) == F.slice(side["around"], side["place"] - d + 1, span)),
         )
-        return F.when(side["window"] == span, F.transform(near, lambda d: at - d)).otherwise(F.array(at))
+        same = F.slice(words, at + 1, side["window"]) == side["around"]
+        here = F.when(same, F.array(at)).otherwise(F.array().cast("array<int>"))
+        return F.when(side["window"] == span, F.transform(near, lambda d: at - d)).otherwise(here)
 
     def match(side: Column) -> Column:
-        starts = F.flatten(F.transform(places(side), lambda at: equal_starts(side, at)))
-        return F.struct(
-            side["item"].alias("item"), side["window"].alias("window"), F.array_distinct(starts).alias("starts")
-        )
+        return F.struct(side["item"].alias("item"), side["window"].alias("window"), equal_starts(side).alias("starts"))
 
     return F.filter(F.transform(sides, match), lambda m: F.size(m["starts"]) > 0)
 
@@ -196,22 +213,20 @@ def decontaminate(
     """
     sides = item_grams(items, item_id_col, item_text_col, span, gram)
     n_item = F.size(words_of(item_text_col))
-    size = items.agg(
-        F.sum(F.octet_length(item_text_col)).alias("bytes"),
-        F.collect_set(F.when((n_item > 0) & (n_item < span), n_item)).alias("short"),
-    ).first()
+    short = items.agg(F.collect_set(F.when((n_item > 0) & (n_item < span), n_item)).alias("short")).first()["short"]
+    size = sides.agg(F.sum(64 + 16 * F.size("around") + F.octet_length(F.array_join("around", ""))).alias("bytes")).first()
     small = (size["bytes"] or 0) <= broadcast_bytes
-    wanted = _document_grams(docs, id_col, text_col, span, gram, sorted(size["short"]))
+    wanted = _document_grams(docs, id_col, text_col, span, gram, sorted(short))
     hit = wanted.join(F.broadcast(sides) if small else sides, ["window", "value"])
     # All that is to be compared in a document, by its key.
     found = hit.groupBy("_key").agg(
-        F.collect_set(F.struct("window", "value", "around", "place", "item")).alias("_sides")
+        F.collect_set(F.struct("window", "at", "around", "place", "item")).alias("_sides")
     )
     keyed = docs.select(id_col, text_col, *keep_cols, _row_key(id_col, text_col).alias("_key"))
     joined = keyed.join(found, "_key", "left")
 
     def judged(words: Column) -> Column:
-        matches = _let(_grams_of(words, gram), lambda grams: _matches(F.col("_sides"), words, grams, span, gram))
+        matches = _matches(F.col("_sides"), words, span, gram)
         none = F.array().cast("array<struct<item:string,window:int,starts:array<int>>>")
         return F.struct(
             F.size(words).cast("long").alias("n_words"),
