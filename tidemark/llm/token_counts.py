@@ -73,7 +73,7 @@ class Lengths:
         lengths: list[int] = []
         start = waiting = 0
         for i, piece in enumerate(pieces):
-            waiting += len(piece)
+            waiting += len(piece.encode())
             if waiting >= self.batch_bytes or i + 1 == len(pieces):
                 batch = self.tokenizer.encode_batch_fast(pieces[start : i + 1], add_special_tokens=False)
                 lengths += map(len, batch)
