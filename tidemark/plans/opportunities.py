@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.money import growth_pct, mean_count, mean_money
+from tidemark.operators.distinct import counted
 from tidemark.operators.lookup import lookup_join
 from tidemark.plans.calendar import NO_HOLIDAY_NAME
-from tidemark.plans.sales import BEFORE_HOLIDAY, ORDINARY_DAY
+from tidemark.plans.sales import BEFORE_HOLIDAY, ORDINARY_DAY, sales_context
 
 # Score thresholds in percent, labels, and recommendation texts
 # (before and after the category).
@@ -62,6 +63,25 @@ def pre_holiday_sales(facts: DataFrame, name: str = "next_holiday_name") -> Data
     )
 
 
+def days_before_holidays(dim: DataFrame, holidays: DataFrame) -> DataFrame:
+    """Days of the pre-holiday windows and the holiday they precede: ``sale_date, holiday_name``."""
+    days = dim.where(sales_context() == BEFORE_HOLIDAY).select(
+        F.col("date").alias("sale_date"), F.expr("date_add(date, days_to_holiday)").alias("next_holiday_date")
+    )
+    named = lookup_join(days, next_holiday_names(holidays), ["next_holiday_date"])
+    return named.select("sale_date", F.col("next_holiday_name").alias("holiday_name")).distinct()
+
+
+def transactions_before_holidays(day_states: DataFrame, days: DataFrame) -> DataFrame:
+    """Different sales per holiday and category, from states per ``sale_date`` and category.
+
+    The states (``operators.distinct``) are kept from day to day: another calendar or
+    window needs no look at the sales.
+    """
+    of_holidays = lookup_join(day_states, days, ["sale_date"])
+    return counted(of_holidays, ["holiday_name", "product_category"], "total_transactions_pre_holiday")
+
+
 def mart_opportunities(facts: DataFrame, holidays: DataFrame) -> DataFrame:
     """Growth, score and advice per upcoming holiday and category.
 

@@ -509,6 +509,8 @@ def oracle_sql() -> dict[str, str]:
                     cents / 100.0 AS avg_revenue_before_holiday,
                     hundredths / 100.0 AS avg_quantity_before_holiday, total AS total_revenue_pre_holiday,
                     transactions AS total_transactions_pre_holiday FROM before""",
+        "transactions_before_holidays": _with(*_TO_FACTS, _NAMED, _window("next_name"))
+        + """SELECT holiday_name, product_category, transactions AS total_transactions_pre_holiday FROM before""",
         "mart_opportunities": _with(*_TO_FACTS, _NAMED, _window("next_name"), _BASELINE, _MART.lstrip()),
         "mart_opportunities_as_written": _with(
             *_TO_FACTS, _NAMED_AS_WRITTEN, _window("holiday_name"), _BASELINE, _MART.lstrip()

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions import dates as date_functions
 from tidemark.functions.keys import holiday_key
-from tidemark.operators import checks, contracts
+from tidemark.operators import checks, contracts, distinct
 from tidemark.operators.latest import overlay
 from tidemark.operators.nearest import nearest_dates
 from tidemark.operators.ordered import nearest_marks
@@ -388,6 +388,20 @@ def pre_holiday_sales(spark, sf_dir):
     return opportunities.pre_holiday_sales(facts)
 
 
+@query
+def transactions_before_holidays(spark, sf_dir):
+    """From states of two batches of sales, merged; the second keeps the numbers of the first."""
+    holidays, keys = _holidays(spark, sf_dir), ["sale_date", "product_category"]
+    sold = _sales(spark, sf_dir)
+    early = F.year("sale_date") % 2 == 0
+    numbers, parts = None, []
+    for batch in (sold.where(early), sold.where(~early | F.col("sale_date").isNull())):
+        numbers = distinct.numbered(batch, "sale_id", ["sale_date", "product_category"], numbers)
+        parts.append(materialise(distinct.states(batch, "sale_id", keys, numbers), "sale_states"))
+    days = opportunities.days_before_holidays(_dim_of(holidays), holidays)
+    return opportunities.transactions_before_holidays(parts[0].unionByName(parts[1]), days)
+
+
 @query
 def mart_opportunities(spark, sf_dir):
     holidays = _holidays(spark, sf_dir)
