@@ -323,15 +323,17 @@ def holiday_ingest(spark, sf_dir):
 
 @query
 def holiday_ingest_years(spark, sf_dir):
-    """A landed response per year, each read whole, strictly: the form in which years are fetched."""
+    """The landed responses of each year, one per month, each read whole, strictly: the form in which years are fetched."""
     folder = scratch_path(spark, "years")
     item = F.struct(F.date_format("ts", "yyyy-MM-dd").alias("date"), F.col("event_type").alias("name"), F.lit("National").alias("type"))
-    events = b.table(spark, sf_dir, "events").select(F.year("ts").alias("year"), item.alias("item")).distinct()
-    responses = events.groupBy("year").agg(F.to_json(F.sort_array(F.collect_list("item"))).alias("value"))
-    years = sorted(row["year"] for row in responses.select("year").collect())
+    of_day = b.table(spark, sf_dir, "events").select(F.year("ts").alias("year"), F.month("ts").alias("month"), item.alias("item"))
+    # A group holds the different kinds of events of a month's days, whatever the number of events.
+    months = of_day.distinct().groupBy("year", "month").agg(F.to_json(F.sort_array(F.collect_list("item"))).alias("value"))
+    responses = materialise(months, "responses")
+    years = sorted(row["year"] for row in responses.select("year").distinct().collect())
     paths = payloads.year_paths(folder, years)
     for year, path in zip(years, paths):
-        responses.where(F.col("year") == year).select("value").coalesce(1).write.text(path)
+        responses.where(F.col("year") == year).select("value").write.option("maxRecordsPerFile", 1).text(path)
     target = scratch_path(spark, "raw_holidays")
     name = "yearly_" + target.rsplit("-", 1)[1]
     done = ingest.ingest_holidays(spark, paths, name, b.INGESTED_AT, "events", "strict", location=target)
