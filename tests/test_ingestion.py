@@ -11,6 +11,7 @@ from tidemark.plans.ingest import ingest_holidays
 from tidemark.sources import ledger, payloads, tables
 from tidemark.sources.sales import read_sales_csv
 from tidemark.plans.staging import stg_sales
+from workload import registry
 
 NOW = dt.datetime(2026, 1, 5, 12)
 ITEM = "date string, name string, type string"
@@ -257,3 +258,40 @@ def test_ledger_import(spark, tmp_path):
     ledger.append_ledger(read, place)
     ledger.append_ledger(read, place)
     assert ledger.read_ledger(spark, place).count() == 4
+
+
+def parses(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("parseJson")
+
+
+def test_ledger_lines_are_parsed_once(spark, tmp_path):
+    text = '{"job_id": "a", "status": "SUCCESS"}\n \n{"job_id": "b", "status": 5, "bytes_billed": "x"}\nnonsense\n[1]\n{}\n'
+    lines = land(tmp_path / "led", "lines.json", text)
+    read = ledger.read_json_ledger(spark, lines, lines=True)
+    done = read.where("status = 'SUCCESS' AND start_time IS NULL")
+    rejects = ledger.ledger_rejects(spark, lines, lines=True)
+    assert [parses(df) for df in (read, done, rejects)] == [1, 1, 1]
+    assert [r.job_id for r in done.collect()] == ["a"]
+    assert sorted((r.job_id or "", r.status or "") for r in read.collect()) == [("", ""), ("a", "SUCCESS"), ("b", "5")]
+    found = sorted((r.job_id or "", r.reject_reason) for r in rejects.collect())
+    assert found == [("", "record: not an object")] * 2 + [("b", "bytes_billed: does not fit")]
+
+
+def test_ledger_import_parses_no_record_for_an_append(spark, tmp_path, monkeypatch):
+    orders = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
+    day = dt.datetime(1996, 2, 29)
+    rows = [(i, i % 7, "FPO"[i % 3], 1e4 * i, day, None if i == 4 else "p") for i in range(30)] + [(5, 5, None, None, None, "p")]
+    spark.createDataFrame(rows, orders).write.parquet(str(tmp_path / "orders.parquet"))
+    appended, append = [], ledger.append_ledger
+
+    def watched(records, path):
+        appended.append((parses(records), records.count()))
+        append(records, path)
+
+    monkeypatch.setattr(ledger, "append_ledger", watched)
+    found = registry.QUERIES["ledger_import"](spark, str(tmp_path))
+    assert appended == [(0, 10), (0, 21)]
+    assert sorted(int(r.job_id) for r in found.collect()) == sorted(r[0] for r in rows)
+    first = found.where("job_id = '3'").first()
+    assert (first.status, first.bytes_processed, first.bytes_billed, first.run_month) == ("SUCCESS", 3_000_000, 3 * 1048576, "1996-02")
+    assert found.where("start_time IS NULL AND bytes_billed IS NULL AND run_month IS NULL").count() == 1

@@ -26,6 +26,23 @@ def _typed(name: str, kind: str) -> Column:
     return F.try_variant_get("item", f"$.{name}", kind)
 
 
+def _items(spark: SparkSession, path: str, lines: bool) -> DataFrame:
+    """What a JSON ledger holds, parsed once: ``item``, whether it ``_is_record``, and its typed fields."""
+    if lines:
+        text = spark.read.text(path).where(F.trim("value") != "")
+        whole = F.array(F.try_parse_json("value"))
+    else:
+        # What cannot be read has one row, which is no record.
+        text = array_elements(spark, path).select(F.concat(F.lit("["), "element", F.lit("]")).alias("value"))
+        listed = F.from_json("value", "array<variant>")
+        unread = F.array(F.lit(None).cast("variant"))
+        whole = F.when(F.json_array_length("value").isNull(), unread).otherwise(listed)
+    # Filters on items stay above a generator; below a projection each field in them would parse the text anew.
+    items = text.select(F.explode(whole).alias("item"))
+    is_record = F.coalesce(F.schema_of_variant("item").startswith("OBJECT"), F.lit(False))
+    return items.select("item", is_record.alias("_is_record"), *(_typed(n, k).alias(n) for n, k in _FIELDS))
+
+
 def ledger_items(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """All records of a JSON ledger and ``reject_reason``: one array per file, or one record per line.
 
@@ -36,31 +53,18 @@ def ledger_items(spark: SparkSession, path: str, lines: bool = False) -> DataFra
     """
     if not path_exists(spark, path):
         return spark.createDataFrame([], f"{LEDGER_SCHEMA}, reject_reason string")
-    if lines:
-        text = spark.read.text(path)
-        items = text.where(F.trim("value") != "").select(F.try_parse_json("value").alias("item"))
-    else:
-        # What cannot be read has one row, which is no record.
-        text = array_elements(spark, path).select(F.concat(F.lit("["), "element", F.lit("]")).alias("value"))
-        listed = F.from_json("value", "array<variant>")
-        unread = F.array(F.lit(None).cast("variant"))
-        whole = F.when(F.json_array_length("value").isNull(), unread).otherwise(listed)
-        items = text.select(F.explode(whole).alias("item"))
-    is_record = F.coalesce(F.schema_of_variant("item").startswith("OBJECT"), F.lit(False))
-    typed = items.select("item", is_record.alias("_is_record"), *(_typed(n, k).alias(n) for n, k in _FIELDS))
     reason = F.when(~F.col("_is_record"), "record: not an object")
     for name, _ in _FIELDS:
         given = F.schema_of_variant(F.try_variant_get("item", f"$.{name}", "variant"))
         reason = reason.when(F.col(name).isNull() & (given != "VOID"), f"{name}: does not fit")
-    return typed.select(*(name for name, _ in _FIELDS), reason.alias("reject_reason"))
+    return _items(spark, path, lines).select(*(name for name, _ in _FIELDS), reason.alias("reject_reason"))
 
 
 def read_json_ledger(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """The records of a JSON ledger, with or without ids; see ``ledger_rejects`` for what did not fit."""
-    items = ledger_items(spark, path, lines)
-    return items.where(~F.coalesce(F.col("reject_reason") == "record: not an object", F.lit(False))).drop(
-        "reject_reason"
-    )
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], LEDGER_SCHEMA)
+    return _items(spark, path, lines).where("_is_record").select(*(name for name, _ in _FIELDS))
 
 
 def ledger_rejects(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:

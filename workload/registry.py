@@ -598,7 +598,8 @@ def ledger_import(spark, sf_dir):
         b.BUDGET,
     ).withColumn("estimated_cost_usd", usage.cost_usd(F.col("bytes_used_month"), b.BUDGET))
     jobs.drop("estimated_bytes", "state", "bytes_used_month").write.json(landed)
-    imported = ledgers.read_json_ledger(spark, landed, lines=True)
+    # Written once, so that an append parses nothing again.
+    imported = materialise(ledgers.read_json_ledger(spark, landed, lines=True), "imported-ledger")
     path = scratch_path(spark, "ledger")
     ledgers.append_ledger(imported.where("status = 'SUCCESS'"), path)
     ledgers.append_ledger(imported.where("status <> 'SUCCESS'"), path)
